@@ -60,7 +60,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHash(dict):
     """XXH64 of words, remembered; forgets all when it has grown to ``most`` words."""
 
-    def __init__(self, seed: int = 0, most: int = 400_000):
+    def __init__(self, seed: int = 0, most: int = 150_000):
         import xxhash
 
         self._of, self.seed, self.most = xxhash.xxh64_intdigest, seed, most

@@ -39,7 +39,7 @@ PRIOR = 10.0
 #: The end token, as a word that no text has.
 END = b""
 #: n-grams, or tokens, that a task holds at once.
-HELD = 2_000_000
+HELD = 1_500_000
 CHUNK = 400_000
 
 _BITS = np.uint64(BLOCK * 8 - 1)
@@ -228,46 +228,57 @@ def _scores(levels: np.ndarray, sizes: np.ndarray, n: int, v: int) -> np.ndarray
     return np.add.reduceat(np.log10(p), np.cumsum(sizes) - sizes)
 
 
+def _levels(f: Filter, texts, old, seen: WordHash):
+    """For each text the levels of (pair, word before, word) of its tokens: ``old`` and what ``f`` knows."""
+    end = f.levels(mix(np.array([seen[END]], np.uint64)))[0][0]
+    for first, sizes, word, before in _hashes(texts, seen):
+        one, at = np.unique(word, return_inverse=True)
+        single = f.levels(mix(one))[0][at]
+        ends = np.cumsum(sizes)
+        # The word before is the token before; before the first token of a text stands the end token.
+        prior = np.empty_like(single)
+        prior[1:] = single[:-1]
+        prior[np.append(0, ends[:-1])] = end
+        levels = np.stack([f.levels(pair_keys(before, word))[0], prior, single])
+        for i, (s, e) in enumerate(zip(ends - sizes, ends)):
+            mine = levels[:, s:e]
+            if old[first + i] is not None:
+                mine = np.maximum(mine, np.frombuffer(old[first + i], np.uint8).reshape(3, -1))
+            yield mine
+
+
+def _slices(batches, rows: int = 1000):
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def _probe(shard):
     """Adds what a shard of the filter knows to the levels of each text (three rows of bytes)."""
 
     def run(batches):
         seen, f = WordHash(7), shard.value
-        for b in batches:
-            old = b.column(2).to_pylist()
-            new = []
-            for first, sizes, word, before in _hashes(b.column(1).to_pylist(), seen):
-                one, at = np.unique(word, return_inverse=True)
-                single = f.levels(mix(one))[0][at]
-                ends = np.cumsum(sizes)
-                # The word before is the token before; before the first token of a text stands the end token.
-                prior = np.empty_like(single)
-                prior[1:] = single[:-1]
-                prior[np.append(0, ends[:-1])] = f.levels(mix(np.array([seen[END]], np.uint64)))[0][0]
-                levels = np.stack([f.levels(pair_keys(before, word))[0], prior, single])
-                for i, (s, e) in enumerate(zip(ends - sizes, ends)):
-                    mine = levels[:, s:e]
-                    if old[first + i] is not None:
-                        mine = np.maximum(mine, np.frombuffer(old[first + i], np.uint8).reshape(3, -1))
-                    new.append(mine.tobytes())
+        for b in _slices(batches):
+            new = [x.tobytes() for x in _levels(f, b.column(1).to_pylist(), b.column(2).to_pylist(), seen)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, pa.binary())], names=["row", "text", "levels"])
 
     return run
 
 
-def _judge(hot, n: int, v: int):
-    """Per text: tokens, those known, base score and score as far as frequent words go, and the other words."""
+def _judge(shard, hot, n: int, v: int):
+    """With the last shard: tokens, those known, base score and score as far as frequent words go, and the other words."""
 
     def run(batches):
+        seen, f = WordHash(7), shard.value
         logs, known = hot.value
         get = known.get
-        for b in batches:
-            rows = []
-            for text, levels in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for b in _slices(batches):
+            rows, texts = [], b.column(1).to_pylist()
+            for text, levels in zip(texts, _levels(f, texts, b.column(2).to_pylist(), seen)):
                 tokens = tokens_of(text)
                 at = np.fromiter([get(w, -1) for w in tokens], np.int64, len(tokens))
                 rare = Counter([tokens[i] for i in np.flatnonzero(at < 0).tolist()])
-                score = _scores(np.frombuffer(levels, np.uint8).reshape(3, -1), np.array([len(tokens)]), n, v)[0]
+                score = _scores(levels, np.array([len(tokens)]), n, v)[0]
                 frequent = at[at >= 0]
                 rows.append((len(tokens), len(frequent), float(logs[frequent].sum()), float(score), [w.decode("utf-8", "replace") for w in rare], list(rare.values())))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
@@ -303,11 +314,12 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
         for r in table.where(F.col("block").between(first, first + per - 1)).toLocalIterator():
             at = (r["block"] - first) * BLOCK
             data[at : at + BLOCK] = np.frombuffer(r["bits"], np.uint8)
-        state = state.mapInArrow(_probe(sc.broadcast(Filter(first, data, n_blocks))), f"row {kind}, text string, levels binary")
+        shard = sc.broadcast(Filter(first, data, n_blocks))
         if first + per < n_blocks:
-            state = written(state, "levels")
-    judged = state.mapInArrow(_judge(hot, n, v), f"row {kind}, n_tokens long, known long, base double, score double, words array<string>, times array<long>")
+            state = written(state.mapInArrow(_probe(shard), f"row {kind}, text string, levels binary"), "levels")
+    judged = state.mapInArrow(_judge(shard, hot, n, v), f"row {kind}, n_tokens long, known long, base double, score double, words array<string>, times array<long>")
     judged = written(judged, "judged")
+    shard.unpersist()
 
     rare = judged.select("row.at", F.explode(F.arrays_zip("words", "times")).alias("w")).select("at", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     found = rare.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
