@@ -1,0 +1 @@
+"""Transcript analytics on Spark: timed segments to sentences, paragraphs, merged text and files."""
