@@ -20,17 +20,19 @@ SENTENCE_END = rf"(?U)\.(?![{SPACE}]*(?:com|net|org|io)[{SPACE}])(?![0-9])|[.!?]
 MARK = "\uffff"
 
 
-def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^[{SPACE}]+|[{SPACE}]+$", "")
+#: White space in full, to trim without regular expressions: Python's, and what browsers trim.
+_COMMON = "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+PYTHON_SPACES = _COMMON + "\x1c\x1d\x1e\x1f\x85"
+BROWSER_SPACES = _COMMON + "\ufeff"
 
 
-#: What browsers strip.
-BROWSER_SPACE = r"\t\n\x0b\f\r\ufeff\u2028\u2029\p{Zs}"
+def strip(c: Column) -> Column:
+    return F.btrim(c, F.lit(PYTHON_SPACES))
 
 
 def strip_browser(c: Column) -> Column:
     """T12."""
-    return F.regexp_replace(c, rf"^[{BROWSER_SPACE}]+|[{BROWSER_SPACE}]+$", "")
+    return F.btrim(c, F.lit(BROWSER_SPACES))
 
 
 def slug(title: Column) -> Column:

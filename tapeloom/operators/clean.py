@@ -36,9 +36,13 @@ def clean_lines(c: Column) -> Column:
 def paragraphs(sentences: Column, size: int = 5) -> Column:
     """Sentences in groups of ``size``, the last maybe smaller, each <p>...</p> with a space after each sentence."""
     spaced = F.transform(sentences, lambda s: F.concat(text.strip_browser(s), F.lit(" ")))
-    n = F.ceil(F.size(sentences) / F.lit(size)).cast("int")
-    groups = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("<p>"), F.array_join(F.slice(spaced, i * size + 1, F.lit(size)), ""), F.lit("</p>"))))
-    return F.coalesce(groups, F.array().cast("array<string>"))
+
+    def groups(v: Column) -> Column:
+        n = F.ceil(F.size(v) / F.lit(size)).cast("int")
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.concat(F.lit("<p>"), F.array_join(F.slice(v, i * size + 1, F.lit(size)), ""), F.lit("</p>")))
+
+    # Bound: a lambda would find the sentences anew for each paragraph.
+    return text._bind(spaced, lambda v: F.when(F.size(v) > 0, groups(v)).otherwise(F.array().cast("array<string>")))
 
 
 def reader_html(c: Column, splitter: str = "regex", size: int = 5) -> Column:

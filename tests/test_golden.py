@@ -46,6 +46,10 @@ def test_text(spark):
     assert each(spark, text.strip_browser, ["﻿a ", "\x1ca"]) == ["a", "\x1ca"]
 
 
+def test_strip_is_pythons(spark):
+    assert set(text.PYTHON_SPACES) == {chr(i) for i in range(0x110000) if chr(i).isspace()}
+
+
 def test_split_equals_fold(spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice(['"', ". ", "! ", "?", ".", "com ", "a", "B", "\n", "-\n", "7", " "]) for _ in range(60)) for _ in range(400)]
