@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm import spans as S
+from tapeloom.llm.common import written
 
 
 @dataclass(frozen=True)
@@ -116,8 +117,8 @@ def scan_secrets(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str =
     trigrams = sorted({t for q in queries.values() for clause in q for t in clause})
     body = docs.select(F.col(key).alias("doc_key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     if trigrams:
-        # The hashed side has a few bytes for each document, so the texts need no sort.
-        hits = candidates(postings(docs, trigrams, key, text), rules).hint("shuffle_hash")
+        # Written, candidates have a known size: Spark broadcasts them if they are under its threshold, else both sides are dealt by id.
+        hits = written(candidates(postings(docs, trigrams, key, text), rules), "candidates")
         body = body.join(hits, body["doc_key"].eqNullSafe(hits["key"]), "left")
     else:
         body = body.withColumn("kinds", F.array().cast("array<string>"))
