@@ -4,7 +4,7 @@ A difference cover D of period P has, for every shift, two members that far apar
 occurrences of one run of ``WINDOW`` words, wherever they begin, both have an anchor at the same
 place of the run within its first P words: anchors are runs of ``WINDOW - P + 1`` words that begin at
 positions in D modulo P. Only these, six in 31 positions, are hashed and dealt by hash. Windows
-that hold an anchor which another document has too are then hashed whole, by 128 bits, and the
+that hold an anchor which another document has too are then hashed whole, by 96 bits, and the
 smallest document id of each window decides.
 
 Occurrences that a task can settle from its own documents never travel: of a hash that several
@@ -104,14 +104,15 @@ class _Task:
 
 #: Occurrences that a task holds at once.
 HELD = 3_000_000
-FOUND = "h long, g long, doc long, row long, pos int, settled boolean"
+#: What changes from row to row comes first, so that the rest compresses as one run.
+FOUND = "h long, g int, pos int, settled boolean, doc long, row long"
 
 
 def _rows(h, g, doc, row, pos, settled):
     import pyarrow as pa
 
-    cols = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in (h, g, doc, row)]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(pos.astype(np.int32)), pa.array(settled)], names=["h", "g", "doc", "row", "pos", "settled"])
+    cols = [pa.array(h.view(np.int64)), pa.array(g.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(settled), pa.array(doc), pa.array(row)]
+    return pa.RecordBatch.from_arrays(cols, names=["h", "g", "pos", "settled", "doc", "row"])
 
 
 def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -128,9 +129,9 @@ def _anchors(batches):
         # Of a settled hash one row goes on to tell others; the rest are spread by where they are.
         at = (doc * 1_000_003 + row + pos * 7919).astype(np.uint64)
         told = new & settled
-        yield _rows(np.where(settled, at, h), np.zeros(len(h), np.int64), doc, row, pos, settled)
+        yield _rows(np.where(settled, at, h), np.zeros(len(h), np.int32), doc, row, pos, settled)
         if told.any():
-            yield _rows(h[told], np.ones(int(told.sum()), np.int64), doc[told], row[told], np.full(int(told.sum()), -1), np.ones(int(told.sum()), bool))
+            yield _rows(h[told], np.ones(int(told.sum()), np.int32), doc[told], row[told], np.full(int(told.sum()), -1), np.ones(int(told.sum()), bool))
 
     for b in batches:
         for doc, row, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -175,7 +176,7 @@ def _windows(batches):
             np.add.at(mark, np.maximum(places - (WINDOW - ANCHOR), 0), 1)
             np.add.at(mark, np.minimum(places + 1, n), -1)
             at = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
-            if task.add(run_hashes(words, WINDOW)[at], run_hashes(words, WINDOW, 1)[at], np.full(len(at), doc), np.full(len(at), row), at):
+            if task.add(run_hashes(words, WINDOW)[at], run_hashes(words, WINDOW, 1)[at].astype(np.uint32).view(np.int32), np.full(len(at), doc), np.full(len(at), row), at):
                 yield from flush()
     if task.parts:
         yield from flush()
