@@ -225,7 +225,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", dig
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The texts are dealt once; both joins below read that exchange.
     texts = rows.repartition(n, "doc", "row")
-    gone = written(repeated_windows(texts, anchors), "repeats")
+    gone = repeated_windows(texts, anchors)
     out = texts.join(gone.hint("shuffle_hash"), ["doc", "row"], "left").select("doc", "text", "starts").mapInArrow(_kept(digest_only), "doc long, n_words long, n_removed long, kept string")
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).cast(docs.schema[key].dataType).alias(key), "n_words", "n_removed", "kept")
 
