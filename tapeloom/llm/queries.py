@@ -65,5 +65,66 @@ QUERIES = {
     )
 }
 
-#: By query; those absent are tested against brute force in tests/llm.
-ORACLE_SQL: dict[str, str] = {}
+# --- SQL ------------------------------------------------------------------------------------------
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP5_SQL = """
+with p as (select page_id, coalesce(html, '') h from pages),
+d as (select *, strlen(h) n, sha1(h) x from p),
+f as (select *, min(page_id) over (partition by h) first,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+    (('0x' || substr(x, 1 + (5 * i // 4), 1))::int << 8) +
+    (('0x' || coalesce(nullif(substr(x, 2 + (5 * i // 4), 1), ''), '0'))::int << 4) +
+    ('0x' || coalesce(nullif(substr(x, 3 + (5 * i // 4), 1), ''), '0'))::int) >> (7 - (5 * i) % 4) & 31), 1) for i in range(0, 32)], '') digest from d)
+select page_id, n as payload_bytes, digest as payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type, case when page_id <> first then first end as refers_to from f
+"""
+
+#: Windows are compared as the words themselves.
+_OP10_SQL = f"""
+with d as (select doc_id, {_WORDS} w from documents),
+s as (select doc_id, i, array_to_string(w[i:i + 49], ' ') k from d, unnest(range(1, len(w) - 48)) t(i)),
+m as (select doc_id, i, min(doc_id) over (partition by k) first from s),
+g as (select distinct doc_id, unnest(range(i, i + 50)) p from m where first < doc_id),
+l as (select doc_id, list(p) ps from g group by 1),
+k as (select doc_id, len(w) n, coalesce(len(ps), 0) gone, case when ps is null then w else list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda x: not list_contains(ps, x[2])), lambda x: x[1]) end kept from d left join l using (doc_id))
+select doc_id, n::bigint as n_words, gone::bigint as n_removed, sha256(array_to_string(kept, ' ')) as kept_sha256 from k
+"""
+
+
+def _spans_sql(kinds: list[tuple[str, str, str]]) -> str:
+    """(kind, pattern, condition on the match m): rows (doc_id, rank, kind, b, e) of the matches that hold."""
+    parts = []
+    for rank, (kind, pattern, holds) in enumerate(kinds):
+        parts.append(
+            f"select doc_id, {rank} rank, '{kind}' kind, b, b + length(m) e from (select doc_id, m[i] m, (list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint b "
+            f"from (select doc_id, regexp_extract_all(t, '{pattern}') m, string_split_regex(t, '{pattern}') g from t where regexp_matches(t, '{pattern}')), unnest(range(1, len(m) + 1)) u(i)) where {holds}"
+        )
+    return " union all ".join(parts)
+
+
+def _either(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+_KEYS = "|".join(map(_either, ("password", "passwd", "secret", "token", "api_?key")))
+_ASSIGN = rf"""({_KEYS})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_OP1_KINDS = [
+    ("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
+    ("hex", "[0-9a-f]+", "length(m) >= 24"),
+    *[(r.kind, r.pattern, "true") for r in secrets.RULES if not r.base],
+]
+_JOINED = "coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, rank){}, '')"
+_OP1_SQL = f"""
+with t as (select doc_id, coalesce(text, '') t from documents),
+s as ({_spans_sql(_OP1_KINDS)}),
+a as (select doc_id, count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access, count(*) filter (kind = 'hex') n_hex,
+  {_JOINED.format(" filter (rank < 3)")} base, {_JOINED.format("")} spans from s group by 1)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join a using (doc_id)
+"""
+
+#: By query; those absent are tested against brute force in tests/llm: learned rules (2), a tokenizer (3, 7), lookarounds and
+#: checksums over spans (4), a Bloom filter (6), BM25 retrieval (8), XXH64 (9).
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": _OP1_SQL, "op5_warc": _OP5_SQL, "op10_substring_dedup": _OP10_SQL}
