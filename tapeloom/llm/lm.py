@@ -20,13 +20,14 @@ are zero; an empty table gives no rows; columns other than the id and the text a
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import ASCII_LOWER, WordHash, ship, written
+from tapeloom.llm.common import ASCII_LOWER, ship, written
 
 ship(__name__)
 
@@ -36,13 +37,16 @@ BLOCK = 1 << 16
 SHARD = 1 << 27
 PROBES = 3
 PRIOR = 10.0
+SEED = 7
 #: The end token, as a word that no text has.
 END = b""
 #: n-grams, or tokens, that a task holds at once.
 HELD = 1_500_000
 CHUNK = 400_000
 
-_BITS = np.uint64(BLOCK * 8 - 1)
+#: The bits of an n-gram and level lie in one line of memory: probing costs one access.
+_LINE = 512
+_LINES = np.uint64(BLOCK * 8 // _LINE)
 _LOW = np.uint64((1 << 40) - 1)
 
 
@@ -66,11 +70,14 @@ def block_of(keys: np.ndarray, n_blocks: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n_blocks)) >> np.uint64(32)
 
 
-def bits_of(low: np.ndarray, level) -> np.ndarray:
-    """Bit positions in the block, one column for each probe, from the low 40 bits of a key and a level."""
+def hash_of(low: np.ndarray, level: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = mix(low + np.asarray(level, np.uint64) * np.uint64(0xD1342543DE82EF95))
-    return np.stack([(h >> np.uint64(19 * i)) & _BITS for i in range(PROBES)], -1)
+        return mix(low + np.uint64(level) * np.uint64(0xD1342543DE82EF95))
+
+
+def bit_at(h: np.ndarray, probe: int) -> np.ndarray:
+    """Bit position of a probe in the block."""
+    return (((h >> np.uint64(32)) * _LINES >> np.uint64(32)) * np.uint64(_LINE) + ((h >> np.uint64(9 * probe)) & np.uint64(_LINE - 1))).astype(np.int64)
 
 
 def level_of(counts: np.ndarray) -> np.ndarray:
@@ -97,12 +104,12 @@ class Filter:
         level = 0
         while len(alive):
             level += 1
-            at = bits_of(low, level)
-            held = np.ones(len(alive), bool)
-            for i in range(PROBES):
-                p = at[:, i]
-                held &= (self.data[base + (p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive, base, low = alive[held], base[held], low[held]
+            h = hash_of(low, level)
+            for i in range(PROBES):  # most absent keys fail at the first probe
+                p = bit_at(h, i)
+                byte = self.data[base + (p >> 3)]
+                held = np.flatnonzero((byte >> (p & 7).astype(np.uint8)) & np.uint8(1))
+                alive, base, low, h = alive[held], base[held], low[held], h[held]
             out[alive] = level
         return out, here
 
@@ -113,7 +120,9 @@ def fill_block(low: np.ndarray, counts: np.ndarray) -> np.ndarray:
     level = level_of(np.bincount(at, counts, minlength=len(low)))
     bits = np.zeros(BLOCK * 8, bool)
     for q in range(1, int(level.max(initial=0)) + 1):
-        bits[bits_of(low[level >= q], q).ravel().astype(np.int64)] = True
+        h = hash_of(low[level >= q], q)
+        for i in range(PROBES):
+            bits[bit_at(h, i)] = True
     return np.packbits(bits, bitorder="little")
 
 
@@ -132,63 +141,91 @@ def _word_counts(batches):
         yield rows(n)
 
 
-def _hashes(texts, seen: WordHash, most: int = CHUNK):
-    """Yields (first text, tokens of each text, hashes of all tokens, hashes of those before) of runs of texts."""
-    first, sizes, parts, n = 0, [], [], 0
-    end = seen[END]
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashing each word is cheaper than looking it up among many."""
+    import xxhash
 
-    def run():
-        word = np.concatenate(parts)
-        before = np.empty_like(word)
-        before[1:] = word[:-1]
-        before[0] = end  # each text follows the end of another one
-        return first, np.array(sizes), word, before
+    of = xxhash.xxh64_intdigest
+    return np.fromiter((of(w, SEED) for w in words), np.uint64, len(words))
+
+
+def shifted(x: np.ndarray) -> np.ndarray:
+    """What stands before each token. Every text ends with the end token, so each one has it before its first; the run's last one stands in for the first text's."""
+    return np.concatenate([x[-1:], x[:-1]])
 
-    for i, t in enumerate(texts):
-        tokens = tokens_of(t)
-        parts.append(np.fromiter(map(seen.__getitem__, tokens), np.uint64, len(tokens)))
-        sizes.append(len(tokens))
-        n += len(tokens)
-        if n >= most:
-            yield run()
-            first, sizes, parts, n = i + 1, [], [], 0
-    if parts:
-        yield run()
 
+class Run:
+    """Tokens of some texts one after the other, and their hashes."""
 
-def _pack(n_blocks: int):
-    """Counts n-grams of a task's texts; gives (block, 6 bytes for each: low bits of the key, count)."""
+    def __init__(self, texts: list[list[bytes]]):
+        self.sizes = np.array([len(t) for t in texts])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.tokens = list(chain.from_iterable(texts))
+        self.hashes = word_hashes(self.tokens)
+
+    def pairs(self) -> np.ndarray:
+        return pair_keys(shifted(self.hashes), self.hashes)
+
+
+def _runs(texts: list, most: int = CHUNK):
+    """Runs of up to about ``most`` tokens."""
+    held, n = [], 0
+    for t in texts:
+        held.append(tokens_of(t))
+        n += len(held[-1])
+        if n >= most:
+            yield Run(held)
+            held, n = [], 0
+    if held:
+        yield Run(held)
+
+
+def _packed(keys: np.ndarray, n: np.ndarray, n_blocks: int) -> pa.RecordBatch:
+    """Sorted keys and their counts as (block, 6 bytes for each: low bits of the key, count)."""
+    times = -(-n // 255)  # a byte holds counts to 255, larger ones take several rows
+    last = n - 255 * (times - 1)
+    at = np.repeat(np.arange(len(keys)), times)
+    count = np.full(len(at), 255)
+    count[np.cumsum(times) - 1] = last
+    keys = keys[at]
+    block = block_of(keys, n_blocks).astype(np.int64)
+    packed = np.empty((len(keys), 6), np.uint8)
+    packed[:, :5] = (keys & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+    packed[:, 5] = count
+    begin = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+    offsets = pa.array(np.append(begin, len(keys)) * 6, pa.int32())
+    blobs = pa.Array.from_buffers(pa.binary(), len(begin), [None, offsets.buffers()[1], pa.py_buffer(packed.tobytes())])
+    return pa.RecordBatch.from_arrays([pa.array(block[begin]), blobs], names=["block", "grams"])
+
+
+def _pack_words(n_blocks: int):
+    """Words with their counts, packed."""
 
     def run(batches):
-        seen = WordHash(7)
-
-        def flush(keys):
-            keys, n = np.unique(np.concatenate(keys), return_counts=True)
-            times = -(-n // 255)  # a byte holds counts to 255, larger ones take several rows
-            last = n - 255 * (times - 1)
-            at = np.repeat(np.arange(len(keys)), times)
-            count = np.full(len(at), 255)
-            count[np.cumsum(times) - 1] = last
-            keys = keys[at]
-            block = block_of(keys, n_blocks).astype(np.int64)
-            packed = np.empty((len(keys), 6), np.uint8)
-            packed[:, :5] = (keys & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
-            packed[:, 5] = count
-            begin = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-            offsets = pa.array(np.append(begin, len(keys)) * 6, pa.int32())
-            blobs = pa.Array.from_buffers(pa.binary(), len(begin), [None, offsets.buffers()[1], pa.py_buffer(packed.tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(block[begin]), blobs], names=["block", "grams"])
+        for b in batches:
+            if not b.num_rows:
+                continue
+            keys = mix(word_hashes([w.encode() for w in b.column(0).to_pylist()]))
+            order = np.argsort(keys)
+            yield _packed(keys[order], b.column(1).to_numpy()[order], n_blocks)
+
+    return run
+
+
+def _pack_pairs(n_blocks: int):
+    """Pairs of a task's texts, counted and packed."""
 
+    def run(batches):
         held, n = [], 0
         for b in batches:
-            for _, _, word, before in _hashes(b.column(0).to_pylist(), seen):
-                held += [mix(word), pair_keys(before, word)]
-                n += 2 * len(word)
-                if n >= 2 * HELD:
-                    yield flush(held)
+            for x in _runs(b.column(0).to_pylist()):
+                held.append(x.pairs())
+                n += len(held[-1])
+                if n >= HELD:
+                    yield _packed(*np.unique(np.concatenate(held), return_counts=True), n_blocks)
                     held, n = [], 0
         if held:
-            yield flush(held)
+            yield _packed(*np.unique(np.concatenate(held), return_counts=True), n_blocks)
 
     return run
 
@@ -212,54 +249,51 @@ def _fill(batches):
         yield block(last, held)
 
 
-def build_filter(texts: DataFrame, n_tokens: int) -> tuple[DataFrame, int]:
-    """The filter as a table (block, bits), and its number of blocks. ``texts`` has one column."""
+def build_filter(texts: DataFrame, counts: DataFrame, n_tokens: int) -> tuple[DataFrame, int]:
+    """The filter as a table (block, bits), and its number of blocks. ``texts`` has one column, ``counts`` words and counts."""
     n_blocks = max(1, -(-n_tokens // BLOCK))
-    grams = texts.mapInArrow(_pack(n_blocks), "block long, grams binary")
+    kind = "block long, grams binary"
+    grams = texts.mapInArrow(_pack_pairs(n_blocks), kind).unionByName(counts.select("word", "c").mapInArrow(_pack_words(n_blocks), kind))
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_tokens // 4_000_000)
     return written(grams.repartition(parts, "block").sortWithinPartitions("block").mapInArrow(_fill, "block long, bits binary"), "filter"), n_blocks
 
 
-def _scores(levels: np.ndarray, sizes: np.ndarray, n: int, v: int) -> np.ndarray:
+def _scores(levels: np.ndarray, starts: np.ndarray, n: int, v: int) -> np.ndarray:
     """Log10 probability of each text from the levels of (pair, word before, word) of its tokens."""
-    pair, before, word = (COUNT_OF[levels[i]] for i in range(3))
+    pair, before, word = (COUNT_OF[x] for x in levels)
     alone = (word + 0.5) / (n + 0.5 * (v + 1))
     p = np.minimum((np.minimum(pair, before) + PRIOR * alone) / (before + PRIOR), 1.0)
-    return np.add.reduceat(np.log10(p), np.cumsum(sizes) - sizes)
-
-
-def _levels(f: Filter, texts, old, seen: WordHash):
-    """For each text the levels of (pair, word before, word) of its tokens: ``old`` and what ``f`` knows."""
-    end = f.levels(mix(np.array([seen[END]], np.uint64)))[0][0]
-    for first, sizes, word, before in _hashes(texts, seen):
-        one, at = np.unique(word, return_inverse=True)
-        single = f.levels(mix(one))[0][at]
-        ends = np.cumsum(sizes)
-        # The word before is the token before; before the first token of a text stands the end token.
-        prior = np.empty_like(single)
-        prior[1:] = single[:-1]
-        prior[np.append(0, ends[:-1])] = end
-        levels = np.stack([f.levels(pair_keys(before, word))[0], prior, single])
-        for i, (s, e) in enumerate(zip(ends - sizes, ends)):
-            mine = levels[:, s:e]
-            if old[first + i] is not None:
-                mine = np.maximum(mine, np.frombuffer(old[first + i], np.uint8).reshape(3, -1))
-            yield mine
-
-
-def _slices(batches, rows: int = 1000):
+    return np.add.reduceat(np.log10(p), starts)
+
+
+def _levels(f: Filter, x: Run, old: list) -> np.ndarray:
+    """Levels of (pair, word before, word) of a run's tokens: what ``f`` knows, and ``old`` where a shard was probed before."""
+    one, at = np.unique(x.hashes, return_inverse=True)
+    single = f.levels(mix(one))[0][at]
+    levels = np.stack([f.levels(x.pairs())[0], shifted(single), single])
+    for i, known in enumerate(old):
+        if known is not None:
+            mine = levels[:, x.starts[i] : x.starts[i] + x.sizes[i]]
+            np.maximum(mine, np.frombuffer(known, np.uint8).reshape(3, -1), out=mine)
+    return levels
+
+
+def _runs_of_rows(batches):
+    """(rows, run) of a few hundred thousand tokens each."""
     for b in batches:
-        for k in range(0, b.num_rows, rows):
-            yield b.slice(k, rows)
+        at = 0
+        for x in _runs(b.column(1).to_pylist()):
+            yield b.slice(at, len(x.sizes)), x
+            at += len(x.sizes)
 
 
 def _probe(shard):
     """Adds what a shard of the filter knows to the levels of each text (three rows of bytes)."""
 
     def run(batches):
-        seen, f = WordHash(7), shard.value
-        for b in _slices(batches):
-            new = [x.tobytes() for x in _levels(f, b.column(1).to_pylist(), b.column(2).to_pylist(), seen)]
+        for b, x in _runs_of_rows(batches):
+            levels = _levels(shard.value, x, b.column(2).to_pylist())
+            new = [levels[:, s : s + n].tobytes() for s, n in zip(x.starts, x.sizes)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, pa.binary())], names=["row", "text", "levels"])
 
     return run
@@ -269,20 +303,26 @@ def _judge(shard, hot, n: int, v: int):
     """With the last shard: tokens, those known, base score and score as far as frequent words go, and the other words."""
 
     def run(batches):
-        seen, f = WordHash(7), shard.value
-        logs, known = hot.value
-        get = known.get
-        for b in _slices(batches):
-            rows, texts = [], b.column(1).to_pylist()
-            for text, levels in zip(texts, _levels(f, texts, b.column(2).to_pylist(), seen)):
-                tokens = tokens_of(text)
-                at = np.fromiter([get(w, -1) for w in tokens], np.int64, len(tokens))
-                rare = Counter([tokens[i] for i in np.flatnonzero(at < 0).tolist()])
-                score = _scores(levels, np.array([len(tokens)]), n, v)[0]
-                frequent = at[at >= 0]
-                rows.append((len(tokens), len(frequent), float(logs[frequent].sum()), float(score), [w.decode("utf-8", "replace") for w in rare], list(rare.values())))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]], names=["row", "n_tokens", "known", "base", "score", "words", "times"])
+        known, logs = hot.value
+        for b, x in _runs_of_rows(batches):
+            score = _scores(_levels(shard.value, x, b.column(2).to_pylist()), x.starts, n, v)
+            place = np.minimum(np.searchsorted(known, x.hashes), len(known) - 1)
+            frequent = known[place] == x.hashes
+            base = np.add.reduceat(np.where(frequent, logs[place], 0.0), x.starts)
+            n_frequent = np.add.reduceat(frequent.astype(np.int64), x.starts)
+            # The other words, each once for each text, with how often it occurs there.
+            rare = np.flatnonzero(~frequent)
+            text = np.repeat(np.arange(len(x.sizes)), x.sizes)[rare]
+            order = np.lexsort((x.hashes[rare], text))
+            rare, text = rare[order], text[order]
+            h = x.hashes[rare]
+            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(rare)])
+            times = np.diff(np.append(first, len(rare)))
+            offsets = pa.array(np.searchsorted(text[first], np.arange(len(x.sizes) + 1)).astype(np.int32))
+            words = pa.array([x.tokens[i].decode("utf-8", "replace") for i in rare[first].tolist()], pa.string())
+            cols = [pa.array(x.sizes), pa.array(n_frequent), pa.array(base), pa.array(score)]
+            lists = [pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(times))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols, *lists], names=["row", "n_tokens", "known", "base", "score", "words", "times"])
 
     return run
 
@@ -303,9 +343,10 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     below = n + 0.5 * (v + 1)
     # Each of these words is at least one in ``frequent`` tokens, so there are no more of them than that.
     top = counts.where(F.col("c") * frequent >= F.lit(n)).collect()
-    hot = sc.broadcast((np.array([np.log10((r["c"] + 0.5) / below) for r in top]), {r["word"].encode(): i for i, r in enumerate(top)}))
+    by_hash = sorted(zip(word_hashes([r["word"].encode() for r in top]).tolist(), ((r["c"] + 0.5) / below for r in top))) or [(0, 1.0)]
+    hot = sc.broadcast((np.array([h for h, _ in by_hash], np.uint64), np.log10([p for _, p in by_hash])))
 
-    table, n_blocks = build_filter(train, n)
+    table, n_blocks = build_filter(train, counts, n)
     per = max(1, shard_bytes // BLOCK)
     kind = rows.schema["row"].dataType.simpleString()
     state = rows.withColumn("levels", F.lit(None).cast("binary"))
@@ -322,7 +363,8 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     shard.unpersist()
 
     rare = judged.select("row.at", F.explode(F.arrays_zip("words", "times")).alias("w")).select("at", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
-    found = rare.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    # Hashing a task's share of the counts spares a sort of all rare words.
+    found = rare.join(counts.hint("shuffle_hash"), "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     sums = found.groupBy("at").agg(F.sum(F.col("times") * F.log10((F.col("c") + 0.5) / F.lit(float(below)))).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("seen"))
     out = judged.withColumn("at", F.col("row.at")).join(sums, "at", "left").withColumn(key, F.col("row.id"))
     return out.select(
