@@ -28,7 +28,7 @@ ship(__name__)
 
 SIZE = 1024
 #: Pieces ranked in one group, about.
-GROUP = 5_000
+GROUP = 1_000
 
 
 def cut(n: int, size: int) -> list[tuple[int, int]]:
