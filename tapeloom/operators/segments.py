@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers, text
@@ -50,6 +50,13 @@ def removed_counts(segments: DataFrame, unwanted: str) -> DataFrame:
     return counts.withColumn("n_removed", F.col("n_before") - F.col("n_after"))
 
 
+def observed(segments: DataFrame, unwanted: str, name: str = "segments") -> tuple[DataFrame, Observation]:
+    """K6: the segments without unwanted ones, and counts that are there once an action has run over them: no extra pass."""
+    seen = Observation(name)
+    has = F.contains("text", F.lit(unwanted))
+    return without_text(segments.observe(seen, F.count("*").alias("n_before"), F.count_if(has).alias("n_removed")), unwanted), seen
+
+
 def logprob_range(segments: DataFrame) -> DataFrame:
     """A2."""
     return segments.groupBy("transcript_id").agg(F.min("avg_logprob").alias("min_logprob"), F.max("avg_logprob").alias("max_logprob"))

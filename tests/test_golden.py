@@ -145,6 +145,12 @@ def test_unwanted_goes_from_json_only(spark, tmp_path):
     assert files.read_texts(spark, f"{tmp_path}/combined_texts").where("text <> ''").count() == 1
 
 
+def test_observed_counts(spark):
+    rows, seen = segments.observed(spark.createDataFrame(THREE, SEGMENT), "are")
+    assert rows.count() == 2
+    assert seen.get == {"n_before": 3, "n_removed": 1}
+
+
 def test_files(spark, tmp_path):
     assert files.taken_names(spark, f"{tmp_path}/none").count() == 0
     for n in ("a.mp4", "b_1.mp4"):
