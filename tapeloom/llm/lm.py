@@ -6,8 +6,9 @@ gives the level back, never too low. The model interpolates pair counts with smo
 all from the filter.
 
 The filter has one byte for each training token, in blocks of ``BLOCK`` bytes that are filled by the
-tasks that the block's n-grams are dealt to. It is broadcast in shards of at most ``SHARD`` bytes: one
-for corpora of up to as many tokens, beyond that a pass over the texts for each shard.
+tasks that the block's n-grams are dealt to. It is broadcast if it has at most ``BROADCAST`` bytes. A larger
+one stays where it is: runs of texts deal their distinct n-grams to the parts of the filter, and the
+levels come back to the runs, so the work stays linear in the input and no task holds more than a part.
 
 The base score needs exact counts: words that make up at least one in ``FREQUENT`` training tokens,
 hence at most as many words, are broadcast with their counts; the others are joined to theirs.
@@ -34,7 +35,9 @@ ship(__name__)
 FOLDS, HELD_OUT = 5, 1
 FREQUENT = 131_072
 BLOCK = 1 << 16
-SHARD = 1 << 27
+#: A filter of more bytes is not broadcast but probed in parts of about ``PART`` bytes.
+BROADCAST = 1 << 27
+PART = 1 << 22
 PROBES = 3
 PRIOR = 10.0
 SEED = 7
@@ -94,13 +97,11 @@ class Filter:
     def __init__(self, first: int, data: np.ndarray, n_blocks: int):
         self.first, self.data, self.n_blocks = first, data, n_blocks
 
-    def levels(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Level of each key, and whether its block is here."""
-        block = block_of(keys, self.n_blocks).astype(np.int64) - self.first
-        here = (block >= 0) & (block * BLOCK < len(self.data))
+    def levels(self, keys: np.ndarray) -> np.ndarray:
+        """Level of each key; all of them must belong to these blocks."""
         out = np.zeros(len(keys), np.uint8)
-        alive = np.flatnonzero(here)
-        base, low = block[alive] * BLOCK, keys[alive] & _LOW
+        alive = np.arange(len(keys))
+        base, low = (block_of(keys, self.n_blocks).astype(np.int64) - self.first) * BLOCK, keys & _LOW
         level = 0
         while len(alive):
             level += 1
@@ -111,7 +112,7 @@ class Filter:
                 held = np.flatnonzero((byte >> (p & 7).astype(np.uint8)) & np.uint8(1))
                 alive, base, low, h = alive[held], base[held], low[held], h[held]
             out[alive] = level
-        return out, here
+        return out
 
 
 def fill_block(low: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -180,6 +181,13 @@ def _runs(texts: list, most: int = CHUNK):
         yield Run(held)
 
 
+def _blobs(rows: np.ndarray, begin: np.ndarray) -> pa.Array:
+    """The bytes of consecutive rows, cut where ``begin`` says."""
+    size = rows.nbytes // max(len(rows), 1)
+    offsets = pa.array(np.append(begin, len(rows)) * size, pa.int32())
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, offsets.buffers()[1], pa.py_buffer(rows.tobytes())])
+
+
 def _packed(keys: np.ndarray, n: np.ndarray, n_blocks: int) -> pa.RecordBatch:
     """Sorted keys and their counts as (block, 6 bytes for each: low bits of the key, count)."""
     times = -(-n // 255)  # a byte holds counts to 255, larger ones take several rows
@@ -193,9 +201,7 @@ def _packed(keys: np.ndarray, n: np.ndarray, n_blocks: int) -> pa.RecordBatch:
     packed[:, :5] = (keys & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
     packed[:, 5] = count
     begin = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
-    offsets = pa.array(np.append(begin, len(keys)) * 6, pa.int32())
-    blobs = pa.Array.from_buffers(pa.binary(), len(begin), [None, offsets.buffers()[1], pa.py_buffer(packed.tobytes())])
-    return pa.RecordBatch.from_arrays([pa.array(block[begin]), blobs], names=["block", "grams"])
+    return pa.RecordBatch.from_arrays([pa.array(block[begin]), _blobs(packed, begin)], names=["block", "grams"])
 
 
 def _pack_words(n_blocks: int):
@@ -266,16 +272,11 @@ def _scores(levels: np.ndarray, starts: np.ndarray, n: int, v: int) -> np.ndarra
     return np.add.reduceat(np.log10(p), starts)
 
 
-def _levels(f: Filter, x: Run, old: list) -> np.ndarray:
-    """Levels of (pair, word before, word) of a run's tokens: what ``f`` knows, and ``old`` where a shard was probed before."""
+def _levels(f: Filter, x: Run) -> np.ndarray:
+    """Levels of (pair, word before, word) of a run's tokens."""
     one, at = np.unique(x.hashes, return_inverse=True)
-    single = f.levels(mix(one))[0][at]
-    levels = np.stack([f.levels(x.pairs())[0], shifted(single), single])
-    for i, known in enumerate(old):
-        if known is not None:
-            mine = levels[:, x.starts[i] : x.starts[i] + x.sizes[i]]
-            np.maximum(mine, np.frombuffer(known, np.uint8).reshape(3, -1), out=mine)
-    return levels
+    single = f.levels(mix(one))[at]
+    return np.stack([f.levels(x.pairs()), shifted(single), single])
 
 
 def _runs_of_rows(batches):
@@ -287,51 +288,139 @@ def _runs_of_rows(batches):
             at += len(x.sizes)
 
 
-def _probe(shard):
-    """Adds what a shard of the filter knows to the levels of each text (three rows of bytes)."""
+def _judged(rows: pa.Array, x: Run, levels: np.ndarray, hot, n: int, v: int) -> pa.RecordBatch:
+    """Tokens, those known, base score and score of a run's texts as far as frequent words go, and the other words."""
+    known, logs = hot
+    score = _scores(levels, x.starts, n, v)
+    place = np.minimum(np.searchsorted(known, x.hashes), len(known) - 1)
+    frequent = known[place] == x.hashes
+    base = np.add.reduceat(np.where(frequent, logs[place], 0.0), x.starts)
+    n_frequent = np.add.reduceat(frequent.astype(np.int64), x.starts)
+    # The other words, each once for each text, with how often it occurs there.
+    rare = np.flatnonzero(~frequent)
+    text = np.repeat(np.arange(len(x.sizes)), x.sizes)[rare]
+    order = np.lexsort((x.hashes[rare], text))
+    rare, text = rare[order], text[order]
+    h = x.hashes[rare]
+    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(rare)])
+    times = np.diff(np.append(first, len(rare)))
+    offsets = pa.array(np.searchsorted(text[first], np.arange(len(x.sizes) + 1)).astype(np.int32))
+    words = pa.array([x.tokens[i].decode("utf-8", "replace") for i in rare[first].tolist()], pa.string())
+    cols = [pa.array(x.sizes), pa.array(n_frequent), pa.array(base), pa.array(score)]
+    lists = [pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(times))]
+    return pa.RecordBatch.from_arrays([rows, *cols, *lists], names=["row", "n_tokens", "known", "base", "score", "words", "times"])
+
+
+def _judge(whole, hot, n: int, v: int):
+    """Judges texts by a broadcast filter."""
 
     def run(batches):
         for b, x in _runs_of_rows(batches):
-            levels = _levels(shard.value, x, b.column(2).to_pylist())
-            new = [levels[:, s : s + n].tobytes() for s, n in zip(x.starts, x.sizes)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, pa.binary())], names=["row", "text", "levels"])
+            yield _judged(b.column(0), x, _levels(whole.value, x), hot.value, n, v)
 
     return run
 
 
-def _judge(shard, hot, n: int, v: int):
-    """With the last shard: tokens, those known, base score and score as far as frequent words go, and the other words."""
+#: Stands for the number of a part in rows of texts, which sort after a run's answers.
+TEXT = 2**31 - 1
+
+
+def gram_keys(x: Run) -> np.ndarray:
+    """Distinct keys of a run's words and pairs in order, which is also that of their blocks."""
+    return np.unique(np.concatenate([mix(np.unique(x.hashes)), x.pairs()]))
+
+
+def _ask(n_blocks: int, per: int):
+    """For each run, a row (run, part, keys) for each part of the filter that it needs, and a row for each text."""
 
     def run(batches):
-        known, logs = hot.value
+        names = ["run", "part", "row", "text", "grams"]
         for b, x in _runs_of_rows(batches):
-            score = _scores(_levels(shard.value, x, b.column(2).to_pylist()), x.starts, n, v)
-            place = np.minimum(np.searchsorted(known, x.hashes), len(known) - 1)
-            frequent = known[place] == x.hashes
-            base = np.add.reduceat(np.where(frequent, logs[place], 0.0), x.starts)
-            n_frequent = np.add.reduceat(frequent.astype(np.int64), x.starts)
-            # The other words, each once for each text, with how often it occurs there.
-            rare = np.flatnonzero(~frequent)
-            text = np.repeat(np.arange(len(x.sizes)), x.sizes)[rare]
-            order = np.lexsort((x.hashes[rare], text))
-            rare, text = rare[order], text[order]
-            h = x.hashes[rare]
-            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (text[1:] != text[:-1]))[: len(rare)])
-            times = np.diff(np.append(first, len(rare)))
-            offsets = pa.array(np.searchsorted(text[first], np.arange(len(x.sizes) + 1)).astype(np.int32))
-            words = pa.array([x.tokens[i].decode("utf-8", "replace") for i in rare[first].tolist()], pa.string())
-            cols = [pa.array(x.sizes), pa.array(n_frequent), pa.array(base), pa.array(score)]
-            lists = [pa.ListArray.from_arrays(offsets, words), pa.ListArray.from_arrays(offsets, pa.array(times))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *cols, *lists], names=["row", "n_tokens", "known", "base", "score", "words", "times"])
+            number = b.column(0).field("at")[0].as_py()
+            keys = gram_keys(x)
+            part = (block_of(keys, n_blocks) // np.uint64(per)).astype(np.int32)
+            begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+            k, m = len(begin), b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, number)), pa.array(part[begin]), pa.nulls(k, b.column(0).type), pa.nulls(k, pa.string()), _blobs(keys, begin)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, number)), pa.array(np.full(m, TEXT, np.int32)), b.column(0), b.column(1), pa.nulls(m, pa.binary())], names=names)
+
+    return run
+
+
+def _answer(n_blocks: int, per: int):
+    """Levels of the keys that were asked for. Rows come by part, its blocks (run -1) before the questions."""
+
+    def run(batches):
+        part, data = None, np.zeros(0, np.uint8)
+        for b in batches:
+            runs, parts, levels = [], [], []
+            for p, r, block, grams in zip(*(c.to_pylist() for c in b.columns)):
+                if p != part:
+                    part, data = p, np.zeros(per * BLOCK, np.uint8)
+                if r < 0:
+                    at = (block - p * per) * BLOCK
+                    data[at : at + BLOCK] = np.frombuffer(grams, np.uint8)
+                    continue
+                runs.append(r)
+                parts.append(p)
+                levels.append(Filter(p * per, data, n_blocks).levels(np.frombuffer(grams, np.uint64)).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(parts, pa.int32()), pa.array(levels, pa.binary())], names=["run", "part", "grams"])
 
     return run
 
 
+def _judge_runs(hot, n: int, v: int):
+    """Judges texts by the answers to their run. Rows come by run, its answers by part, then its texts in order."""
+
+    def judged(answers, rows, texts):
+        x = Run([tokens_of(t) for t in texts])
+        keys, known = gram_keys(x), np.frombuffer(b"".join(answers), np.uint8)
+        one, at = np.unique(x.hashes, return_inverse=True)
+        single = known[np.searchsorted(keys, mix(one))][at]
+        levels = np.stack([known[np.searchsorted(keys, x.pairs())], shifted(single), single])
+        return _judged(pa.concat_arrays(rows), x, levels, hot.value, n, v)
+
+    def run(batches):
+        now, answers, rows, texts = None, [], [], []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            number, part = b.column(0).to_numpy(), b.column(1).to_numpy()
+            begin = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+            for s, e in zip(begin.tolist(), [*begin[1:].tolist(), b.num_rows]):
+                if number[s] != now:
+                    if rows:
+                        yield judged(answers, rows, texts)
+                    now, answers, rows, texts = number[s], [], [], []
+                m = s + int((part[s:e] < TEXT).sum())
+                answers += b.column(4).slice(s, m - s).to_pylist()
+                if m < e:
+                    rows.append(b.column(2).slice(m, e - m))
+                    texts += b.column(3).slice(m, e - m).to_pylist()
+        if rows:
+            yield judged(answers, rows, texts)
+
+    return run
+
+
+def judge_by_parts(rows: DataFrame, table: DataFrame, n_blocks: int, part_bytes: int, hot, n: int, v: int, out: str) -> DataFrame:
+    """What ``_judge`` gives, with a filter that is not gathered: its parts meet the n-grams dealt to them."""
+    per = max(1, part_bytes // BLOCK)
+    asked = written(rows.mapInArrow(_ask(n_blocks, per), f"run long, part int, row {rows.schema['row'].dataType.simpleString()}, text string, grams binary"), "asked")
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_blocks // per))
+    questions = asked.where(F.col("part") < TEXT).select("part", "run", F.lit(-1).cast("long").alias("block"), "grams")
+    blocks = table.select(F.floor(F.col("block") / per).cast("int").alias("part"), F.lit(-1).cast("long").alias("run"), "block", F.col("bits").alias("grams"))
+    dealt = questions.unionByName(blocks).repartition(parts, "part").sortWithinPartitions("part", "run", "block")
+    answers = dealt.mapInArrow(_answer(n_blocks, per), "run long, part int, grams binary")
+    back = asked.where(F.col("part") == TEXT).unionByName(answers, allowMissingColumns=True)
+    return back.repartition(parts, "run").sortWithinPartitions("run", "part", "row.at").mapInArrow(_judge_runs(hot, n, v), out)
+
+
 def held_out(key: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_bytes: int = SHARD, frequent: int = FREQUENT) -> DataFrame:
+def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_bytes: int = BROADCAST, part_bytes: int = PART, frequent: int = FREQUENT) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     sc = docs.sparkSession.sparkContext
     rows = docs.select(F.struct(F.monotonically_increasing_id().alias("at"), F.col(key).alias("id")).alias("row"), F.col(text).alias("text"))
@@ -347,20 +436,16 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_
     hot = sc.broadcast((np.array([h for h, _ in by_hash], np.uint64), np.log10([p for _, p in by_hash])))
 
     table, n_blocks = build_filter(train, counts, n)
-    per = max(1, shard_bytes // BLOCK)
-    kind = rows.schema["row"].dataType.simpleString()
-    state = rows.withColumn("levels", F.lit(None).cast("binary"))
-    for first in range(0, n_blocks, per):
-        data = np.zeros(min(per, n_blocks - first) * BLOCK, np.uint8)
-        for r in table.where(F.col("block").between(first, first + per - 1)).toLocalIterator():
-            at = (r["block"] - first) * BLOCK
-            data[at : at + BLOCK] = np.frombuffer(r["bits"], np.uint8)
-        shard = sc.broadcast(Filter(first, data, n_blocks))
-        if first + per < n_blocks:
-            state = written(state.mapInArrow(_probe(shard), f"row {kind}, text string, levels binary"), "levels")
-    judged = state.mapInArrow(_judge(shard, hot, n, v), f"row {kind}, n_tokens long, known long, base double, score double, words array<string>, times array<long>")
-    judged = written(judged, "judged")
-    shard.unpersist()
+    kind = f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, known long, base double, score double, words array<string>, times array<long>"
+    if n_blocks * BLOCK <= broadcast_bytes:
+        data = np.zeros(n_blocks * BLOCK, np.uint8)
+        for r in table.toLocalIterator():
+            data[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["bits"], np.uint8)
+        whole = sc.broadcast(Filter(0, data, n_blocks))
+        judged = written(rows.mapInArrow(_judge(whole, hot, n, v), kind), "judged")
+        whole.unpersist()
+    else:
+        judged = written(judge_by_parts(rows, table, n_blocks, part_bytes, hot, n, v, kind), "judged")
 
     rare = judged.select("row.at", F.explode(F.arrays_zip("words", "times")).alias("w")).select("at", F.col("w.words").alias("word"), F.col("w.times").alias("times"))
     # Hashing a task's share of the counts spares a sort of all rare words.

@@ -44,9 +44,10 @@ def test_documents(spark, sf_dir):
     unseen = [r for r in got if r[1]]
     assert sum(r[6] for r in unseen) > sum(r[5] for r in unseen)
     assert all(r[6] <= 1e-9 for r in got)
-    # In shards and with few broadcast words: the same.
-    again = check(lm.score_texts(docs, shard_bytes=2 * lm.BLOCK, frequent=50).collect(), want)
-    assert [r[6] for r in again] == pytest.approx([r[6] for r in got])
+    # With a filter that is not broadcast and few broadcast words: the same.
+    for per in (1, 3):
+        again = check(lm.score_texts(docs, broadcast_bytes=lm.BLOCK, part_bytes=per * lm.BLOCK, frequent=50).collect(), want)
+        assert [r[6] for r in again] == pytest.approx([r[6] for r in got])
 
 
 def test_filter_never_too_low():
@@ -54,9 +55,9 @@ def test_filter_never_too_low():
     keys = rng.integers(0, 2**64, 20000, dtype=np.uint64)
     counts = rng.zipf(1.7, 20000).clip(1, 10**6)
     f = lm.Filter(0, lm.fill_block(keys & np.uint64((1 << 40) - 1), counts), 1)
-    got, here = f.levels(keys)
-    assert here.all() and (got >= lm.level_of(counts)).all() and (got == lm.level_of(counts)).mean() > 0.9
-    absent = f.levels(rng.integers(0, 2**64, 20000, dtype=np.uint64))[0]
+    got = f.levels(keys)
+    assert (got >= lm.level_of(counts)).all() and (got == lm.level_of(counts)).mean() > 0.9
+    absent = f.levels(rng.integers(0, 2**64, 20000, dtype=np.uint64))
     assert (absent > 0).mean() < 0.1
 
 
@@ -66,3 +67,18 @@ def test_small(spark):
     assert lm.score_texts(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     held = [(i, "x") for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1]
     check(lm.score_texts(spark.createDataFrame(held, "doc_id long, text string")).collect(), brute(held))
+    for rows in (rows, held, []):
+        check(lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), broadcast_bytes=0).collect(), brute(rows))
+
+
+def test_runs_over_many_batches(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    want = sorted(tuple(r) for r in lm.score_texts(docs).collect())
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = sorted(tuple(r) for r in lm.score_texts(docs, broadcast_bytes=0, part_bytes=lm.BLOCK).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert [r[5] for r in got] == pytest.approx([r[5] for r in want]) and [r[6] for r in got] == pytest.approx([r[6] for r in want])
