@@ -3,9 +3,10 @@
 import hashlib
 import re
 
-from pyspark.sql import functions as F
+import duckdb
+import pytest
 
-from tapeloom.llm import pii, secrets
+from tapeloom.llm import pii, queries, secrets
 
 SECRET_RE = {
     "assign": re.compile(r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|(?:[Pp][Aa][Ss][Ss][Ww][Dd])|(?:[Ss][Ee][Cc][Rr][Ee][Tt])|(?:[Tt][Oo][Kk][Ee][Nn])|(?:[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
@@ -117,3 +118,20 @@ def test_redact(spark):
     assert got == {1: ("😀 mail <EMAIL>, <CARD>!", 23, 5), 2: (None, None, 6), 3: ("x", 1, 7)}
     scored = pii.with_scores(pii.find_pii(docs)).orderBy("start").collect()
     assert [(r.kind, r.score) for r in scored] == [("email", 1.0), ("card", 0.8)]
+
+
+@pytest.mark.parametrize("name", ["op1_secret_scan", "op4_pii"])
+def test_sql_agrees_on_odd_texts(spark, name):
+    report = {"op1_secret_scan": secrets.secrets_report, "op4_pii": pii.pii_report}[name]
+    more = ["DE89370400440532013000 DE89370400440532013000", "xDE89370400440532013000", "GB82 WEST 1234 5698 7654 32 GB82 WEST 1234 5698 7654 32 and", "social 123-45-6789-1 tax 987-65-4321\nssn é 123-45-6789"]
+    rows = list(enumerate(ODD + more))
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    sql = con.execute(queries.ORACLE_SQL[name])
+    names = [d[0] for d in sql.description]
+    got = report(spark.createDataFrame(rows, "doc_id long, text string")).select(*names).collect()
+    want = {r[0]: r for r in sql.fetchall()}
+    for r in got:
+        assert tuple(r) == want[r.doc_id], rows[r.doc_id][1]
+    assert len(got) == len(want)
