@@ -209,17 +209,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", ra
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stand for their groups: those with the group's smallest id. All columns are kept.
 
-    Of rows that repeat that id the one with the smallest text, by its hash, stays. Rows without an id stay.
+    Of rows that repeat that id the one whose text has the smallest hash stays, then the first as JSON. Rows without an id stay.
     """
     rows = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, radius)
-    dropped = rows.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(dropped, F.col(key) == F.col("__gone"), "left_anti")
-    again = left.groupBy(F.col(key).alias("__id")).agg(F.count("*").alias("__n")).where("__n > 1 and __id is not null")
+    mine = "__id" + "_" * max(len(c) for c in docs.columns)  # longer than any column's name
+    same = F.col(f"`{key}`") == F.col(mine)
+    left = docs.join(rows.where("doc_id <> component_id").select(F.col("doc_id").alias(mine)).distinct(), same, "left_anti")
+    again = left.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias(mine)).agg(F.count("*").alias("n")).where("n > 1").select(mine)
     if not again.head(1):
         return left
-    single = left.join(again.select("__id"), F.col(key) == F.col("__id"), "left_anti")
-    twice = left.join(again.select("__id"), F.col(key) == F.col("__id"), "left_semi").dropDuplicates([key])
-    return single.unionByName(twice)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    twice = left.join(again, same, "left_semi").groupBy(F.col(f"`{key}`").alias(mine))
+    first = twice.agg(F.min_by(whole, F.struct(F.xxhash64(text), F.to_json(whole))).alias("row")).select("row.*")
+    return left.join(again, same, "left_anti").unionByName(first)
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:

@@ -52,6 +52,14 @@ def test_documents(spark, sf_dir):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({r[2] for r in want})
 
 
+def test_kept_row_of_a_repeated_id(spark):
+    rows = [(1, "a b c d e f", 5, 1), (1, "a b c d e f", 4, 2), (2, "A b c d e f", 3, 3), (None, "a b c d e f", 2, 4), (9, "quite another text of a few words", 1, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id int, `component_id` int").repartition(3)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
 def clustered(n, seed):
     rng = np.random.default_rng(seed)
     centres = rng.integers(0, 2**64, 40, dtype=np.uint64)
