@@ -99,9 +99,12 @@ class Filter:
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each key; all of them must belong to these blocks."""
-        out = np.zeros(len(keys), np.uint8)
-        alive = np.arange(len(keys))
-        base, low = (block_of(keys, self.n_blocks).astype(np.int64) - self.first) * BLOCK, keys & _LOW
+        return self.probe(block_of(keys, self.n_blocks).astype(np.int64) - self.first, keys & _LOW)
+
+    def probe(self, block: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Level of each key by its block, counted from the first one here, and its low bits."""
+        out = np.zeros(len(low), np.uint8)
+        alive, base = np.arange(len(low)), block * BLOCK
         level = 0
         while len(alive):
             level += 1
@@ -321,28 +324,37 @@ def _judge(whole, hot, n: int, v: int):
     return run
 
 
-#: Stands for the number of a part in rows of texts, which sort after a run's answers.
-TEXT = 2**31 - 1
-
-
 def gram_keys(x: Run) -> np.ndarray:
     """Distinct keys of a run's words and pairs in order, which is also that of their blocks."""
     return np.unique(np.concatenate([mix(np.unique(x.hashes)), x.pairs()]))
 
 
 def _ask(n_blocks: int, per: int):
-    """For each run, a row (run, part, keys) for each part of the filter that it needs, and a row for each text."""
+    """For each run, a row for each part of the filter that it needs, 6 bytes for each key. Texts come by run."""
+
+    def ask(number: int, texts: list) -> pa.RecordBatch:
+        keys = gram_keys(Run([tokens_of(t) for t in texts]))
+        block = block_of(keys, n_blocks).astype(np.int64)
+        part = block // per
+        packed = np.empty((len(keys), 6), np.uint8)
+        packed[:, :5] = (keys & _LOW).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        packed[:, 5] = block - part * per
+        begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(begin), number)), pa.array(part[begin].astype(np.int32)), _blobs(packed, begin)], names=["run", "part", "grams"])
 
     def run(batches):
-        names = ["run", "part", "row", "text", "grams"]
-        for b, x in _runs_of_rows(batches):
-            number = b.column(0).field("at")[0].as_py()
-            keys = gram_keys(x)
-            part = (block_of(keys, n_blocks) // np.uint64(per)).astype(np.int32)
-            begin = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-            k, m = len(begin), b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(k, number)), pa.array(part[begin]), pa.nulls(k, b.column(0).type), pa.nulls(k, pa.string()), _blobs(keys, begin)], names=names)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(m, number)), pa.array(np.full(m, TEXT, np.int32)), b.column(0), b.column(1), pa.nulls(m, pa.binary())], names=names)
+        now, held = None, []
+        for b in batches:
+            number = b.column("run").to_numpy()
+            begin = np.flatnonzero(np.append(True, number[1:] != number[:-1])) if len(number) else []
+            for s, e in zip(begin, [*begin[1:], len(number)]):
+                if number[s] != now:
+                    if held:
+                        yield ask(now, held)
+                    now, held = number[s], []
+                held += b.column("text").slice(s, e - s).to_pylist()
+        if held:
+            yield ask(now, held)
 
     return run
 
@@ -361,59 +373,48 @@ def _answer(n_blocks: int, per: int):
                     at = (block - p * per) * BLOCK
                     data[at : at + BLOCK] = np.frombuffer(grams, np.uint8)
                     continue
+                packed = np.frombuffer(grams, np.uint8).reshape(-1, 6)
+                low = np.zeros((len(packed), 8), np.uint8)
+                low[:, :5] = packed[:, :5]
                 runs.append(r)
                 parts.append(p)
-                levels.append(Filter(p * per, data, n_blocks).levels(np.frombuffer(grams, np.uint64)).tobytes())
+                levels.append(Filter(p * per, data, n_blocks).probe(packed[:, 5].astype(np.int64), low.view("<u8").ravel()).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(runs, pa.int64()), pa.array(parts, pa.int32()), pa.array(levels, pa.binary())], names=["run", "part", "grams"])
 
     return run
 
 
-def _judge_runs(hot, n: int, v: int):
-    """Judges texts by the answers to their run. Rows come by run, its answers by part, then its texts in order."""
+def _judge_run(hot, n: int, v: int):
+    """Judges the texts of a run by the answers to it."""
 
-    def judged(answers, rows, texts):
-        x = Run([tokens_of(t) for t in texts])
-        keys, known = gram_keys(x), np.frombuffer(b"".join(answers), np.uint8)
+    def judged(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        x = Run([tokens_of(t) for t in texts.column("text").to_pylist()])
+        keys, known = gram_keys(x), np.frombuffer(b"".join(answers.sort_by("part").column("grams").to_pylist()), np.uint8)
         one, at = np.unique(x.hashes, return_inverse=True)
         single = known[np.searchsorted(keys, mix(one))][at]
         levels = np.stack([known[np.searchsorted(keys, x.pairs())], shifted(single), single])
-        return _judged(pa.concat_arrays(rows), x, levels, hot.value, n, v)
+        rows = pa.concat_arrays(texts.column("row").chunks)
+        rows = pa.StructArray.from_arrays([rows.field(0), rows.field(1)], names=["at", "id"])  # both nullable
+        return pa.Table.from_batches([_judged(rows, x, levels, hot.value, n, v)])
 
-    def run(batches):
-        now, answers, rows, texts = None, [], [], []
-        for b in batches:
-            if not b.num_rows:
-                continue
-            number, part = b.column(0).to_numpy(), b.column(1).to_numpy()
-            begin = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
-            for s, e in zip(begin.tolist(), [*begin[1:].tolist(), b.num_rows]):
-                if number[s] != now:
-                    if rows:
-                        yield judged(answers, rows, texts)
-                    now, answers, rows, texts = number[s], [], [], []
-                m = s + int((part[s:e] < TEXT).sum())
-                answers += b.column(4).slice(s, m - s).to_pylist()
-                if m < e:
-                    rows.append(b.column(2).slice(m, e - m))
-                    texts += b.column(3).slice(m, e - m).to_pylist()
-        if rows:
-            yield judged(answers, rows, texts)
-
-    return run
+    return judged
 
 
 def judge_by_parts(rows: DataFrame, table: DataFrame, n_blocks: int, part_bytes: int, hot, n: int, v: int, out: str) -> DataFrame:
-    """What ``_judge`` gives, with a filter that is not gathered: its parts meet the n-grams dealt to them."""
-    per = max(1, part_bytes // BLOCK)
-    asked = written(rows.mapInArrow(_ask(n_blocks, per), f"run long, part int, row {rows.schema['row'].dataType.simpleString()}, text string, grams binary"), "asked")
+    """What ``_judge`` gives, with a filter that is not gathered: its parts meet the n-grams dealt to them.
+
+    Rows are dealt to runs of about ``CHUNK`` tokens by their number, which files give the same at each reading.
+    Both readers of the texts take all columns, so that they share one exchange.
+    """
+    per = min(max(1, part_bytes // BLOCK), 256)
     parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_blocks // per))
-    questions = asked.where(F.col("part") < TEXT).select("part", "run", F.lit(-1).cast("long").alias("block"), "grams")
+    texts = rows.withColumn("run", F.pmod(F.xxhash64("row.at"), F.lit(max(1, n // CHUNK)).cast("long"))).repartition(parts, "run")
+    asked = texts.sortWithinPartitions("run").mapInArrow(_ask(n_blocks, per), "run long, part int, grams binary")
+    questions = asked.select("part", "run", F.lit(-1).cast("long").alias("block"), "grams")
     blocks = table.select(F.floor(F.col("block") / per).cast("int").alias("part"), F.lit(-1).cast("long").alias("run"), "block", F.col("bits").alias("grams"))
-    dealt = questions.unionByName(blocks).repartition(parts, "part").sortWithinPartitions("part", "run", "block")
+    dealt = questions.unionByName(blocks).repartition(parts, "part").sortWithinPartitions("part", "run")
     answers = dealt.mapInArrow(_answer(n_blocks, per), "run long, part int, grams binary")
-    back = asked.where(F.col("part") == TEXT).unionByName(answers, allowMissingColumns=True)
-    return back.repartition(parts, "run").sortWithinPartitions("run", "part", "row.at").mapInArrow(_judge_runs(hot, n, v), out)
+    return texts.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(_judge_run(hot, n, v), out)
 
 
 def held_out(key: str = "doc_id"):
