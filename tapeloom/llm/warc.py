@@ -8,7 +8,10 @@ empty gzip member, so that the archives are plain multi-member gzip and go where
 Reading: archives come through Spark's binary reader, gzip members or plain. A record must start
 with a version line, carry its length, end in two line breaks and match its digest. When a check
 fails the reader searches for the next gzip member or version line that passes, goes on from there
-and reports the bytes between as a quarantined gap.
+and reports the bytes between as a quarantined gap. A member may hold many records: each that passes
+is kept, and bytes between are a gap with the member's offsets. Of a member that breaks off or is
+damaged, the records that inflate before the break are kept and the rest is a gap; in a damaged one
+(its own checksum or coding fails) only records with a digest are, as nothing else vouches for them.
 
 Defined results: a null page is empty; a null id makes a revisit of any equal page with an id, and
 a response if there is none; rows that repeat the smallest id are all responses; an empty table
@@ -150,64 +153,112 @@ def payload_of(head: dict, block: bytes) -> bytes:
     return block
 
 
-def read_plain(data: bytes, shift: int = 0):
+def record_at(data: bytes, at: int, proven: bool = False) -> tuple[dict, bytes, int] | None:
+    """As ``parse_record``, with the payload digest of responses checked; ``proven`` asks for a digest."""
+    got = parse_record(data, at)
+    if not got:
+        return None
+    head, block, _ = got
+    digest = head.get("warc-payload-digest", "").removeprefix("sha1:") if head.get("warc-type") == "response" else ""
+    if digest and digest != _digest(payload_of(head, block)):
+        return None
+    return got if digest or head.get("warc-block-digest") or not proven else None
+
+
+def read_plain(data: bytes):
     """Yields ("record", start, end, headers, block) and ("gap", start, end, None, None)."""
     at, bad = 0, None
     while at < len(data):
-        got = parse_record(data, at)
-        if got and got[0].get("warc-type") == "response" and got[0].get("warc-payload-digest", "").removeprefix("sha1:") not in ("", _digest(payload_of(*got[:2]))):
-            got = None
-        if got:
+        if got := record_at(data, at):
             if bad is not None:
-                yield "gap", shift + bad, shift + at, None, None
+                yield "gap", bad, at, None, None
                 bad = None
-            yield "record", shift + at, shift + got[2], got[0], got[1]
+            yield "record", at, got[2], got[0], got[1]
             at = got[2]
         else:
             bad = at if bad is None else bad
             found = VERSION.search(data, at + 1)
             at = found.start() if found else len(data)
     if bad is not None:
-        yield "gap", shift + bad, shift + at, None, None
+        yield "gap", bad, at, None, None
 
 
-def inflate(data: bytes, at: int, step: int = 16384) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and its end, which is 0 if the member is broken."""
-    unzip, out = zlib.decompressobj(31), []
+def inflate(data: bytes, begin: int, step: int = 16384) -> tuple[bytes, int, bool]:
+    """The content of the gzip member at ``begin``, its end, and whether it is damaged.
+
+    A broken member has end 0 and the content that comes before the break; it is not damaged if the data just stop."""
+    unzip, out, at = zlib.decompressobj(31), [], begin
     try:
         while not unzip.eof and at < len(data):
             out.append(unzip.decompress(data[at : at + step]))
             at += step
     except zlib.error:
-        return b"", 0
-    return (b"".join(out), min(at, len(data)) - len(unzip.unused_data)) if unzip.eof else (b"", 0)
+        return b"".join(out) + _before_damage(data, begin, at, step), 0, True
+    return b"".join(out), min(at, len(data)) - len(unzip.unused_data) if unzip.eof else 0, False
 
 
-def read_archive(data: bytes):
-    """The same over an archive of gzip members or plain records; offsets are of the file."""
-    if not data.startswith(MEMBER) and VERSION.match(data):
-        yield from read_plain(data)
-        return
+def _before_damage(data: bytes, begin: int, at: int, step: int) -> bytes:
+    """What the ``step`` bytes at ``at`` give before inflating fails in them: smaller and smaller steps, then the last byte's output one by one."""
+    unzip, out = zlib.decompressobj(31), []
+    for k in range(begin, at, step):
+        unzip.decompress(data[k : k + step])
+    while step:
+        trial = unzip.copy()
+        try:
+            out.append(trial.decompress(data[at : at + step]))
+            unzip, at = trial, at + step
+        except zlib.error:
+            step //= 2
+    left = data[at : at + 1]
+    try:
+        while (got := unzip.decompress(left, 1)) or unzip.unconsumed_tail:
+            out.append(got)
+            left = unzip.unconsumed_tail
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def read_member(data: bytes, at: int) -> tuple[list[tuple], int]:
+    """Rows of the gzip member at ``at``, and where reading goes on; 0 if the member has content but no record."""
+    body, end, damaged = inflate(data, at)
+    # Stored blocks that break off take in the bytes of the members after them, so these are looked for too.
+    rows = list(read_plain(body) if end else read_archive(body, damaged))
+    if not end and rows and rows[-1][0] == "gap":
+        rows.pop()  # part of the gap that follows
+    if body and not any(r[0] == "record" for r in rows):
+        return [], 0
+    if not end and rows:
+        # Go on at the byte that completed the last record: what inflates after it may belong to other members.
+        unzip = zlib.decompressobj(31)
+        unzip.decompress(data[at:], max(1, rows[-1][2] - 1))
+        end = len(data) - len(unzip.unconsumed_tail) - 1
+    return [(r[0], at, end, r[3], r[4]) for r in rows], end
+
+
+def read_archive(data: bytes, proven: bool = False):
+    """The same over an archive of gzip members and plain records; offsets are of the file, and in a member those of the member."""
     at, bad = 0, None
+    zipped = plain = -1
     while at < len(data):
-        found = None
+        rows, end = [], 0
         if data.startswith(MEMBER, at):
-            body, end = inflate(data, at)
-            rows = list(read_plain(body)) if end else []
-            if end and all(r[0] == "record" for r in rows):
-                found = [("record", at, end, r[3], r[4]) for r in rows], end
-        elif (got := next(read_plain(data[at:], at), None)) and got[0] == "record" and got[1] == at:
-            found = [got], got[2]
-        if found:
+            rows, end = read_member(data, at)
+        elif got := record_at(data, at, proven):
+            rows, end = [("record", at, got[2], got[0], got[1])], got[2]
+        if end:
             if bad is not None:
                 yield "gap", bad, at, None, None
                 bad = None
-            yield from found[0]
-            at = found[1]
+            yield from rows
+            at = end
         else:
             bad = at if bad is None else bad
-            zipped, plain = data.find(MEMBER, at + 1), VERSION.search(data, at + 1)
-            at = min([p for p in (zipped, plain.start() if plain else -1) if p > 0], default=len(data))
+            if zipped <= at:
+                zipped = data.find(MEMBER, at + 1) % (len(data) + 1)
+            if plain <= at:
+                plain = found.start() if (found := VERSION.search(data, at + 1)) else len(data)
+            at = min(zipped, plain)
     if bad is not None:
         yield "gap", bad, at, None, None
 

@@ -3,6 +3,8 @@
 import base64
 import gzip
 import hashlib
+import re
+import zlib
 
 from tapeloom.llm import warc
 
@@ -60,6 +62,39 @@ def test_salvage():
     assert ids(b"") == []
 
 
+def test_salvage_in_members():
+    noise = [hashlib.sha256(b"%d" % i).hexdigest().encode() * 20 + b"%d" % i * 900 for i in range(40)]
+    a, b, c = (record(i, bytes([65 + i]) * 40 + b"WARC/1.0\r\nnot a record") for i in range(3))
+    broken = b.replace(b"BBBB", b"BXBB")
+    z = gzip.compress(a + broken + c)
+    assert ids(z) == ["0", (0, len(z)), "2"]
+    assert ids(gzip.compress(a) + b + gzip.compress(c)) == ids(a + gzip.compress(b) + c) == ids(a + gzip.compress(b + c)) == ["0", "1", "2"]
+    assert ids(a + broken + gzip.compress(c)) == ["0", (len(a), len(a + broken)), "2"]
+    many = [record(i, x) for i, x in enumerate(noise)]
+    for level in (0, 1, 9):
+        z = gzip.compress(b"".join(many), level)
+        assert ids(z) == [str(i) for i in range(40)]
+        for cut in (len(z) - 1, len(z) - 9, len(z) * 3 // 4, len(z) // 2, 700):
+            whole = zlib.decompressobj(31).decompress(z[:cut])
+            n = sum(len(b"".join(many[: k + 1])) <= len(whole) for k in range(40))
+            # Truncated at the end of the file, and before another member: no record lost or twice, one gap up to there.
+            for tail, more in ((b"", []), (gzip.compress(c) + a, ["2", "0"])):
+                got = ids(z[:cut] + tail)
+                assert [x for x in got if isinstance(x, str)] == [str(i) for i in range(n)] + more
+                assert level == 0 or [x[1] for x in got if isinstance(x, tuple)] == [cut]
+    z = gzip.compress(b"".join(many))
+    # Damage to the checksum leaves all records, in the middle those before; what has no digest is not trusted.
+    got = ids(z[:-8] + bytes(8) + gzip.compress(c))
+    assert [x for x in got if isinstance(x, str)] == [str(i) for i in range(40)] + ["2"] and len(got) == 42
+    at = len(z) // 2
+    got = [x for x in ids(z[:at] + bytes(200) + z[at + 200 :]) if isinstance(x, str)]
+    assert 10 < len(got) and got == sorted(set(got), key=int)
+    bare = [re.sub(rb"WARC-Block-Digest.*\r\n", b"", x) for x in many]
+    z = gzip.compress(b"".join(bare))
+    assert len([x for x in ids(z[:-9]) if isinstance(x, str)]) == 40
+    assert ids(z[:-8] + bytes(8)) == [(0, len(z))]
+
+
 def test_salvage_in_spark(spark, tmp_path):
     a, b = record(0, b"a"), record(1, b"b")
     (tmp_path / "x.warc").write_bytes(a[:-2] + b)
