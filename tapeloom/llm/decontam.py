@@ -10,7 +10,9 @@ verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage,
 question and of the answer each.
 
 The index is broadcast. Items are counted first and searched in shards of at most ``MOST_ITEMS``, each a
-pass over the texts, so no more than that is ever collected or broadcast.
+pass over the texts, so no more than that is ever collected or broadcast. With several shards, the
+number of entries, their mean length and in how many each word is are counted over all items first,
+and each shard gets them for its own words: scores are those of one index.
 
 Defined results: null text has no words; items of fewer than five words are not searched, nor are
 null ones; ids of texts and items, null or repeated, are carried as they are, and each row of
@@ -20,16 +22,17 @@ items counts; empty tables give no rows; columns other than ids and texts are no
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tapeloom.llm.common import ship
+from tapeloom.llm.common import ship, written
 
 ship(__name__)
 
@@ -54,10 +57,19 @@ def shingles(ids: list[int]) -> list[tuple[int, ...]]:
     return list(zip(*[ids[i:] for i in range(SHINGLE)]))
 
 
+def entries_of(words: list) -> list[tuple[int, list]]:
+    """Where in an item's words each entry begins, and its words."""
+    cuts = [(at, words[at : at + HALF]) for at in range(0, len(words), HALF)]
+    return [(at, part) for at, part in cuts if len(part) >= SHINGLE]
+
+
 class Index:
-    """Entries of test items, by word."""
+    """Entries of test items, by word.
+
+    ``totals`` has, by word, in how many entries it is, and under None the number of entries and of their words; by default those of ``items``.
+    """
 
-    def __init__(self, items: list[tuple[int | None, str | None]]):
+    def __init__(self, items: list[tuple[int | None, str | None]], totals: dict[bytes | None, tuple[int, int]] | None = None):
         self.vocabulary: dict[bytes, int] = {}
         self.item, self.parts = [], []
         entries: list[list[int]] = []
@@ -66,10 +78,7 @@ class Index:
             ask = raw.rfind(b"?") + 1
             n_ask = len(raw[:ask].translate(_PLAIN).split()) if ask else 0
             words = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in plain_words(text)]
-            for at in range(0, len(words), HALF):
-                ids = words[at : at + HALF]
-                if len(ids) < SHINGLE:
-                    continue
+            for at, ids in entries_of(words):
                 # The question ends at the last question mark, or else half way.
                 cut = n_ask - at if 0 < n_ask - at < len(ids) else len(ids) // 2
                 entries.append(ids)
@@ -78,18 +87,21 @@ class Index:
                 split = max(1, min(len(all_of) - 1, cut - SHINGLE // 2))
                 self.parts.append((set(all_of[:split]), set(all_of[split:])))
         self.n = len(entries)
-        self._impacts(entries)
+        self._impacts(entries, totals)
 
-    def _impacts(self, entries: list[list[int]]) -> None:
+    def _impacts(self, entries: list[list[int]], totals: dict[bytes | None, tuple[int, int]] | None) -> None:
         n_words = len(self.vocabulary)
         counts = [np.unique(np.array(e, np.int64), return_counts=True) for e in entries]
         term = np.concatenate([c[0] for c in counts] or [np.zeros(0, np.int64)])
         tf = np.concatenate([c[1] for c in counts] or [np.zeros(0, np.int64)])
         entry = np.repeat(np.arange(self.n), [len(c[0]) for c in counts])
         length = np.array([len(e) for e in entries], float)
-        df = np.bincount(term, minlength=n_words)
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * length / max(length.mean() if self.n else 1, 1))
+        df, n, n_length = np.bincount(term, minlength=n_words), self.n, length.sum()
+        if totals:
+            df = np.array([totals.get(w, (0, 0))[0] for w in self.vocabulary], np.int64)
+            n, n_length = totals[None]
+        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * length / max(n_length / max(n, 1), 1))
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[entry])
         impact /= np.bincount(entry, impact, minlength=self.n)[entry]
         order = np.lexsort((entry, term))
@@ -168,14 +180,37 @@ class Index:
 FOUND = "score double, question_overlap double, answer_overlap double"
 
 
+def totals_of(items: DataFrame) -> DataFrame:
+    """Rows (shard, word, n, words) for each shard of (shard, text) and word in it: in how many entries of all shards the word is; in a shard's row for null, the number of all entries and of their words."""
+
+    def run(batches):
+        for b in batches:
+            n, length = Counter(), Counter()
+            for shard, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                for _, words in entries_of(plain_words(text)):
+                    n.update((shard, w) for w in {None, *words})
+                    length[shard, None] += len(words)
+            columns = [[k[0] for k in n], [k[1] for k in n], list(n.values()), [length[k] for k in n]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.binary(), pa.int64(), pa.int64()))], names=["shard", "word", "n", "words"])
+
+    counts = items.select("shard", "text").mapInArrow(run, "shard int, word binary, n long, words long").groupBy("shard", "word").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    # A row for each shard and word at most meets under a word.
+    every = Window.partitionBy("word")
+    return counts.select("shard", "word", F.sum("n").over(every).alias("n"), F.sum("words").over(every).alias("words"))
+
+
 def shards_of(items: DataFrame, most: int):
     """Broadcast indexes that together hold all items, each of about ``most`` items; made one at a time."""
     shards = max(1, -(-items.count() // most))
-    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))
+    of = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")
+    rest = items.where("text is not null").select("item_id", "text", of.alias("shard"))
+    totals = written(totals_of(rest), "totals") if shards > 1 else None
     for shard in range(shards):
-        rows = items.where(of == shard).where("text is not null").select("item_id", "text").collect()
+        mine = F.col("shard") == shard
+        rows = rest.where(mine).select("item_id", "text").collect()
         rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        yield items.sparkSession.sparkContext.broadcast(Index(rows))
+        counted = {None if r[0] is None else bytes(r[0]): (r[1], r[2]) for r in totals.where(mine).select("word", "n", "words").collect()} if totals is not None else None
+        yield items.sparkSession.sparkContext.broadcast(Index(rows, counted))
 
 
 def _finder(index, item_type: pa.DataType):

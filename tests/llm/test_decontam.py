@@ -50,6 +50,18 @@ def test_search_is_exhaustive():
     assert {e for _, e, *_ in index.leaks(["x " * 50 + items[101][1]])} == {100, 101, 102}
 
 
+def test_scores_do_not_depend_on_shards(spark):
+    rng = np.random.default_rng(1)
+    x = [" ".join(f"w{int(k)}" for k in rng.zipf(1.4, n) % 300) for n in rng.integers(4, 150, 60)] + [None, "a b", "one two three four five six"]
+    items = spark.createDataFrame(list(enumerate(x)), "item_id long, text string")
+    texts = [" ".join(w[: int(len(w) * share)]) + " w1 w2 other" for t in x[:60] for share in (0.75, 0.85, 1) if (w := t.split())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    one, many = ({(r.doc_id, r.item_id, r.question_overlap, r.answer_overlap): r.score for r in D.contaminated(docs, items, most=most).collect()} for most in (D.MOST_ITEMS, 9))
+    assert len(one) > 60 and one.keys() == many.keys()
+    assert max(abs(one[k] - many[k]) for k in one) < 1e-12
+    assert min(one.values()) < 0.9
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(1, None), (None, "a b c d e f")], "item_id long, text string")
