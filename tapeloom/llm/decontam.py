@@ -1,13 +1,14 @@
 """Operator 8, benchmark decontamination: a BM25 inverted index of test items, searched with block-max WAND.
 
-Test items are cut into entries of at most ``HALF`` words and indexed: for each word its entries with
-BM25 impacts, divided by the entry's score against itself so that one threshold fits all entries.
+Test items are cut into entries of at most ``HALF`` words, each of which begins with the last four words
+of the one before or earlier, so that every word and every five-word shingle of an item is in an entry.
+They are indexed: for each word its entries with BM25 impacts, divided by the entry's score against itself so that one threshold fits all entries.
 Every text is read as overlapping passages of two times ``HALF`` words, so each place that could hold
 an entry lies whole in some passage. A passage is a query, and all entries that reach
 ``THRESHOLD`` are retrieved by three bounds, each no lower than the score: the sum of its words' list
 maxima, the sum of their block maxima, and in the blocks left the scores. Retrieved entries are
 verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage, and half of those of the
-question and of the answer each.
+item's question and of its answer each; a side that the entry has no shingles of counts as found.
 
 The index is broadcast. Items are counted first and searched in shards of at most ``MOST_ITEMS``, each a
 pass over the texts, so no more than that is ever collected or broadcast. With several shards, the
@@ -58,9 +59,9 @@ def shingles(ids: list[int]) -> list[tuple[int, ...]]:
 
 
 def entries_of(words: list) -> list[tuple[int, list]]:
-    """Where in an item's words each entry begins, and its words."""
-    cuts = [(at, words[at : at + HALF]) for at in range(0, len(words), HALF)]
-    return [(at, part) for at, part in cuts if len(part) >= SHINGLE]
+    """Where in an item's words each entry begins, and its words; the last entry is the last ``HALF`` words."""
+    last = max(0, len(words) - HALF)
+    return [(at, words[at : at + HALF]) for at in (*range(0, last, HALF - SHINGLE + 1), last)] if len(words) >= SHINGLE else []
 
 
 class Index:
@@ -78,13 +79,14 @@ class Index:
             ask = raw.rfind(b"?") + 1
             n_ask = len(raw[:ask].translate(_PLAIN).split()) if ask else 0
             words = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in plain_words(text)]
+            # The question ends at the last question mark, or else half way.
+            cut = n_ask if 0 < n_ask < len(words) else len(words) // 2
+            first = max(1, min(len(words) - SHINGLE, cut - SHINGLE // 2))
             for at, ids in entries_of(words):
-                # The question ends at the last question mark, or else half way.
-                cut = n_ask - at if 0 < n_ask - at < len(ids) else len(ids) // 2
                 entries.append(ids)
                 self.item.append(item)
                 all_of = shingles(ids)
-                split = max(1, min(len(all_of) - 1, cut - SHINGLE // 2))
+                split = max(0, first - at)
                 self.parts.append((set(all_of[:split]), set(all_of[split:])))
         self.n = len(entries)
         self._impacts(entries, totals)

@@ -62,6 +62,23 @@ def test_scores_do_not_depend_on_shards(spark):
     assert min(one.values()) < 0.9
 
 
+def test_all_of_an_item_is_indexed():
+    for n in [*range(5, 70), 120, 124, 125, 127, 128, 129, 132, 133, 150, 192, 193, 500]:
+        for ask in (0, 3, n // 3, n - 2):
+            words = [f"v{i}" for i in range(n)]
+            index = D.Index([(1, " ".join(words[:ask]) + "? " * (ask > 0) + " ".join(words[ask:]))])
+            of = [index.vocabulary[w.encode()] for w in words]
+            all_of = D.shingles(of)
+            asks, answers = (set().union(*(p[k] for p in index.parts)) for k in (0, 1))
+            assert asks | answers == set(all_of) and not asks & answers
+            cut = max(1, min(n - 5, (ask or n // 2) - 2))
+            assert asks == set(all_of[:cut])
+            assert max(len(p[0]) + len(p[1]) for p in index.parts) <= 60
+            # Wherever the item stands in a text, all its entries are found.
+            got = index.leaks(["x " * (7 * ask) + " ".join(words) + " y" * 99])
+            assert [(g[1], *g[3:]) for g in got] == [(e, 1.0, 1.0) for e in range(index.n)]
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     items = spark.createDataFrame([(1, None), (None, "a b c d e f")], "item_id long, text string")
