@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: of each group of near-duplicates the document with the smallest id stays."""
-    return simhash.keep_one(docs)
+    """Operator 9: of each group of near-duplicates the document with the smallest id stays, or one if none has an id."""
+    return simhash.keep_one(docs, null_ids=True)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,8 +29,10 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tapeloom.llm.common import ASCII_LOWER, ship, written
 from tapeloom.llm.components import components
@@ -194,34 +196,57 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
     return dealt.select("fp", "t", "k", "tile").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, hot: int = HOT, shingle: int = SHINGLE) -> DataFrame:
-    """Rows (doc_id, fp, component_id): component_id is the smallest id that links reach, the row's own included."""
-    rows = written(fingerprints(docs, key, text, shingle), "fingerprints")
+def _classes(rows: DataFrame, radius: int, hot: int) -> DataFrame:
+    """Rows (fp, component, component_id) for rows (doc_id, fp): component_id is the component's smallest id."""
     groups = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "groups")
     of = components(links(groups.select("fp"), radius, hot))
     named = groups.join(of.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     # Only the smallest id of a component is looked up; a component has a row for each fingerprint at most.
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    table = written(named.join(least, "component").select("fp", "component_id"), "classes")
-    return rows.join(table, "fp").select("doc_id", "fp", "component_id")
+    return written(named.join(least, "component").select("fp", "component", "component_id"), "classes")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, hot: int = HOT, shingle: int = SHINGLE) -> DataFrame:
+    """Rows (doc_id, fp, component_id): component_id is the smallest id that links reach, the row's own included."""
+    rows = written(fingerprints(docs, key, text, shingle), "fingerprints")
+    return rows.join(_classes(rows, radius, hot), "fp").select("doc_id", "fp", "component_id")
+
+
+@F.pandas_udf(LongType())
+def _fp(texts: pd.Series) -> pd.Series:
+    return pd.Series(np.array([fingerprint_of(t) for t in texts.tolist()], np.uint64).view(np.int64))
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, null_ids: bool = False) -> DataFrame:
     """The rows of ``docs`` that stand for their groups: those with the group's smallest id. All columns are kept.
 
-    Of rows that repeat that id the one whose text has the smallest hash stays, then the first as JSON. Rows without an id stay.
+    Of rows that repeat that id the one whose text has the smallest hash stays, then the first as JSON. Rows without an id stay; with ``null_ids`` they belong to groups too: they go where a row with an id is
+    in the group, and else one of them stays, chosen in the same way.
     """
-    rows = near_duplicates(docs.where(F.col(key).isNotNull()), key, text, radius)
+    no_id = F.col(f"`{key}`").isNull()
+    null_ids = null_ids and bool(docs.where(no_id).select(F.lit(1)).head(1))
     mine = "__id" + "_" * max(len(c) for c in docs.columns)  # longer than any column's name
+    if null_ids:
+        rows = written(fingerprints(docs, key, text), "fingerprints")
+        table = _classes(rows, radius, HOT)
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        nameless = docs.where(no_id).withColumn(mine, _fp(F.col(f"`{text}`")))
+        nameless = nameless.join(table.where("component_id is null").select(F.col("fp").alias(mine), F.col("component").alias(f"{mine}_")), mine)
+        alone = nameless.groupBy(f"{mine}_").agg(F.min_by(whole, F.struct(F.xxhash64(text), F.to_json(whole))).alias("row")).select("row.*")
+        rows = rows.join(table, "fp").select("doc_id", "fp", "component_id")
+        docs = docs.where(~no_id)
+    else:
+        rows = near_duplicates(docs.where(~no_id), key, text, radius)
     same = F.col(f"`{key}`") == F.col(mine)
     left = docs.join(rows.where("doc_id <> component_id").select(F.col("doc_id").alias(mine)).distinct(), same, "left_anti")
     again = left.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias(mine)).agg(F.count("*").alias("n")).where("n > 1").select(mine)
     if not again.head(1):
-        return left
+        return left.unionByName(alone) if null_ids else left
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     twice = left.join(again, same, "left_semi").groupBy(F.col(f"`{key}`").alias(mine))
     first = twice.agg(F.min_by(whole, F.struct(F.xxhash64(text), F.to_json(whole))).alias("row")).select("row.*")
-    return left.join(again, same, "left_anti").unionByName(first)
+    kept = left.join(again, same, "left_anti").unionByName(first)
+    return kept.unionByName(alone) if null_ids else kept
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tapeloom.llm import components, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,6 +61,20 @@ def test_kept_row_of_a_repeated_id(spark):
     assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
 
 
+def test_null_ids_belong_to_groups(spark):
+    same, other, third = "a b c d e f", "quite another text of a few words", "and a third one that is not like them"
+    rows = [(None, same, 1), (5, same.upper(), 2), (7, same, 3), (None, other, 4), (None, other.upper(), 5), (None, other, 6), (8, third, 7), (8, third, 8), (None, None, 9), (None, "", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `component` int").repartition(3)
+    for one in (docs, docs.where("component not in (7, 8)"), docs.where("doc_id is not null"), docs.where("doc_id is null")):
+        given = {r.component for r in one.collect()}
+        kept = corpus_pipeline.simhash_dedup(spark, one, "")
+        assert kept.columns == docs.columns
+        got = sorted(r.component for r in kept.collect())
+        groups = [{1, 2, 3}, {4, 5, 6}, {7, 8}, {9, 10}]
+        assert [len(g & set(got)) for g in groups] == [min(1, len(g & given)) for g in groups] and len(got) == len(set(got))
+        assert (2 in got) == (2 in given)
+
+
 def clustered(n, seed):
     rng = np.random.default_rng(seed)
     centres = rng.integers(0, 2**64, 40, dtype=np.uint64)
