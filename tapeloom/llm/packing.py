@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
+from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -72,28 +73,36 @@ class Complements:
                 del self.counts[n]
                 self.lengths.pop(bisect_left(self.lengths, n))
 
+    def give(self, n: int) -> None:
+        """One piece back."""
+        if n not in self.counts:
+            insort(self.lengths, n)
+        self.counts[n] = self.counts.get(n, 0) + 1
+
     def times(self, combo: tuple[int, ...]) -> int:
         return min(self.counts.get(n, 0) // combo.count(n) for n in combo)
 
     def single(self, gap: int) -> tuple[int, ...] | None:
         return (gap,) if gap in self.counts else None
 
-    def pair(self, gap: int, most: int | None = None) -> tuple[int, ...] | None:
-        """The most unequal pair: it keeps middling lengths for later."""
+    def pairs(self, gap: int, most: int | None = None) -> Iterator[tuple[int, ...]]:
+        """The most unequal pair first: it keeps middling lengths for later."""
         for a in reversed(self.lengths[: bisect_left(self.lengths, gap)]):
             if 2 * a < gap:
-                return None
+                return
             if (most is None or a <= most) and gap - a in self.counts and (2 * a != gap or self.counts[a] > 1):
-                return (a, gap - a)
-        return None
+                yield (a, gap - a)
+
+    def pair(self, gap: int) -> tuple[int, ...] | None:
+        return next(self.pairs(gap), None)
 
     def triple(self, gap: int) -> tuple[int, ...] | None:
         for a in reversed(self.lengths[: bisect_left(self.lengths, gap)]):
             if 3 * a < gap:
                 return None
-            rest = self.pair(gap - a, most=a)
-            if rest and self.times((a, *rest)):
-                return (a, *rest)
+            for rest in self.pairs(gap - a, most=a):
+                if self.times((a, *rest)):
+                    return (a, *rest)
         return None
 
 
@@ -117,13 +126,12 @@ def plan_to(counts: dict[int, int], size: int, depth: int) -> list[tuple[tuple[i
             done.append(((longest,), left.counts[longest]))
             left.take((longest,), left.counts[longest])
             continue
-        found = None
-        for look in (left.single, left.pair, left.triple)[:depth]:
-            combo = look(gap)
-            if combo and left.times((longest, *combo)):
-                found = (longest, *combo)
-                break
-        if found:
+        # The longest piece is in use while the gap beside it is looked up.
+        left.take((longest,), 1)
+        combo = next((c for look in (left.single, left.pair, left.triple)[:depth] if (c := look(gap))), None)
+        left.give(longest)
+        if combo:
+            found = (longest, *combo)
             times = left.times(found)
             done.append((found, times))
             left.take(found, times)

@@ -143,3 +143,27 @@ def test_empty(spark):
 def test_queries_over_small_tables(spark, small_dir):
     for name in ("op1_secret_scan", "op2_quality_rules", "op4_pii"):
         assert queries.QUERIES[name](spark, small_dir).count() == 200
+
+
+def test_complements_go_on_when_counts_run_out():
+    from itertools import combinations_with_replacement
+
+    # The longest piece is in use: 224 beside another 400 does not count.
+    counts = {400: 1, 330: 1, 312: 2, 224: 1}
+    assert ((400, 312, 312), 1) in packing.plan_to(counts, 1024, 2)
+    # One 250 is left: (250, 250, 124) is out, (250, 187, 187) is not.
+    assert packing.Complements({250: 1, 187: 2, 124: 1}).triple(624) == (250, 187, 187)
+    for seed in range(200):
+        rng = np.random.default_rng(seed)
+        counts = {int(n): int(rng.integers(1, 4)) for n in rng.integers(1, 25, 7)}
+        c, gap = packing.Complements(counts), int(rng.integers(2, 50))
+        for k, got in enumerate((c.single(gap), c.pair(gap), c.triple(gap)), 1):
+            can = [x for x in combinations_with_replacement(counts, k) if sum(x) == gap and c.times(x)]
+            assert bool(got) == bool(can) and (not got or sum(got) == gap and c.times(got))
+        for depth in range(4):
+            used = {}
+            for combo, times in packing.plan_to(counts, 32, depth):
+                assert sum(combo) <= 32 and times > 0
+                for n in combo:
+                    used[n] = used.get(n, 0) + times
+            assert used == counts
