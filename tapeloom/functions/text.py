@@ -56,11 +56,6 @@ def repair_breaks(c: Column) -> Column:
     return join_lines(join_hyphenated(c))
 
 
-def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is evaluated once, also inside a lambda."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def quotes(c: Column) -> Column:
     """T7."""
     return F.length(c) - F.length(F.replace(c, F.lit('"')))

@@ -10,27 +10,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeloom.functions import text
+from tapeloom.functions import arrays, text
 from tapeloom.operators.segments import with_windows
 
-STATE = "struct<carry:string,out:array<struct<seq:bigint,sentences:array<string>>>>"
+FOUND = "struct<seq:bigint,sentences:array<string>>"
 
 
 def _carried(ordered: Column, splitter: text.Splitter) -> Column:
     """Sentences of each segment, by an ordered fold over a transcript's segments."""
 
-    def step(acc: Column, x: Column) -> Column:
-        buffer = F.concat(acc["carry"], x["text"], F.lit(" "))
+    def step(carry: Column, x: Column) -> Column:
+        buffer = F.concat(carry, x["text"], F.lit(" "))
         # The sentences are bound, so that they are found once.
-        return text._bind(F.struct(buffer.alias("b"), splitter(buffer).alias("s")), lambda v: _next(acc, x, v))
+        return arrays.bind(F.struct(buffer.alias("b"), splitter(buffer).alias("s")), lambda v: _next(x, v))
 
-    def _next(acc: Column, x: Column, v: Column) -> Column:
+    def _next(x: Column, v: Column) -> Column:
         n = F.size(v["s"])
         carry = F.when(n == 0, v["b"]).when(n % 2 == 1, F.try_element_at(v["s"], F.lit(-1))).otherwise("")
-        return F.struct(carry.alias("carry"), F.array_append(acc["out"], F.struct(x["seq"].alias("seq"), v["s"].alias("sentences"))).alias("out")).cast(STATE)
+        return F.struct(carry.alias("state"), F.struct(x["seq"].alias("seq"), v["s"].alias("sentences")).alias("given"))
 
-    start = F.struct(F.lit("").alias("carry"), F.array().alias("out")).cast(STATE)
-    return F.aggregate(ordered, start, step, lambda acc: acc["out"])
+    return arrays.scan(ordered, F.lit(""), "string", FOUND, step)
 
 
 def merge_segments(segments: DataFrame, splitter: str = "regex") -> DataFrame:
