@@ -129,14 +129,13 @@ from documents left join a using (doc_id)
 
 _DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
 _LUHN = f"list_sum(list_transform(range(0, length({_DIGITS})), lambda i: substr(reverse({_DIGITS}), i + 1, 1)::int * (1 + i % 2) - case when i % 2 = 1 and substr(reverse({_DIGITS}), i + 1, 1) > '4' then 9 else 0 end)) % 10 = 0"
-_BEFORE = f"lower(substr(s, greatest(b - {pii.NEAR}, 0) + 1, least(b, {pii.NEAR})))"
 _OP4_KINDS = [
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "len(list_filter(list_transform(string_split(m, '.'), lambda x: ltrim(x, '0')), lambda x: length(x) > 3 or length(x) = 3 and x > '255')) = 0"),
     ("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) between 14 and 19 and {_LUHN}"),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) between 10 and 15"),
     # A whole run of digits and hyphens, as the pattern's lookarounds ask.
-    ("national", "[0-9-]+", rf"regexp_full_match(m, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}') and regexp_matches({_BEFORE}, '\b(?:{pii.CONTEXT['national']})')"),
+    ("national", "[0-9-]+", rf"regexp_full_match(m, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}')"),
 ]
 #: SQL has no lookarounds: in ``wide`` all characters but letters and digits stand twice, so that each match can take the ones beside it.
 _IBAN = r"[^A-Za-z0-9][A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20\x20[A-Z0-9]{4}){2,7}(?:\x20\x20[A-Z0-9]{1,3})?)[^A-Za-z0-9]"
@@ -146,12 +145,18 @@ select doc_id, 4 rank, 'iban' kind, b, b + length(h) e from (
   select doc_id, replace(substr(m, 2, length(m) - 2), '  ', ' ') h, b - length(regexp_replace(substr(s, 2, b), '[A-Za-z0-9]', '', 'g')) // 2 b from ({_matches_sql(_IBAN, "wide")}))
 where list_reduce(list_transform(string_split(substr(replace(h, ' ', ''), 5) || substr(h, 1, 4), ''), lambda c: {_CODE.format("c")}), lambda a, v: (a * case when v > 9 then 100 else 10 end + v) % 97) = 1
 """
+_KINDS4 = "case kind " + " ".join(f"when '{k}' then {{{k}}}" for k in pii.KINDS) + " end"
+_PRIOR4 = _KINDS4.format(**pii.PRIOR)
+_CONTEXT4 = _KINDS4.format(**{k: f"regexp_matches(x, '{pii.word(w)}')" for k, w in pii.CONTEXT.items()})
 _OP4_SQL = f"""
 with t as (select doc_id, coalesce(text, '') t, ' ' || regexp_replace(coalesce(text, ''), '([^A-Za-z0-9])', '\\1\\1', 'g') || ' ' wide from documents),
-s as (select doc_id, case when kind = 'national' then 5 else rank end rank, kind, b, e from ({_spans_sql(_OP4_KINDS)}) union all {_IBAN_SQL}),
+f as (select doc_id, case when kind = 'national' then 5 else rank end rank, kind, b, e from ({_spans_sql(_OP4_KINDS)} union all {_IBAN_SQL})),
+x as (select f.*, lower(substr(t, greatest(b - {pii.NEAR}, 0) + 1, least(b, {pii.NEAR}))) x from f join (select distinct * from t) using (doc_id)),
+p as (select doc_id, rank, kind, b, e, greatest(0, least(100, {_PRIOR4} + case when {_CONTEXT4} then {pii.BONUS} else 0 end - case when regexp_matches(x, '{pii.word(pii.MADE_UP)}') then {pii.MALUS} else 0 end)) points from x),
+s as (select * from p where rank < 4 or points >= {pii.THRESHOLD}),
 a as (select doc_id, {", ".join(f"count(*) filter (kind = '{k}') n_{k}" for k in pii.BASE)},
-  {_JOINED.format(" filter (rank < 4)")} base, {_JOINED.format("")} spans from s group by 1)
-select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in pii.BASE)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+  {_JOINED.format(" filter (rank < 4)")} base, {_JOINED.format("")} spans, coalesce(string_agg(points, ',' order by b, rank), '') scores from s group by 1)
+select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in pii.BASE)}, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(scores, '') as scores
 from documents left join a using (doc_id)
 """
 

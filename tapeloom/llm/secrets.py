@@ -105,10 +105,17 @@ def candidates(index: DataFrame, rules=RULES) -> DataFrame:
     return met.where("bits = full").groupBy("key").agg(F.collect_set("kind").alias("kinds"))
 
 
-def verify(text: Column, rule: Rule) -> Column:
-    found = S.find(text, rule.pattern)
-    held = F.filter(found, lambda s: F.char_length(F.regexp_extract(s["hit"], rule.pattern, rule.group)) >= rule.least)
-    return S.of_kind(held, rule.kind, next(i for i, r in enumerate(RULES) if r.kind == rule.kind) if rule in RULES else 99)
+def verify(text: Column, rules, queries: dict) -> Column:
+    """Spans of the rules that a text (with its candidates, ``kinds``) may match."""
+    found = S.find(text, [(r.kind, r.pattern, F.array_contains("kinds", r.kind) if queries[r.kind] else None) for r in rules])
+
+    def holds(s: Column) -> Column:
+        enough = F.lit(True)
+        for r in rules:
+            enough = F.when(s["kind"] == r.kind, F.char_length(F.regexp_extract(s["hit"], r.pattern, r.group)) >= r.least).otherwise(enough)
+        return enough
+
+    return F.filter(found, holds)
 
 
 def scan_secrets(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,11 +129,7 @@ def scan_secrets(docs: DataFrame, rules=RULES, key: str = "doc_id", text: str =
         body = body.join(hits, body["doc_key"].eqNullSafe(hits["key"]), "left")
     else:
         body = body.withColumn("kinds", F.array().cast("array<string>"))
-    parts = []
-    for r in rules:
-        spans = verify(F.col("body"), r)
-        parts.append(spans if not queries[r.kind] else F.when(F.array_contains("kinds", r.kind), spans).otherwise(S.no_spans()))
-    return body.select(F.col("doc_key").alias(key), F.concat(*parts).alias("found"))
+    return body.select(F.col("doc_key").alias(key), verify(F.col("body"), rules, queries).alias("found"))
 
 
 def secrets_report(docs: DataFrame) -> DataFrame:
