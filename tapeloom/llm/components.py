@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from tapeloom.llm.common import written
 
 MOST_ROUNDS = 60
+#: Slices that a group is dealt in: a node with very many links, or a component with very many nodes, goes to that many tasks.
+SLICES = 256
 
 
-def _least(links: DataFrame) -> DataFrame:
-    """Each node with the least node among its neighbours (given as ``v``) and itself."""
-    return links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+def with_least(rows: DataFrame, key: str, value: str, least: str) -> DataFrame:
+    """``rows`` with the least ``value`` of their group. A group is dealt in slices, whose least values meet: at most ``SLICES`` rows for a group, and no more than it has."""
+    sliced = rows.withColumn("slice", F.pmod(F.xxhash64(*rows.columns), F.lit(SLICES)))
+    partial = sliced.groupBy(key, "slice").agg(F.min(value).alias("part"))
+    whole = partial.groupBy(key).agg(F.min("part").alias(least))
+    return sliced.join(partial.join(whole, key).select(key, "slice", least), [key, "slice"]).drop("slice")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -27,10 +32,10 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     for _ in range(MOST_ROUNDS):
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        large = both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = with_least(both, "u", "v", "m").where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
         # Each row is now (node, smaller node); the same nodes' least one is the centre of a small star.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = with_least(large, "u", "v", "m")
+        small = least.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         now = written(small.where("u <> v").distinct().select(F.col("u").alias("a"), F.col("v").alias("b")), "links")
         seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if seen == before:

@@ -8,8 +8,9 @@ differ by more than the radius is no link. Two families of pivots are used:
   them spell out the bits. Of ``b`` blocks of bits, at most ``RADIUS`` differ in a link, so it
   agrees, at distance difference zero, on all unit pivots of some ``b - RADIUS`` blocks. These
   coordinates are the keys under which fingerprints meet;
-- random pivots, whose distances are tabulated once for each fingerprint of a task: a meeting pair
-  is discarded by its largest coordinate difference before its bits are compared.
+- random pivots, whose distances are tabulated once for each fingerprint and go with it: every pair
+  that meets is discarded if its largest coordinate difference is over the radius, and only the
+  bits of those left are compared. ``pair_counts`` tells how many pairs met, were discarded and verified.
 
 Random pivots alone thin out pairs but yield no keys (distances of 64 random bits have a deviation
 of 4, no more than the radius), so all pairs would have to be visited; hence the first family.
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from tapeloom.llm.common import ASCII_LOWER, ship, written
-from tapeloom.llm.components import components
+from tapeloom.llm.components import components, with_least
 
 ship(__name__)
 
@@ -109,41 +110,64 @@ def distance_table(fps: np.ndarray, refs: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fps[:, None] ^ refs[None, :]).astype(np.int8)
 
 
-def near(fps: np.ndarray, table: np.ndarray, i: int, others: np.ndarray, radius: int) -> np.ndarray:
-    """Those of ``others`` that link to ``i``: coordinate by coordinate, then bit by bit."""
-    for k in range(0, table.shape[1], 8):
-        if len(others) < 16:
-            break
-        # Differences are small, so the largest of eight coordinates at once is cheap.
-        others = others[np.abs(table[others, k : k + 8] - table[i, k : k + 8]).max(1) <= radius]
-    return others[np.bitwise_count(fps[others] ^ fps[i]) <= radius]
-
-
-def forest(fps: np.ndarray, radius: int = RADIUS, refs: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links (positions) that span the components of distinct fingerprints that met under one key."""
-    if len(fps) == 2:
-        return [(0, 1)] if int(fps[0] ^ fps[1]).bit_count() <= radius else []
-    table = distance_table(fps, pivots() if refs is None else refs)
-    left, out = np.arange(len(fps)), []
-    queue: list[int] = []
-    while len(left):
-        if not queue:
-            queue.append(int(left[0]))
-            left = left[1:]
-        i = queue.pop()
-        found = near(fps, table, i, left, radius)
-        if len(found):
-            out += [(i, int(j)) for j in found]
-            queue += found.tolist()
-            left = left[~np.isin(left, found)]
-    return out
+def with_distances(fps: DataFrame) -> DataFrame:
+    """The table of distances: ``fp`` and ``d``, its distance to each pivot."""
+    return fps.select("fp", F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(int(p))))).cast("tinyint") for p in pivots()]).alias("d"))
+
+
+class Met:
+    """Fingerprints that met under keys, their distances, and what became of the pairs."""
+
+    def __init__(self, fps: np.ndarray, table: np.ndarray, radius: int):
+        self.fps, self.table, self.radius = fps, table, radius
+        self.met = self.discarded = 0
+
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that link to ``i``: coordinate by coordinate, then bit by bit."""
+        left = others
+        for k in range(0, self.table.shape[1], 8):
+            # Differences are small, so the largest of eight coordinates at once is cheap.
+            left = left[np.abs(self.table[left, k : k + 8] - self.table[i, k : k + 8]).max(1) <= self.radius]
+        self.met += len(others)
+        self.discarded += len(others) - len(left)
+        return left[np.bitwise_count(self.fps[left] ^ self.fps[i]) <= self.radius]
+
+    def pairs(self, begin: np.ndarray) -> list[tuple[int, int]]:
+        """Links of the groups of two that begin at the given rows, all at once."""
+        far = np.abs(self.table[begin] - self.table[begin + 1]).max(1, initial=0) > self.radius
+        self.met += len(begin)
+        self.discarded += int(far.sum())
+        begin = begin[~far]
+        begin = begin[np.bitwise_count(self.fps[begin] ^ self.fps[begin + 1]) <= self.radius]
+        return [(i, i + 1) for i in begin.tolist()]
+
+    def forest(self, begin: int, end: int) -> list[tuple[int, int]]:
+        """Links that span the components of the distinct fingerprints in these rows."""
+        left, out = np.arange(begin, end), []
+        queue: list[int] = []
+        while len(left):
+            if not queue:
+                queue.append(int(left[0]))
+                left = left[1:]
+            i = queue.pop()
+            found = self.near(i, left)
+            if len(found):
+                out += [(i, int(j)) for j in found]
+                queue += found.tolist()
+                left = left[~np.isin(left, found)]
+        return out
 
 
 def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
-    """Links (a, b) that join all fingerprints (column fp, distinct) within ``radius``, transitively."""
+    """Links (a, b) that join all fingerprints (``with_distances`` of distinct ones) within ``radius``, transitively.
+
+    Rows with a null link have the numbers ``met`` and ``discarded`` of pairs of a task.
+    """
+    if "d" not in fps.columns:
+        fps = with_distances(fps)
     n = fps.count()
     masks = key_masks(n, radius)
-    keyed = fps.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "k"))
+    keyed = fps.select("fp", "d", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(m))) for m in masks])).alias("t", "k"))
     crowded = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where(F.col("n") > hot) if n > hot else None
     none = F.lit(0)
     if crowded is not None and (crowded := written(crowded, "crowded")).head(1):
@@ -152,32 +176,35 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
         tiles = tiles.withColumn("s", F.pmod(F.xxhash64("fp"), F.col("slices")).cast("int"))
         tiles = tiles.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         tile = F.when(F.col("slices") > 1, F.least("s", "o") * F.col("slices") + F.greatest("s", "o")).otherwise(none)
-        keyed = tiles.select("fp", "t", "k", tile.alias("tile"))
+        keyed = tiles.select("fp", "d", "t", "k", tile.alias("tile"))
     else:
         keyed = keyed.withColumn("tile", none)
 
     def run(batches):
         import pyarrow as pa
 
-        refs = pivots()
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         last = None
 
         def pairs(parts):
-            rows = np.concatenate(parts)
+            rows, table = (np.concatenate(p) for p in zip(*parts))
             cut = np.flatnonzero((rows[1:, 1:] != rows[:-1, 1:]).any(1)) + 1
             begin, end = np.concatenate([[0], cut]), np.concatenate([cut, [len(rows)]])
-            out = []
-            for s, e in zip(begin[end - begin > 1].tolist(), end[end - begin > 1].tolist()):
-                fp = rows[s:e, 0].view(np.uint64)
-                out += [(rows[s + i, 0], rows[s + j, 0]) for i, j in forest(fp, radius, refs)]
-            a = np.array(out, np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+            met = Met(rows[:, 0].copy().view(np.uint64), table, radius)
+            found = met.pairs(begin[end - begin == 2])
+            for s, e in zip(begin[end - begin > 2].tolist(), end[end - begin > 2].tolist()):
+                found += met.forest(s, e)
+            at = np.array(found, np.int64).reshape(-1, 2)
+            none = pa.nulls(1, pa.int64())
+            links = [pa.concat_arrays([pa.array(rows[at[:, i], 0]), none]) for i in (0, 1)]
+            counts = [pa.concat_arrays([pa.nulls(len(at), pa.int64()), pa.array([n], pa.int64())]) for n in (met.met, met.discarded)]
+            return pa.RecordBatch.from_arrays([*links, *counts], names=["a", "b", "met", "discarded"])
 
         for b in batches:
-            rows = np.stack([c.to_numpy().astype(np.int64) for c in b.columns], 1)
+            rows = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("fp", "t", "k", "tile")], 1)
             if not len(rows):
                 continue
+            table = b.column("d").flatten().to_numpy().reshape(len(rows), -1)
             # The last key of a batch may go on in the next one.
             same = (rows[:, 1:] == rows[-1, 1:]).all(1)
             first = len(rows) - int(np.argmin(same[::-1])) if not same.all() else 0
@@ -185,25 +212,29 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT) -> DataFrame:
                 yield pairs(held)
                 held = []
             if first:
-                yield pairs([*held, rows[:first]])
+                yield pairs([*held, (rows[:first], table[:first])])
                 held = []
-            held.append(rows[first:].copy())
+            held.append((rows[first:].copy(), table[first:].copy()))
             last = rows[-1, 1:].copy()
         if held:
             yield pairs(held)
 
     dealt = keyed.repartition("t", "k", "tile").sortWithinPartitions("t", "k", "tile")
-    return dealt.select("fp", "t", "k", "tile").mapInArrow(run, "a long, b long")
+    return written(dealt.select("fp", "t", "k", "tile", "d").mapInArrow(run, "a long, b long, met long, discarded long"), "met")
+
+
+def pair_counts(met: DataFrame) -> tuple[int, int, int]:
+    """Of what ``links`` gives: pairs that met, those that the pivots discarded, those whose bits were compared."""
+    n = met.agg(F.coalesce(F.sum("met"), F.lit(0)), F.coalesce(F.sum("discarded"), F.lit(0))).first()
+    return n[0], n[1], n[0] - n[1]
 
 
 def _classes(rows: DataFrame, radius: int, hot: int) -> DataFrame:
     """Rows (fp, component, component_id) for rows (doc_id, fp): component_id is the component's smallest id."""
     groups = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "groups")
-    of = components(links(groups.select("fp"), radius, hot))
+    of = components(links(written(with_distances(groups), "distances"), radius, hot).where("a is not null"))
     named = groups.join(of.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    # Only the smallest id of a component is looked up; a component has a row for each fingerprint at most.
-    least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return written(named.join(least, "component").select("fp", "component", "component_id"), "classes")
+    return written(with_least(named, "component", "first", "component_id").select("fp", "component", "component_id"), "classes")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: int = RADIUS, hot: int = HOT, shingle: int = SHINGLE) -> DataFrame:
@@ -238,7 +269,9 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", radius: i
     else:
         rows = near_duplicates(docs.where(~no_id), key, text, radius)
     same = F.col(f"`{key}`") == F.col(mine)
-    left = docs.join(rows.where("doc_id <> component_id").select(F.col("doc_id").alias(mine)).distinct(), same, "left_anti")
+    # Written, the ids that go have a known size: Spark broadcasts them if they are under its threshold, else the rows are dealt by id.
+    losers = written(rows.where("doc_id <> component_id").select(F.col("doc_id").alias(mine)).distinct(), "losers")
+    left = docs.join(losers, same, "left_anti")
     again = left.where(F.col(f"`{key}`").isNotNull()).groupBy(F.col(f"`{key}`").alias(mine)).agg(F.count("*").alias("n")).where("n > 1").select(mine)
     if not again.head(1):
         return left.unionByName(alone) if null_ids else left

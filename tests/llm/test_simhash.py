@@ -92,7 +92,11 @@ def test_links_of_clusters_also_when_tiled(spark):
     want = brute_components(fps, fps)
     df = spark.createDataFrame([(f - 2**64 if f >> 63 else f,) for f in fps], "fp long")
     for hot in (20_000, 30):
-        got = {r.node % 2**64: r.component for r in components.components(simhash.links(df, hot=hot)).collect()}
+        met = simhash.links(df, hot=hot)
+        n, discarded, verified = simhash.pair_counts(met)
+        # Every pair that meets goes by the pivots, which spare nearly all of the unrelated ones.
+        assert n == discarded + verified and discarded > n / 2
+        got = {r.node % 2**64: r.component for r in components.components(met.where("a is not null")).collect()}
         class_of = {}
         for f, c in zip(fps, want):
             class_of.setdefault(c, []).append(f)
@@ -117,6 +121,22 @@ def test_pivot_bound():
     assert (far <= np.bitwise_count(fps[:, None] ^ fps[None])).all()
 
 
+def test_distances_are_tabulated(spark):
+    fps = np.random.default_rng(0).integers(0, 2**64, 50, dtype=np.uint64)
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    got = {r.fp: r.d for r in simhash.with_distances(df).collect()}
+    want = simhash.distance_table(fps, simhash.pivots())
+    assert got == {int(f): d.tolist() for f, d in zip(fps.view(np.int64), want)}
+
+
+def test_a_star_with_very_many_points(spark):
+    rows = [(i, 7) for i in range(10, 20_000)] + [(5, 7), (3, 2)]
+    got = {r.node: r.component for r in components.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert got == {**{i: 5 for i in range(10, 20_000)}, 5: 5, 7: 5, 2: 2, 3: 2}
+    dealt = components.with_least(spark.createDataFrame([(1, i) for i in range(10_000)], "u long, v long"), "u", "v", "m").collect()
+    assert len(dealt) == 10_000 and {r.m for r in dealt} == {0}
+
+
 def test_components_of_long_paths(spark):
     rows = [(i, i + 1) for i in range(200)] + [(1000, 500), (700, 1000), (5000, 5000)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(rows, "a long, b long")).collect()}
