@@ -14,9 +14,11 @@ ship(__name__)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a new local one."""
+    """The folder in ``spark.checkpoint.dir``. Where that is unset, a new local one if the master is local, else an error: executors of a cluster do not share a local folder."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="tapeloom-")
         spark.sparkContext.setCheckpointDir(f"file://{where}")
         where = spark.sparkContext.getCheckpointDir()
@@ -35,6 +37,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(*tables: DataFrame) -> None:
+    """Deletes ``written`` tables that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for f in table.inputFiles()[:1]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def per_process(key: str, make):
     """``make()`` once for each Python worker process, which serves many tasks."""
     held = sys.__dict__.setdefault("_tapeloom_held", {})

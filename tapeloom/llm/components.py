@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import written
+from tapeloom.llm.common import removed, written
 
 MOST_ROUNDS = 60
 #: Slices that a group is dealt in: a node with very many links, or a component with very many nodes, goes to that many tasks.
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
         # Each row is now (node, smaller node); the same nodes' least one is the centre of a small star.
         least = with_least(large, "u", "v", "m")
         small = least.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        now = written(small.where("u <> v").distinct().select(F.col("u").alias("a"), F.col("v").alias("b")), "links")
+        last, now = now, written(small.where("u <> v").distinct().select(F.col("u").alias("a"), F.col("v").alias("b")), "links")
+        removed(last)
         seen = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if seen == before:
             break

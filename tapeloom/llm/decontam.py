@@ -1,28 +1,33 @@
-"""Operator 8, benchmark decontamination: a BM25 inverted index of test items, searched with block-max WAND.
+"""Operator 8, benchmark decontamination: a BM25 inverted index of test items, searched by block-max WAND.
 
 Test items are cut into entries of at most ``HALF`` words, each of which begins with the last four words
 of the one before or earlier, so that every word and every five-word shingle of an item is in an entry.
 They are indexed: for each word its entries with BM25 impacts, divided by the entry's score against itself so that one threshold fits all entries.
 Every text is read as overlapping passages of two times ``HALF`` words, so each place that could hold
-an entry lies whole in some passage. A passage is a query, and all entries that reach
-``THRESHOLD`` are retrieved by three bounds, each no lower than the score: the sum of its words' list
-maxima, the sum of their block maxima, and in the blocks left the scores. Retrieved entries are
-verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage, and half of those of the
-item's question and of its answer each; a side that the entry has no shingles of counts as found.
-
-The index is broadcast. Items are counted first and searched in shards of at most ``MOST_ITEMS``, each a
-pass over the texts, so no more than that is ever collected or broadcast. With several shards, the
-number of entries, their mean length and in how many each word is are counted over all items first,
-and each shard gets them for its own words: scores are those of one index.
-
-Defined results: null text has no words; items of fewer than five words are not searched, nor are
-null ones; ids of texts and items, null or repeated, are carried as they are, and each row of
-items counts; empty tables give no rows; columns other than ids and texts are not looked at by
-``contaminated`` and are kept by ``keep_clean``.
+an entry lies whole in some passage. A passage is a query, and all entries that reach ``THRESHOLD`` are
+retrieved: the lists of its words are ordered by the entry that each is at, and the first list with which
+their maxima reach the threshold gives the pivot, before which no entry can; the maxima of the blocks
+that the pivot lies in say whether it is worth scoring or whether all lists go past these blocks.
+Retrieved entries are verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage, and
+half of those of the item's question and of its answer each; a side that the entry has no shingles of
+counts as found. An item of fewer than five words has one shingle, all of its words.
+
+The index is broadcast. Items and their characters are counted first and searched in shards of about
+``MOST_ITEMS`` items at most. Of several shards one is broadcast at a time: what it finds is written before it
+is destroyed and the next one made. The number of entries, their mean length and in how many each word
+is are then counted over all items first, and each shard gets them for its own words: scores are
+those of one index.
+
+Defined results: null text has no words; items without words are not searched, nor are null ones; ids
+of texts and items, null or repeated, are carried as they are, and each row of items counts; empty
+tables give no rows; columns other than ids and texts are not looked at by ``contaminated`` and are
+kept by ``keep_clean``.
 """
 
 from __future__ import annotations
 
+from array import array
+from bisect import bisect_left
 from collections import Counter
 from functools import reduce
 
@@ -33,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tapeloom.llm.common import ship, written
+from tapeloom.llm.common import removed, ship, written
 
 ship(__name__)
 
@@ -42,8 +47,10 @@ SHINGLE = 5
 THRESHOLD = 0.6
 OVERLAP = 0.8
 PART_OVERLAP = 0.5
-BLOCK = 8
-MOST_ITEMS = 20_000
+#: Entries in a block.
+BLOCK = 16
+#: Items in a shard, and characters of items that count as one more.
+MOST_ITEMS, ITEM_CHARS = 20_000, 512
 K1, B = 1.2, 0.75
 
 #: Lower case; punctuation is white space.
@@ -54,14 +61,14 @@ def plain_words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_PLAIN).split()
 
 
-def shingles(ids: list[int]) -> list[tuple[int, ...]]:
-    return list(zip(*[ids[i:] for i in range(SHINGLE)]))
+def shingles(ids: list[int], size: int = SHINGLE) -> list[tuple[int, ...]]:
+    return list(zip(*[ids[i:] for i in range(size)]))
 
 
 def entries_of(words: list) -> list[tuple[int, list]]:
     """Where in an item's words each entry begins, and its words; the last entry is the last ``HALF`` words."""
     last = max(0, len(words) - HALF)
-    return [(at, words[at : at + HALF]) for at in (*range(0, last, HALF - SHINGLE + 1), last)] if len(words) >= SHINGLE else []
+    return [(at, words[at : at + HALF]) for at in (*range(0, last, HALF - SHINGLE + 1), last)] if words else []
 
 
 class Index:
@@ -72,7 +79,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str | None]], totals: dict[bytes | None, tuple[int, int]] | None = None):
         self.vocabulary: dict[bytes, int] = {}
-        self.item, self.parts = [], []
+        self.item, self.parts, self.shingle = [], [], []
         entries: list[list[int]] = []
         for item, text in items:
             raw = (text or "").encode("utf-8", "surrogatepass")
@@ -85,7 +92,8 @@ class Index:
             for at, ids in entries_of(words):
                 entries.append(ids)
                 self.item.append(item)
-                all_of = shingles(ids)
+                self.shingle.append(min(SHINGLE, len(words)))
+                all_of = shingles(ids, self.shingle[-1])
                 split = max(0, first - at)
                 self.parts.append((set(all_of[:split]), set(all_of[split:])))
         self.n = len(entries)
@@ -107,40 +115,79 @@ class Index:
         impact = idf[term] * tf * (K1 + 1) / (tf + norm[entry])
         impact /= np.bincount(entry, impact, minlength=self.n)[entry]
         order = np.lexsort((entry, term))
-        term, self.entry, self.impact = term[order], entry[order], impact[order]
-        self.begin = np.searchsorted(term, np.arange(n_words + 1))
+        term, entry, impact = term[order], entry[order], impact[order]
+        self.entry, self.impact = array("q", entry.tolist()), array("d", impact.tolist())
+        self.begin = np.searchsorted(term, np.arange(n_words + 1)).tolist()
         # Block maxima: one row for each word and block of entries.
-        key = term * (self.n // BLOCK + 1) + self.entry // BLOCK
+        key = term * (self.n // BLOCK + 1) + entry // BLOCK
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        self.block = (self.entry // BLOCK)[first]
-        self.block_max = np.maximum.reduceat(self.impact, first) if len(first) else self.impact
-        self.block_begin = np.searchsorted(term[first], np.arange(n_words + 1))
+        self.block = array("q", (entry // BLOCK)[first].tolist())
+        self.block_max = array("d", (np.maximum.reduceat(impact, first) if len(first) else impact).tolist())
+        self.block_begin = np.searchsorted(term[first], np.arange(n_words + 1)).tolist()
         # List maxima; the last is for words that are in no entry.
         self.list_max = np.zeros(n_words + 1, np.float32)
-        np.maximum.at(self.list_max, term, self.impact.astype(np.float32) * np.float32(1.000001))
-
-    @staticmethod
-    def _slices(begin: np.ndarray, terms: np.ndarray) -> np.ndarray:
-        n = begin[terms + 1] - begin[terms]
-        return np.repeat(begin[terms] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        np.maximum.at(self.list_max, term, impact.astype(np.float32) * np.float32(1.000001))
 
     def search(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """Entries that reach the threshold, with their scores."""
+        """Entries that reach the threshold, with their scores, in order: block-max WAND."""
         terms = np.unique(ids[ids < len(self.vocabulary)])
-        if not len(terms) or self.list_max[terms].sum() < threshold:
-            return []
-        at = self._slices(self.block_begin, terms)
-        may = np.bincount(self.block[at], self.block_max[at], minlength=self.n // BLOCK + 1) >= threshold - 1e-9
-        if not may.any():
+        maxima = self.list_max[terms].tolist()
+        least = threshold - 1e-9
+        bound = least - 1e-9  # sums differ by the order of their terms
+        if sum(maxima) < bound:
             return []
-        at = self._slices(self.begin, terms)
-        at = at[may[self.entry[at] // BLOCK]]
-        score = np.bincount(self.entry[at], self.impact[at], minlength=self.n)
-        return [(int(e), float(score[e])) for e in np.flatnonzero(score >= threshold - 1e-9)]
+        entry, impact, block, block_max = self.entry, self.impact, self.block, self.block_max
+        # A list: the entry that it is at, the places of that posting and of the list's end, of the block and of the last one's end, the maximum.
+        lists = [[entry[self.begin[t]], self.begin[t], self.begin[t + 1], self.block_begin[t], self.block_begin[t + 1], m] for t, m in zip(terms.tolist(), maxima)]
+        out = []
+
+        def advance(some: list[list], target: int) -> None:
+            """Moves lists to their first entry from ``target`` on; those that end go."""
+            ended = False
+            for x in some:
+                if x[0] < target:
+                    x[1] = bisect_left(entry, target, x[1], x[2])
+                    if x[1] < x[2]:
+                        x[0] = entry[x[1]]
+                    else:
+                        x[0], ended = -1, True
+            if ended:
+                lists[:] = [x for x in lists if x[0] >= 0]
+
+        while lists:
+            lists.sort()
+            reach, pivot = 0.0, -1
+            for p, x in enumerate(lists):
+                reach += x[5]
+                if reach >= bound:
+                    pivot = x[0]
+                    break
+            if pivot < 0:
+                break
+            p += 1
+            while p < len(lists) and lists[p][0] == pivot:
+                p += 1
+            # The lists up to the pivot: what their blocks allow.
+            here, reach = pivot // BLOCK, 0.0
+            for x in lists[:p]:
+                k = x[3] = bisect_left(block, here, x[3], x[4])
+                if k < x[4] and block[k] == here:
+                    reach += block_max[k]
+            if reach < bound:
+                after = (here + 1) * BLOCK
+                advance(lists[:p], min(after, lists[p][0]) if p < len(lists) else after)
+            elif lists[0][0] == pivot:
+                score = sum(impact[x[1]] for x in lists[:p])
+                if score >= least:
+                    out.append((pivot, score))
+                advance(lists[:p], pivot + 1)
+            else:
+                advance(lists[:p], pivot)
+        return out
 
     def verify(self, ids: np.ndarray, entry: int) -> tuple[float, float] | None:
         """Overlaps of question and answer, if enough."""
-        have = set(shingles(ids.tolist()))
+        have = set(shingles(ids.tolist(), self.shingle[entry]))
         ask, answer = self.parts[entry]
         in_ask, in_answer = len(ask & have), len(answer & have)
         if in_ask + in_answer < OVERLAP * (len(ask) + len(answer)):
@@ -155,7 +202,7 @@ class Index:
         parts, owner = [], []
         for i, t in enumerate(texts):
             ids = [get(w, none) for w in plain_words(t)]
-            if len(ids) >= SHINGLE:
+            if ids:
                 row = np.full(-(-len(ids) // HALF) * HALF, none, np.int64)
                 row[: len(ids)] = ids
                 parts.append(row.reshape(-1, HALF))
@@ -201,18 +248,35 @@ def totals_of(items: DataFrame) -> DataFrame:
     return counts.select("shard", "word", F.sum("n").over(every).alias("n"), F.sum("words").over(every).alias("words"))
 
 
-def shards_of(items: DataFrame, most: int):
-    """Broadcast indexes that together hold all items, each of about ``most`` items; made one at a time."""
-    shards = max(1, -(-items.count() // most))
+def shards_of(items: DataFrame, most: int) -> tuple[int, DataFrame]:
+    """The number of shards, and the items with their shard: about ``most`` to each."""
+    n = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    shards = max(1, -(-n["n"] // most), -(-n["chars"] // (most * ITEM_CHARS)))
     of = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")
-    rest = items.where("text is not null").select("item_id", "text", of.alias("shard"))
-    totals = written(totals_of(rest), "totals") if shards > 1 else None
+    return shards, items.where("text is not null").select("item_id", "text", of.alias("shard"))
+
+
+def index_of(items: DataFrame, shard: int, totals: DataFrame | None = None):
+    """The broadcast index of a shard."""
+    mine = F.col("shard") == shard
+    rows = items.where(mine).select("item_id", "text").collect()
+    rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    counted = {None if r[0] is None else bytes(r[0]): (r[1], r[2]) for r in totals.where(mine).select("word", "n", "words").collect()} if totals is not None else None
+    return items.sparkSession.sparkContext.broadcast(Index(rows, counted))
+
+
+def each_shard(items: DataFrame, most: int, find) -> DataFrame:
+    """``find(index)`` of all shards. If there are several, each one's rows are written before its index is destroyed and the next one made."""
+    shards, rest = shards_of(items, most)
+    if shards == 1:
+        return find(index_of(rest, 0))
+    totals, parts = written(totals_of(rest), "totals"), []
     for shard in range(shards):
-        mine = F.col("shard") == shard
-        rows = rest.where(mine).select("item_id", "text").collect()
-        rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
-        counted = {None if r[0] is None else bytes(r[0]): (r[1], r[2]) for r in totals.where(mine).select("word", "n", "words").collect()} if totals is not None else None
-        yield items.sparkSession.sparkContext.broadcast(Index(rows, counted))
+        index = index_of(rest, shard, totals)
+        parts.append(written(find(index), "leaks"))
+        index.destroy()
+    removed(totals)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _finder(index, item_type: pa.DataType):
@@ -231,8 +295,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     """Rows (doc_id, item_id, score, question_overlap, answer_overlap), one for each entry of an item that a text holds."""
     item_field = items.schema["item_id"]
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, item_id {item_field.dataType.simpleString()}, {FOUND}"
-    parts = [docs.select(key, text).mapInArrow(_finder(index, to_arrow_type(item_field.dataType)), schema) for index in shards_of(items, most)]
-    return reduce(DataFrame.unionByName, parts)
+    return each_shard(items, most, lambda index: docs.select(key, text).mapInArrow(_finder(index, to_arrow_type(item_field.dataType)), schema))
 
 
 def _holds(index):
@@ -246,7 +309,11 @@ def _holds(index):
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text", most: int = MOST_ITEMS) -> DataFrame:
-    """The rows of ``docs`` that hold no test item, with all their columns. No shuffle."""
-    for index in shards_of(items, most):
-        docs = docs.where(~_holds(index)(F.col(f"`{text}`")))
-    return docs
+    """The rows of ``docs`` that hold no test item, with all their columns. No shuffle but for several shards: then the hashes of texts that hold one are written, and the rows that have them go."""
+    body = F.col(f"`{text}`")
+    shards, rest = shards_of(items, most)
+    if shards == 1:
+        return docs.where(~_holds(index_of(rest, 0))(body))
+    mine = "__hash" + "_" * max(len(c) for c in docs.columns)  # longer than any column's name
+    leaks = each_shard(items, most, lambda index: docs.where(_holds(index)(body)).select(F.sha2(body.cast("binary"), 256).alias(mine)).distinct())
+    return docs.join(written(leaks.distinct(), "leaks"), F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256) == F.col(mine), "left_anti")

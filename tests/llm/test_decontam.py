@@ -1,6 +1,7 @@
 """Operator 8: retrieval against exhaustive scoring, leaks against a scan."""
 
 import numpy as np
+from pyspark.core.broadcast import Broadcast
 
 from tapeloom.llm import decontam as D
 
@@ -8,10 +9,11 @@ from tapeloom.llm import decontam as D
 def brute(docs, items):
     out = set()
     for i, t in docs:
-        have = set(zip(*[(w := D.plain_words(t))[k:] for k in range(5)]))
+        w = D.plain_words(t)
         for j, x in items:
-            want = set(zip(*[D.plain_words(x)[k:] for k in range(5)]))
-            if want and len(want & have) >= 0.8 * len(want):
+            size = min(5, len(D.plain_words(x)))
+            want = set(zip(*[D.plain_words(x)[k:] for k in range(size)]))
+            if want and len(want & set(zip(*[w[k:] for k in range(size)]))) >= 0.8 * len(want):
                 out.add((i, j))
     return out
 
@@ -40,14 +42,76 @@ def test_search_is_exhaustive():
     for t in range(len(index.vocabulary)):
         s = slice(index.begin[t], index.begin[t + 1])
         dense[t, index.entry[s]] = index.impact[s]
-    assert np.allclose(dense.sum(0), 1) and index.n == 103
+    assert np.allclose(dense.sum(0), 1) and index.n == 104
     for k in range(300):
         words = items[k % 100][1].split()
         words = words[: int(rng.integers(10, 31))] + [f"w{int(x)}" for x in rng.zipf(1.3, 60) % 500]
         ids = np.array([index.vocabulary.get(w.encode(), len(index.vocabulary)) for w in words])
         score = dense[np.unique(ids)].sum(0)
-        assert [e for e, _ in index.search(ids)] == np.flatnonzero(score >= D.THRESHOLD - 1e-9).tolist()
-    assert {e for _, e, *_ in index.leaks(["x " * 50 + items[101][1]])} == {100, 101, 102}
+        for least in (0.1, 0.3, D.THRESHOLD, 0.95):
+            got = index.search(ids, least)
+            assert [e for e, _ in got] == np.flatnonzero(score >= least - 1e-9).tolist()
+            assert np.allclose([s for _, s in got], score[[e for e, _ in got]])
+    assert {e for _, e, *_ in index.leaks(["x " * 50 + items[101][1]])} == {101, 102, 103}
+
+
+def test_short_items():
+    index = D.Index([(1, "Forty-two"), (2, "yes"), (3, "one two three four"), (4, "?!"), (5, "")])
+    texts = ["it is forty two", "forty and two", "x " * 63 + "forty two", "Yes", "one two three four", "one two three and four", "yes " * 300, "", None]
+    assert {(i, index.item[e]) for i, e, *_ in index.leaks(texts)} == {(0, 1), (2, 1), (3, 2), (4, 3), (6, 2)}
+
+
+def test_lists_are_skipped():
+    """Entries that cannot reach the threshold are not scored: of many that share a common word, those with the rare ones are."""
+    items = [(i, "the of and " + " ".join(f"r{i}x{k}" for k in range(9))) for i in range(2000)]
+    index = D.Index(items)
+
+    class Counted(type(index.impact)):
+        reads = 0
+
+        def __getitem__(self, i):
+            Counted.reads += 1
+            return super().__getitem__(i)
+
+    index.impact = Counted("d", index.impact)
+    ids = np.array([index.vocabulary[w.encode()] for w in (items[1234][1] + " " + items[77][1]).split()])
+    assert [e for e, _ in index.search(ids)] == [77, 1234] and Counted.reads < 60
+
+
+def test_one_shard_at_a_time(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(200).selectExpr("*", "1 as shard", "'' as __hash")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    alive, most = set(), 0
+    make, destroy = type(spark.sparkContext).broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        nonlocal most
+        b = make(self, value)
+        if isinstance(value, D.Index):
+            alive.add(id(b))
+            most = max(most, len(alive))
+            kept.append(b)
+        return b
+
+    kept = []
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", lambda self, blocking=False: (alive.discard(id(self)), destroy(self, blocking)))
+    one, clean = D.contaminated(docs, items).collect(), sorted(r.doc_id for r in D.keep_clean(docs, items).collect())
+    alive.clear()
+    most = 0
+    many = D.contaminated(docs, items, most=7).collect()
+    assert {(r.doc_id, r.item_id) for r in many} == {(r.doc_id, r.item_id) for r in one}
+    left = D.keep_clean(docs, items, most=7)
+    assert sorted(r.doc_id for r in left.collect()) == clean and left.columns == docs.columns
+    assert most == 1 and not alive and len(kept) > 10
+
+
+def test_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b c d e f"), (None, None), (3, "a b c d e f"), (3, "x y z")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f")], "item_id long, text string")
+    assert sorted((str(r.doc_id), r.item_id) for r in D.contaminated(docs, items).collect()) == [("3", 1)] * 2 + [("None", 1)] * 2
+    for most in (D.MOST_ITEMS, 1):
+        assert sorted(str(tuple(r)) for r in D.keep_clean(docs, items, most=most).collect()) == ["(3, 'x y z')", "(None, None)"]
 
 
 def test_scores_do_not_depend_on_shards(spark):
