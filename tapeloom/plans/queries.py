@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers, text
@@ -69,9 +70,13 @@ def query(sql: str | None = None):
 
 
 def _new_dir(spark: SparkSession) -> str:
-    """A new folder in the shared one of the session, or a local one where there is none (tests)."""
+    """A new folder in the shared one of the session. A local one only where the master is local: executors of a cluster do not share it."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="tapeloom-") + "/files"
+    if shared:
+        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tapeloom-") + "/files"
 
 
 # --- text -----------------------------------------------------------------------------------------
@@ -143,8 +148,6 @@ def a3_combined_text(spark, sf_dir):
 
 @query(f"with {SEGMENTS_SQL}, s as (select transcript_id, seq, {_t3('text')} s from segments), p as (select transcript_id, seq, generate_subscripts(s, 1) pos, unnest(s) sentence from s) select transcript_id, (row_number() over (partition by transcript_id order by seq, pos) - 1)::bigint as number, sentence from p")
 def a4_sentence_list(spark, sf_dir):
-    from pyspark.sql import Window
-
     rows = ops.sentences(segments(spark, sf_dir), ["transcript_id", "seq"])
     number = F.row_number().over(Window.partitionBy("transcript_id").orderBy("seq", "pos")) - 1
     return rows.select("transcript_id", number.cast("long").alias("number"), "sentence")
@@ -239,9 +242,9 @@ def e3_reader_pages(spark, sf_dir):
 # --- names, files, numbers ------------------------------------------------------------------------
 
 _NAMES_SQL = f"""with recursive {TITLES_SQL},
-slugs as (select seq, row_number() over (order by seq) k, substr({SLUG_SQL}, 1, 2) || case when seq % 7 = 0 then '_1' else '' end slug from titles),
+slugs as (select seq, row_number() over (order by seq) k, {SLUG_SQL} slug from titles),
 r(k, taken, seq, slug, name) as (
-  select 0::bigint, ['th', 'an_2'], null::bigint, null::varchar, null::varchar
+  select 0::bigint, (select list(slug) from slugs where seq % 7 = 0), null::bigint, null::varchar, null::varchar
   union all
   select k, list_append(taken, name), seq, slug, name from (
     select s.k, r.taken, s.seq, s.slug,
@@ -253,9 +256,9 @@ select seq, slug, name from r where k > 0"""
 
 @query(_NAMES_SQL)
 def d1_unique_names(spark, sf_dir):
-    """Short names, so that they clash, and two that are taken before."""
-    short = F.concat(F.substring(text.slug(F.col("title")), 1, 2), F.when(F.col("seq") % 7 == 0, "_1").otherwise(""))
-    return naming.allocate(titles(spark, sf_dir).select("seq", short.alias("slug")), spark.createDataFrame([("th",), ("an_2",)], "name string"))
+    """All titles; the names of every seventh were given out by an earlier run, which is that of S10."""
+    slugs = titles(spark, sf_dir).select("seq", text.slug(F.col("title")).alias("slug"))
+    return naming.allocate(slugs, slugs.where("seq % 7 = 0").select(F.col("slug").alias("name")))
 
 
 @query("select doc_id, n_chars / 1048576.0::double as size_mb, n_chars / 1000.0::double as duration_s, n_chars / 60.0::double * 0.006::double as cost_usd from documents")
@@ -283,30 +286,125 @@ def j1_json_roundtrip(spark, sf_dir):
     return ops.from_response(body)
 
 
-@query(f"with {SEGMENTS_SQL} select start, \"end\", ' ' || text || '  \"x\"' as text, avg_logprob from segments")
+@query(f"with {SEGMENTS_SQL} select transcript_id, start, \"end\", ' ' || text || '  \"x\"' as text, avg_logprob from segments")
 def k3_csv_roundtrip(spark, sf_dir):
     path = _new_dir(spark)
     rows = segments(spark, sf_dir)
     sinks.write_csv(rows.withColumn("text", F.concat(F.lit(" "), "text", F.lit('  "x"'))), path)
-    return files.read_segments_csv(spark, path)
+    return files.read_segments_csv(spark, path, "transcript_id", "long")
 
 
-@query(f"with {SEGMENTS_SQL} select start, \"end\", text, avg_logprob from segments where not contains(text, '{UNWANTED}')")
+@query(f"with {SEGMENTS_SQL} select transcript_id, start, \"end\", text, avg_logprob from segments where not contains(text, '{UNWANTED}')")
 def k4_json_files(spark, sf_dir):
-    """Filtered, written as one array for each transcript, read back."""
+    """Filtered, written as one array for each transcript, read back by S7."""
     path = _new_dir(spark)
     sinks.write_json(segments(spark, sf_dir), path, UNWANTED)
-    arrays = spark.read.text(path).select(F.explode(F.from_json("value", "array<struct<start:double,end:double,text:string,avg_logprob:double>>")).alias("s"))
-    return arrays.select("s.*")
+    return files.read_segments_json(spark, path, "transcript_id", "long")
+
+
+@query(f"with {SEGMENTS_SQL} select transcript_id, seq, start, \"end\", text, avg_logprob from segments where not contains(text, '{UNWANTED}')")
+def k4_json_table(spark, sf_dir):
+    """The same as one table of arrays."""
+    path = _new_dir(spark)
+    sinks.write_json(segments(spark, sf_dir), path, UNWANTED, folders=False)
+    arrays = spark.read.schema("transcript_id long, json string").json(path)
+    kept = ops.without_text(segments(spark, sf_dir), UNWANTED)
+    place = kept.select("transcript_id", "seq", (F.row_number().over(Window.partitionBy("transcript_id").orderBy("seq")) - 1).alias("pos"))
+    rows = arrays.select("transcript_id", F.posexplode(F.from_json("json", "array<struct<start:double,end:double,text:string,avg_logprob:double>>")).alias("pos", "s"))
+    return rows.join(place, ["transcript_id", "pos"]).select("transcript_id", "seq", "s.*")
 
 
-@query(f"with {SEGMENTS_SQL} select string_agg(text || ' ', '' order by seq) as text from segments group by transcript_id")
+@query(f"with {SEGMENTS_SQL} select transcript_id, string_agg(text || chr(10) || ' ', '' order by seq) as text from segments group by 1")
 def k2_text_files(spark, sf_dir):
-    """Texts written one to a row and read back; the given texts have line breaks, which are doubled as spaces here."""
+    """Texts with line breaks, written one to a file and read back with their keys."""
+    path = _new_dir(spark)
+    sinks.write_text(ops.combined_text(segments(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n")))), path)
+    return files.read_written_texts(spark, path, kind="long")
+
+
+@query(f"with {SEGMENTS_SQL} select transcript_id, string_agg(text || chr(10) || ' ', '' order by seq) as text from segments group by 1")
+def k2_text_table(spark, sf_dir):
+    path = _new_dir(spark)
+    sinks.write_text(ops.combined_text(segments(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n")))), path, folders=False)
+    return spark.read.schema("transcript_id long, text string").json(path)
+
+
+@query(f"with {_CLEAN_SQL} select count(*) as n, sum(length(text))::bigint as n_chars, md5(string_agg(md5(text), '' order by md5(text))) as digest from (select text || ' ' as text from cleaned)")
+def s9_text_upload(spark, sf_dir):
+    """Files of text, read whole and cleaned on loading. The line break that ends a file leaves an empty line."""
+    path = _new_dir(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_continuations(F.col("text")).alias("text"))
+    sinks.write_text(docs, path, "text", "doc_id")
+    loaded = files.read_texts(spark, path).select(clean.clean_lines(F.col("text")).alias("text"))
+    md5 = F.md5(F.col("text").cast("binary"))
+    return loaded.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"), F.md5(F.array_join(F.sort_array(F.collect_list(md5)), "").cast("binary")).alias("digest"))
+
+
+@query("select distinct lang || ' é+%/' || doc_id % 20 as name from documents")
+def s10_taken_names(spark, sf_dir):
+    """Names that outputs bear already, odd characters and all."""
+    path = _new_dir(spark)
+    name = F.concat("lang", F.lit(" é+%/"), (F.col("doc_id") % 20).cast("string"))
+    sinks.write_text(table(spark, sf_dir, "documents").select("text", name.alias("name")), path, "text", "name")
+    return files.taken_names(spark, path, "name")
+
+
+@query(f"with {SEGMENTS_SQL} select count(*) as n_before, count(*) filter (contains(text, '{UNWANTED}')) as n_removed, count(*) filter (not contains(text, '{UNWANTED}')) as n_after from segments")
+def k6_observed_counts(spark, sf_dir):
+    """K6: what a writing run observes."""
+    rows, seen = ops.observed(segments(spark, sf_dir), UNWANTED, f"seen-{uuid.uuid4().hex}")
     path = _new_dir(spark)
-    rows = ops.combined_text(segments(spark, sf_dir)).select(F.translate("combined_text", "\n", "\x0b").alias("combined_text"))
-    sinks.write_text(rows, path)
-    return spark.read.text(path).select(F.translate("value", "\x0b", "\n").alias("text"))
+    rows.write.parquet(path)
+    n = seen.get
+    return spark.read.schema(rows.schema).parquet(path).agg(F.count("*").alias("n_after")).select(F.lit(n["n_before"]).cast("long").alias("n_before"), F.lit(n["n_removed"]).cast("long").alias("n_removed"), "n_after")
+
+
+@query(f"select transcript_id, string_agg(sentence, ' ' order by seq, pos) || ' ' as merged_text from ({_m1_sql('text')}) group by 1")
+def m1_merged_text(spark, sf_dir):
+    """M1's text, F6: transcripts without segments have none."""
+    return merge.merged_text(merge.merge_segments(segments(spark, sf_dir)))
+
+
+@query(f"with {TITLES_SQL} select seq, title, url, false as is_single from titles union all select 0, 'one', 'u', true")
+def p7_single_or_playlist(spark, sf_dir):
+    """S1, S2, P7."""
+    one, many = adapters.single_video(spark, "one", "u"), titles(spark, sf_dir)
+    return adapters.choose(False, one, many).withColumn("is_single", F.lit(False)).unionByName(adapters.choose(True, one, many).withColumn("is_single", F.lit(True)))
+
+
+@query("select doc_id, printf('Audio duration: %.2f minutes, estimated cost: $%.4f', n_chars / 60.0::double, n_chars / 60.0::double * 0.006::double) as message from documents")
+def t14_messages(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", numbers.cost_message(F.col("n_chars")).alias("message"))
+
+
+@query("select doc_id, case when length(text) % 3 > 0 then strlen(text) / 1000.0::double end as duration_s, case when length(text) % 3 = 0 then 'ValueError: not audio' end as duration_error from documents")
+def s4_durations(spark, sf_dir):
+    """A decoder that fails for some."""
+
+    def decode(content):
+        if len(content.decode()) % 3 == 0:
+            raise ValueError("not audio")
+        return len(content)
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("content"))
+    return adapters.with_durations(docs, decode).select("doc_id", "duration_s", "duration_error")
+
+
+@query("select doc_id, true as is_now from documents")
+def dt1_request_time(spark, sf_dir):
+    """DT1: the time of the request lies between the call and the end of the same day after it."""
+    now = datetime.now(timezone.utc)
+    rows = adapters.requested(table(spark, sf_dir, "documents").select("doc_id"))
+    return rows.select("doc_id", F.col("request_time").between(F.lit(now), F.lit(now + timedelta(days=1))).alias("is_now"))
+
+
+_TIES = (2.675, 0.125, 0.375, 1.005, -0.125, 0.135, 2.5, 1e15 + 0.125, 0.005)
+
+
+@query("select * from (values " + ", ".join(f"({i}, {v!r}::double, {round(v, 2)!r}::double)" for i, v in enumerate(_TIES)) + ") t(i, x, rounded)")
+def n1_round2_ties(spark, sf_dir):
+    """N1 where the decimal or the binary value is a tie."""
+    return spark.createDataFrame(list(enumerate(_TIES)), "i int, x double").select("i", "x", numbers.round2(F.col("x")).alias("rounded"))
 
 
 @query(f"with {TITLES_SQL} select seq, title, url, case when seq % 5 <> 0 then url || '/audio/' || case when seq % 2 = 0 then 2 else 1 end end as stream_url, case when seq % 5 = 0 then 'no audio stream: ' || title end as error from titles")
@@ -318,12 +416,12 @@ def s3_audio_streams(spark, sf_dir):
     return adapters.first_audio_streams(videos, streams)
 
 
-_LINES_SQL = "one as (select doc_id transcript_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') l from documents where doc_id % 11 <> 0), lines as (select transcript_id, (generate_subscripts(l, 1) - 1)::bigint seq, unnest(l) line from one)"
+_LINES_SQL = "one as (select doc_id transcript_id, list_filter(string_split(text, chr(10)), lambda x: x <> '') l from documents), lines as (select transcript_id, (generate_subscripts(l, 1) - 1)::bigint seq, unnest(l) line from one)"
 
 
 def _audio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as audio files for the stand-in transcriber; some have no name."""
-    name = F.when(F.col("doc_id") % 11 == 0, "").otherwise(F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+    """Documents as audio files for the stand-in transcriber."""
+    name = F.concat(F.lit("d"), F.col("doc_id").cast("string"))
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("transcript_id"), F.lit("/audio").alias("path"), name.alias("filename"), F.col("text").cast("binary").alias("content"))
 
 
@@ -333,7 +431,7 @@ def e1_transcribe(spark, sf_dir):
     return transcripts.transcribe(_audio(spark, sf_dir), adapters.line_transcriber).segments
 
 
-@query("select doc_id as transcript_id, 'ValueError: no audio' as error from documents where doc_id % 11 <> 0 and length(text) % 2 = 0")
+@query("select doc_id as transcript_id, 'ValueError: no audio' as error from documents where length(text) % 2 = 0")
 def f7_error_isolation(spark, sf_dir):
     def make():
         model = adapters.line_transcriber()
@@ -353,6 +451,15 @@ def e1_combined_text(spark, sf_dir):
     return transcripts.transcribe(_audio(spark, sf_dir), adapters.line_transcriber).texts
 
 
+@query(f"with {_LINES_SQL} select transcript_id, string_agg(' ' || line, '' order by seq) as combined_text, count(*) as n_segments, 0::bigint as n_sentences, sum(2.0::double * seq) as start from lines group by 1")
+def s6_remote_transcripts(spark, sf_dir):
+    """Texts are those of the responses, and no sentences are given."""
+    run = transcripts.transcribe(_audio(spark, sf_dir), adapters.line_client, Settings(use_remote=True))
+    counts = run.segments.groupBy("transcript_id").agg(F.count("*").alias("n_segments"), F.sum("start").alias("start"))
+    found = run.sentences.groupBy("transcript_id").agg(F.count("*").alias("n"))
+    return run.texts.join(counts, "transcript_id").join(found, "transcript_id", "left").select("transcript_id", "combined_text", "n_segments", F.coalesce("n", F.lit(0)).cast("long").alias("n_sentences"), "start")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments without unwanted ones, their sentences, in paragraphs."""
     kept = ops.without_text(segments(spark, sf_dir), UNWANTED)

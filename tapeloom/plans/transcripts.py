@@ -16,31 +16,69 @@ from tapeloom.sources import adapters, sinks
 
 @dataclass(frozen=True)
 class Run:
-    """Results of a run, all lazy."""
+    """Results of a run. ``rows`` is what the transcriber gives; all else is derived from it, lazily."""
 
+    rows: DataFrame
     segments: DataFrame
     texts: DataFrame
     sentences: DataFrame
     kept: DataFrame
     errors: DataFrame
+    names: DataFrame
+    again: Callable[[DataFrame], Run]
 
-    def write(self, path: str, settings: Settings = Settings()) -> None:
-        sinks.write_all(self.segments, self.texts, path, settings.unwanted_text)
+    def write(self, path: str, settings: Settings = Settings(), folders: bool = True) -> Run:
+        """All outputs below ``path``, by file name. The transcriber runs once: its rows are written first and the run that is returned reads them."""
+        self.rows.write.parquet(f"{path}/transcribed")
+        done = self.again(self.rows.sparkSession.read.schema(self.rows.schema).parquet(f"{path}/transcribed"))
+        named = [x.join(self.names, "transcript_id") for x in (done.segments, done.texts)]
+        sinks.write_all(*named, path, settings.unwanted_text, "filename", folders)
+        return done
 
 
-def transcribe(files: DataFrame, make: Callable[[], adapters.Transcriber], settings: Settings = Settings(), splitter: str = "regex") -> Run:
-    """E1 after download: ``files`` has transcript_id, path, filename and content."""
-    rows = adapters.transcribe(adapters.downloaded(files), make, settings)
+def _local(rows: DataFrame, names: DataFrame, settings: Settings, splitter: str) -> Run:
     found = rows.where("error is null").drop("error")
     return Run(
+        rows=rows,
         segments=found,
         texts=segments.combined_text(found),
         sentences=segments.sentences(found, ["transcript_id", "seq"], splitter=splitter),
         kept=segments.without_text(found, settings.unwanted_text),
         errors=rows.where("error is not null").select("transcript_id", "error"),
+        names=names,
+        again=lambda written: _local(written, names, settings, splitter),
     )
 
 
+def _remote(rows: DataFrame, names: DataFrame, settings: Settings) -> Run:
+    good = rows.where("error is null")
+    found = segments.from_response(good)
+    return Run(
+        rows=rows,
+        segments=found,
+        # a response without segments gives no text either.
+        texts=segments.response_text(good).join(found.select("transcript_id").distinct(), "transcript_id", "left_semi"),
+        sentences=rows.sparkSession.createDataFrame([], "transcript_id long, seq long, pos int, sentence string"),
+        kept=segments.without_text(found, settings.unwanted_text),
+        errors=rows.where("error is not null").select("transcript_id", "error"),
+        names=names,
+        again=lambda written: _remote(written, names, settings),
+    )
+
+
+def transcribe(files: DataFrame, make: Callable[[], Callable], settings: Settings = Settings(), splitter: str = "regex") -> Run:
+    """E1 after download, U2: ``files`` has transcript_id, path, filename and content.
+
+    ``make`` gives a local transcriber, or with ``use_remote`` a client that answers in JSON: then texts are those
+    of the responses, numbers are not rounded and there are no sentences.
+    """
+    good = adapters.downloaded(files)
+    names = good.select("transcript_id", "filename")
+    if settings.use_remote:
+        return _remote(adapters.responses(good, make, settings), names, settings)
+    return _local(adapters.transcribe(good, make, settings), names, settings, splitter)
+
+
 def named(videos: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Videos with a file name that no other has."""
     slugs = videos.withColumn("slug", text.slug(F.col("title")))

@@ -50,7 +50,8 @@ class Settings:
     vad_filter: bool = True
     use_remote: bool = False
     disable_cuda: bool = False
-    transcribe_partitions: int = 4
+    #: Tasks that transcribe at once at most; None: as many as the input has partitions.
+    transcribe_partitions: int | None = None
 
     def device(self, cuda: bool) -> tuple[str, str]:
         """Device and number type of a local model."""

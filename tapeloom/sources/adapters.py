@@ -6,6 +6,7 @@ error and never fails the job.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -58,14 +59,31 @@ def with_sizes(files: DataFrame) -> DataFrame:
     return files.withColumn("size_mb", numbers.size_mb(F.col("n_bytes")))
 
 
+def requested(files: DataFrame) -> DataFrame:
+    """DT1: when the items were asked for, as an instant: the same whatever the session's time zone."""
+    return files.withColumn("request_time", F.current_timestamp())
+
+
 def with_durations(files: DataFrame, decode_ms: Callable[[bytes], float]) -> DataFrame:
-    """Durations by a decoder that gives milliseconds."""
+    """Durations by a decoder that gives milliseconds; where it fails, ``duration_error``."""
+
+    def run(content: pd.Series) -> pd.DataFrame:
+        out = []
+        for c in content:
+            try:
+                out.append((float(decode_ms(bytes(c))), None))
+            except Exception as e:  # an item's failure is its own
+                out.append((None, f"{type(e).__name__}: {e}"))
+        return pd.DataFrame(out, columns=["ms", "error"]).astype({"ms": "Float64"})
 
-    def run(content: pd.Series) -> pd.Series:
-        return content.map(lambda c: float(decode_ms(bytes(c)))).astype(float)
+    run.__annotations__ = {"content": pd.Series, "return": pd.DataFrame}
+    decoded = files.withColumn("decoded", F.pandas_udf(run, "ms double, error string")("content"))
+    return decoded.withColumn("duration_s", numbers.duration_s(F.col("decoded.ms"))).withColumn("duration_error", F.col("decoded.error")).drop("decoded")
 
-    run.__annotations__ = {"content": pd.Series, "return": pd.Series}
-    return files.withColumn("duration_s", numbers.duration_s(F.pandas_udf(run, "double")("content")))
+
+def limited(rows: DataFrame, most: int | None) -> DataFrame:
+    """At most ``most`` tasks, without a shuffle: contents stay where they are read."""
+    return rows if most is None else rows.coalesce(most)
 
 
 SEGMENTS = "transcript_id long, seq long, start double, end double, text string, avg_logprob double, error string"
@@ -96,7 +114,28 @@ def transcribe(files: DataFrame, make: Callable[[], Transcriber], settings: Sett
             yield frame.astype({"transcript_id": "Int64", "seq": "Int64", "start": "Float64", "end": "Float64", "avg_logprob": "Float64"})
 
     rows = files.select(F.col("transcript_id").cast("long").alias("transcript_id"), "content")
-    return rows.repartition(settings.transcribe_partitions).mapInPandas(run, SEGMENTS)
+    return limited(rows, settings.transcribe_partitions).mapInPandas(run, SEGMENTS)
+
+
+RESPONSES = "transcript_id long, body string, error string"
+
+
+def responses(files: DataFrame, make: Callable[[], Callable[[bytes], str]], settings: Settings = Settings()) -> DataFrame:
+    """A remote model's JSON answer to each (transcript_id, content), as it came. ``make`` makes a client, once for each partition."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        client = make()
+        for batch in batches:
+            out = []
+            for i, content in zip(batch["transcript_id"], batch["content"]):
+                try:
+                    out.append((i, client(bytes(content)), None))
+                except Exception as e:  # an item's failure is its own
+                    out.append((i, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
+
+    rows = files.select(F.col("transcript_id").cast("long").alias("transcript_id"), "content")
+    return limited(rows, settings.transcribe_partitions).mapInPandas(run, RESPONSES)
 
 
 def line_transcriber() -> Transcriber:
@@ -107,3 +146,9 @@ def line_transcriber() -> Transcriber:
         return [{"start": 2.0 * i, "end": 2.0 * i + 2.0, "text": f" {x}", "avg_logprob": -(len(x) % 100) / 100.0} for i, x in enumerate(lines)]
 
     return run
+
+
+def line_client() -> Callable[[bytes], str]:
+    """A stand-in for a remote model: the segments of ``line_transcriber`` in a response, whose text has no spaces added."""
+    model = line_transcriber()
+    return lambda content: json.dumps({"text": "".join(s["text"] for s in model(content)), "segments": model(content)})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tapeloom.schema import SEGMENT_FIELDS
@@ -13,33 +14,45 @@ STEM = r"([^/]+?)(?:\.[^./]*)?$"
 CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
-def read_segments_json(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of JSON arrays of segments, with their file's name."""
-    rows = spark.read.schema(SEGMENT_FIELDS).option("multiLine", True).json(path)
-    return rows.select(F.regexp_extract(F.input_file_name(), STEM, 1).alias("name"), "*")
+def read_segments_json(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
+    """Rows of JSON arrays of segments, with their file's name, or the ``key`` of their folder."""
+    schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
+    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    return rows.select(F.regexp_extract(F.input_file_name(), STEM, 1).alias("name"), "*") if key is None else rows
 
 
-def read_segments_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of CSV tables of segments."""
-    return spark.read.schema(SEGMENT_FIELDS).options(**CSV).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+def read_segments_csv(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
+    """Rows of CSV tables of segments, with the ``key`` of their folder."""
+    schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
+    return spark.read.schema(schema).options(**CSV).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, one row each."""
-    rows = spark.read.option("wholetext", True).text(path)
+    rows = spark.read.text(path, wholetext=True)
     return rows.select(F.regexp_extract(F.input_file_name(), STEM, 1).alias("name"), F.col("value").alias("text"))
 
 
+def read_written_texts(spark: SparkSession, path: str, key: str = "transcript_id", kind: str = "string") -> DataFrame:
+    """What ``sinks.write_text`` wrote in folders: key and text, without the line break after it."""
+    rows = spark.read.schema(f"value string, `{key}` {kind}").text(path, wholetext=True)
+    return rows.select(key, F.expr("substring(value, 1, length(value) - 1)").alias("text"))
+
+
 def read_audio(spark: SparkSession, path: str) -> DataFrame:
     """Audio files: path, name, bytes and content."""
     rows = spark.read.format("binaryFile").load(path)
     return rows.select("path", F.regexp_extract("path", STEM, 1).alias("filename"), F.col("length").alias("n_bytes"), "content")
 
 
-def taken_names(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the files below ``path``, by Spark's own listing; none if there is no such place."""
+def taken_names(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
+    """Names of the files below ``path``, or the values of ``key`` of the folders that sinks write, by Spark's own listing; none if there is no such place."""
     try:
-        rows = spark.read.format("binaryFile").load(path)
+        rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
     except AnalysisException:
         return spark.createDataFrame([], "name string")
-    return rows.select(F.regexp_extract("path", STEM, 1).alias("name"))
+    if key is None:
+        return rows.select(F.regexp_extract("path", STEM, 1).alias("name"))
+    # Escaped in the folder's name; a plus sign is one.
+    value = F.replace(F.regexp_extract("path", rf"/{key}=([^/]*)/[^/]*$", 1), F.lit("+"), F.lit("%2B"))
+    return rows.select(F.url_decode(value).alias("name")).distinct()

@@ -1,4 +1,10 @@
-"""Sinks: texts, CSV tables and JSON, laid out as one folder for each transcript name or as plain tables."""
+"""Sinks: texts, CSV tables and JSON arrays, each with its transcript's key.
+
+By default a transcript has its own folder, ``<key>=<value>``, with one file: what a file of that name is
+elsewhere. With ``folders=False`` the same is one table, the key a column of it, which is what to use for
+very many transcripts. Texts may have line breaks: in folders a file is a text and one line break after
+it, which the reader takes off; in a table they are JSON lines.
+"""
 
 from __future__ import annotations
 
@@ -8,34 +14,45 @@ from pyspark.sql import functions as F
 from tapeloom.operators.segments import without_text
 
 FIELDS = ("start", "end", "text", "avg_logprob")
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
 
 
-def write_text(texts: DataFrame, path: str, column: str = "combined_text") -> None:
-    """K2: one row for each transcript, nothing added at the end."""
-    texts.select(column).write.text(path)
+def write_text(texts: DataFrame, path: str, column: str = "combined_text", key: str = "transcript_id", folders: bool = True) -> None:
+    """K2: each transcript's text as it is."""
+    if folders:
+        texts.select(key, column).repartition(key).write.partitionBy(key).text(path)
+    else:
+        texts.select(key, F.col(column).alias("text")).write.json(path)
 
 
-def write_csv(segments: DataFrame, path: str) -> None:
+def write_csv(segments: DataFrame, path: str, key: str = "transcript_id", folders: bool = True) -> None:
     """K3: all segments in order, with a header; spaces at the edges stay and quotes are doubled."""
-    rows = segments.repartitionByRange("transcript_id", "seq").sortWithinPartitions("transcript_id", "seq") if "seq" in segments.columns else segments
-    rows.select(*FIELDS).write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, emptyValue="").csv(path)
+    if folders:
+        rows = segments.repartition(key).sortWithinPartitions(key, "seq").select(key, *FIELDS)
+        rows.write.partitionBy(key).options(**CSV).csv(path)
+    else:
+        rows = segments.repartitionByRange(key, "seq").sortWithinPartitions(key, "seq")
+        rows.select(key, "seq", *FIELDS).write.options(**CSV).csv(path)
 
 
-def json_arrays(segments: DataFrame) -> DataFrame:
+def json_arrays(segments: DataFrame, key: str = "transcript_id") -> DataFrame:
     """Each transcript's segments as one JSON array, in order."""
     parts = F.array_sort(F.collect_list(F.struct("seq", *FIELDS)))
     plain = F.transform(parts, lambda x: F.struct(*[x[f].alias(f) for f in FIELDS]))
-    return segments.groupBy("transcript_id").agg(F.to_json(plain, {"ignoreNullFields": "false"}).alias("json"))
+    return segments.groupBy(key).agg(F.to_json(plain, {"ignoreNullFields": "false"}).alias("json"))
 
 
-def write_json(segments: DataFrame, path: str, unwanted: str | None = None) -> None:
+def write_json(segments: DataFrame, path: str, unwanted: str | None = None, key: str = "transcript_id", folders: bool = True) -> None:
     """K4, K5: arrays of segments, without unwanted ones: filtered before writing, so that nothing is written twice."""
-    rows = segments if unwanted is None else without_text(segments, unwanted)
-    json_arrays(rows).select("json").write.text(path)
+    rows = json_arrays(segments if unwanted is None else without_text(segments, unwanted), key)
+    if folders:
+        rows.write.partitionBy(key).text(path)
+    else:
+        rows.write.json(path)
 
 
-def write_all(segments: DataFrame, texts: DataFrame, path: str, unwanted: str | None) -> None:
+def write_all(segments: DataFrame, texts: DataFrame, path: str, unwanted: str | None, key: str = "transcript_id", folders: bool = True) -> None:
     """A run's three outputs. Text and CSV keep unwanted segments, JSON drops them."""
-    write_text(texts, f"{path}/combined_texts")
-    write_csv(segments, f"{path}/metadata_csv")
-    write_json(segments, f"{path}/metadata_json", unwanted)
+    write_text(texts, f"{path}/combined_texts", key=key, folders=folders)
+    write_csv(segments, f"{path}/metadata_csv", key, folders)
+    write_json(segments, f"{path}/metadata_json", unwanted, key, folders)

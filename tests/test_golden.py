@@ -1,6 +1,7 @@
 """Cases worked out by hand, and properties."""
 
 import random
+import uuid
 
 import pytest
 from hypothesis import given, settings
@@ -138,11 +139,67 @@ def test_numbers(spark):
 
 def test_unwanted_goes_from_json_only(spark, tmp_path):
     unwanted = Settings().unwanted_text
-    rows = spark.createDataFrame([(1, 0, 0.0, 1.0, " Hi \"x\" ", -0.1), (1, 1, 1.0, 2.0, unwanted, -0.2), (1, 2, 2.0, 3.0, unwanted.lower(), -0.3)], SEGMENT)
+    rows = spark.createDataFrame([(1, 0, 0.0, 1.0, " Hi \"x\"\n ", -0.1), (1, 1, 1.0, 2.0, unwanted, -0.2), (1, 2, 2.0, 3.0, unwanted.lower(), -0.3), (20, 0, 0.0, 1.0, "other", -0.1)], SEGMENT)
     sinks.write_all(rows, segments.combined_text(rows), str(tmp_path), unwanted)
-    assert [r.text for r in files.read_segments_csv(spark, f"{tmp_path}/metadata_csv").orderBy("start").collect()] == [" Hi \"x\" ", unwanted, unwanted.lower()]
-    assert [r.text for r in files.read_segments_json(spark, f"{tmp_path}/metadata_json").orderBy("start").collect()] == [" Hi \"x\" ", unwanted.lower()]
-    assert files.read_texts(spark, f"{tmp_path}/combined_texts").where("text <> ''").count() == 1
+    table = files.read_segments_csv(spark, f"{tmp_path}/metadata_csv", "transcript_id", "long").orderBy("transcript_id", "start")
+    assert [(r.transcript_id, r.text) for r in table.collect()] == [(1, " Hi \"x\"\n "), (1, unwanted), (1, unwanted.lower()), (20, "other")]
+    arrays = files.read_segments_json(spark, f"{tmp_path}/metadata_json", "transcript_id", "long").orderBy("transcript_id", "start")
+    assert [(r.transcript_id, r.text) for r in arrays.collect()] == [(1, " Hi \"x\"\n "), (1, unwanted.lower()), (20, "other")]
+    assert sorted(tuple(r) for r in files.read_written_texts(spark, f"{tmp_path}/combined_texts", kind="long").collect()) == [(1, f" Hi \"x\"\n  {unwanted} {unwanted.lower()} "), (20, "other ")]
+    assert len(list(tmp_path.glob("combined_texts/*/*.txt"))) == len(list(tmp_path.glob("metadata_csv/*/*.csv"))) == len(list(tmp_path.glob("metadata_json/*/*.txt"))) == 2
+
+
+def test_whole_texts(spark, tmp_path):
+    (tmp_path / "a b.txt").write_text("one\n\ntwo\n")
+    assert [r.text for r in files.read_texts(spark, str(tmp_path)).collect()] == ["one\n\ntwo\n"]
+
+
+def test_a_run_transcribes_once(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+    raw = [(1, "/p", "one", b"a. b\nc"), (2, "/p", "", b"x"), (3, "/p", "bad", b"!"), (4, "/p", "empty", b""), (5, "", "x", b"x"), (6, "/p", "two+ 2", b"d")]
+    rows = spark.createDataFrame([(*r[:3], bytearray(r[3])) for r in raw], "transcript_id long, path string, filename string, content binary").repartition(3)
+
+    def make():
+        model = adapters.line_transcriber()
+
+        def run(content):
+            (calls / uuid.uuid4().hex).touch()
+            if content == b"!":
+                raise ValueError("bad")
+            return model(content)
+
+        return run
+
+    run = transcripts.transcribe(rows, make)
+    done = run.write(str(tmp_path / "out"))
+    assert [tuple(r) for r in done.errors.collect()] == [(3, "ValueError: bad")]
+    assert done.sentences.count() == 4 and done.kept.count() == 3
+    assert len(list(calls.iterdir())) == 4  # 2 and 5 have no name or no path
+    texts = files.read_written_texts(spark, f"{tmp_path}/out/combined_texts", "filename")
+    assert sorted(tuple(r) for r in texts.collect()) == [("one", " a. b  c "), ("two+ 2", " d ")]
+    assert sorted(r.name for r in files.taken_names(spark, f"{tmp_path}/out/metadata_csv", "filename").collect()) == ["one", "two+ 2"]
+    assert adapters.transcribe(rows, make).rdd.getNumPartitions() == rows.rdd.getNumPartitions()
+    assert "Exchange" not in adapters.transcribe(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("doc_id transcript_id", "cast(text as binary) content"), make, Settings(transcribe_partitions=2))._jdf.queryExecution().toString()
+
+
+def test_remote_runs(spark, tmp_path):
+    raw = [(1, "/p", "one", b"a. b\nc"), (2, "/p", "two", b""), (3, "/p", "bad", b"\xff")]
+    rows = spark.createDataFrame([(*r[:3], bytearray(r[3])) for r in raw], "transcript_id long, path string, filename string, content binary")
+    run = transcripts.transcribe(rows, adapters.line_client, Settings(use_remote=True)).write(str(tmp_path / "out"))
+    assert [tuple(r) for r in run.texts.collect()] == [(1, " a. b c")] and run.sentences.count() == 0
+    assert [r.transcript_id for r in run.errors.collect()] == [3]
+    assert [r.text for r in run.segments.orderBy("seq").collect()] == [" a. b", " c"]
+
+
+def test_durations_fail_by_item(spark):
+    rows = spark.createDataFrame([(1, bytearray(b"xx")), (2, bytearray(b""))], "i long, content binary")
+
+    def decode(content):
+        return 1000 * len(content) / len(content)
+
+    got = sorted(tuple(r) for r in adapters.with_durations(rows, decode).drop("content").collect())
+    assert got == [(1, 1.0, None), (2, None, "ZeroDivisionError: division by zero")]
 
 
 def test_observed_counts(spark):
