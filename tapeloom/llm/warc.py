@@ -28,7 +28,7 @@ import zlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm.common import new_path, ship
+from tapeloom.llm.common import new_path, ship, written
 
 ship(__name__)
 
@@ -100,12 +100,18 @@ def _members(batches):
     import pyarrow as pa
 
     for b in batches:
-        yield pa.RecordBatch.from_arrays([pa.array([member(t.encode() + b"\r\n\r\n") for t in b.column(0).to_pylist()], pa.binary())], names=["value"])
+        out = []
+        for text, broken in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            good = member(text.encode() + b"\r\n\r\n")
+            # What a writer that was stopped half way leaves, before it begins the record anew.
+            out.append(good[: len(good) // 2] + good if broken else good)
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
 
-def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
+def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, broken: Column | None = None) -> None:
+    """``broken``: pages (by page_id) before whose records half of a member is written too, to try the salvage reader."""
     rows = classified(pages, least)
-    packed = rows.select(record_text(rows).alias("value")).mapInArrow(_members, "value binary")
+    packed = rows.select(record_text(rows).alias("value"), F.coalesce(F.lit(False) if broken is None else broken, F.lit(False)).alias("broken")).mapInArrow(_members, "value binary")
     # The writer takes strings, and writes their bytes as they are.
     out = packed.select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", member(b"").decode("latin-1"))
     out.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
@@ -219,6 +225,16 @@ def _before_damage(data: bytes, begin: int, at: int, step: int) -> bytes:
     return b"".join(out)
 
 
+def consumed(data: bytes, begin: int, n: int, step: int = 16384) -> int:
+    """How far the gzip member at ``begin`` is read to give its first ``n`` bytes."""
+    unzip, at = zlib.decompressobj(31), begin
+    while n > 0 and at < len(data):
+        piece = data[at : at + step]
+        n -= len(unzip.decompress(piece, n))
+        at += len(piece) - len(unzip.unconsumed_tail)
+    return at
+
+
 def read_member(data: bytes, at: int) -> tuple[list[tuple], int]:
     """Rows of the gzip member at ``at``, and where reading goes on; 0 if the member has content but no record."""
     body, end, damaged = inflate(data, at)
@@ -230,9 +246,7 @@ def read_member(data: bytes, at: int) -> tuple[list[tuple], int]:
         return [], 0
     if not end and rows:
         # Go on at the byte that completed the last record: what inflates after it may belong to other members.
-        unzip = zlib.decompressobj(31)
-        unzip.decompress(data[at:], max(1, rows[-1][2] - 1))
-        end = len(data) - len(unzip.unconsumed_tail) - 1
+        end = consumed(data, at, max(1, rows[-1][2] - 1)) - 1
     return [(r[0], at, end, r[3], r[4]) for r in rows], end
 
 
@@ -267,7 +281,10 @@ ROW = "path string, kind string, start long, end long, record_id string, record_
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """One row for each record, and for each quarantined gap (kind "gap")."""
+    """One row for each record, and for each quarantined gap (kind "gap").
+
+    An archive is held whole by Spark's binary reader, so it must be under 2 GB.
+    """
 
     def run(batches):
         import pyarrow as pa
@@ -291,14 +308,26 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
     return files.mapInArrow(run, ROW)
 
 
+#: Of the query: before the records of pages whose ids this divides, the archives are damaged.
+BROKEN_EVERY = 64
+
+
 def warc_report(pages: DataFrame) -> DataFrame:
-    """Writes the archives, reads them back."""
+    """Writes the archives, damaged in known places, and reads them back by salvage.
+
+    What is read is written once, records and quarantined gaps alike. It is an error if a record is lost, a damaged place is not
+    quarantined, or there is a gap where none was made. (The end of a member that broken bytes swallow may be a gap of its own.)
+    """
     spark = pages.sparkSession
     path = new_path(spark, "warc")
-    write_archives(pages, path)
-    rows = read_archives(spark, path, payloads=False).where("kind = 'record'")
+    write_archives(pages, path, broken=F.col("page_id") % BROKEN_EVERY == 0)
+    rows = written(read_archives(spark, path, payloads=False).drop("payload"), "read")
+    made = pages.agg(F.count_if(F.col("page_id") % BROKEN_EVERY == 0), F.count("*")).first()
+    found = rows.agg(F.count_if(F.col("kind") == "gap"), F.count_if(F.col("kind") == "record")).first()
+    if found[1] != made[1] or found[0] < made[0] or bool(found[0]) != bool(made[0]):
+        raise RuntimeError(f"{found[0]} gaps and {found[1]} records were read of {made[0]} and {made[1]}: see {path}")
 
     def number(c: str) -> Column:
         return F.regexp_extract(c, r"^<urn:x-page:(-?[0-9]+)>$", 1).try_cast(pages.schema["page_id"].dataType)
 
-    return rows.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", number("refers_to")).alias("refers_to"))
+    return rows.where("kind = 'record'").select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("record_type") == "revisit", number("refers_to")).alias("refers_to"))

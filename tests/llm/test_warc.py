@@ -4,8 +4,11 @@ import base64
 import gzip
 import hashlib
 import re
+import time
 import zlib
 
+import pytest
+
 from tapeloom.llm import warc
 
 
@@ -26,12 +29,35 @@ def brute(pages):
 
 def test_round_trip(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html").collect()]
-    rows += [(9001, "u\r\nx", "WARC/1.1\r\n\r\n\r\nWARC/1.0\r\n"), (9000, "u", "WARC/1.1\r\n\r\n\r\nWARC/1.0\r\n"), (9002, None, None), (9003, "", ""), (9004, "é", "é\n\r\n😀"), (None, "a", ""), (9002, "b", ""), (9005, "c", "x" * 300000), (-1, "d", "x" * 300000)]
+    rows += [(9001, "u\r\nx", "WARC/1.1\r\n\r\n\r\nWARC/1.0\r\n"), (9000, "u", "WARC/1.1\r\n\r\n\r\nWARC/1.0\r\n"), (9002, None, None), (9003, "", ""), (9004, "é", "é\n\r\n😀"), (None, "a", ""), (9002, "b", ""), (9005, "c", "x" * 300000), (-1, "d", "x" * 300000), (6400, "e", "é" + "y z" * 2_000_000), (-64, "f", None), (6464, "g", "".join(map(chr, range(32, 3000))))]
     pages = spark.createDataFrame([(*r, 1) for r in rows], "page_id long, url string, html string, digest int")
     got = [tuple(r) for r in warc.warc_report(pages).collect()]
     assert sorted(got, key=str) == brute(rows)
 
 
+def test_damage_elsewhere_is_reported(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"page {i}") for i in range(100)], "page_id long, url string, html string")
+    monkeypatch.setattr(warc, "member", lambda record, make=warc.member: make(record)[:60] if b"page 7\r\n" in record else make(record))
+    with pytest.raises(RuntimeError, match="3 gaps and 99 records were read of 2 and 100"):
+        warc.warc_report(pages)
+
+
+def test_large_damaged_files_take_linear_time():
+    body = b"".join(hashlib.sha256(b"%d" % i).digest() for i in range(2000))
+    za = gzip.compress(record(0, body))
+
+    def took(n):
+        data = (za[: len(za) // 2] + za) * n
+        began = time.perf_counter()
+        rows = list(warc.read_archive(data))
+        assert [r[0] for r in rows] == ["gap", "record"] * n
+        return time.perf_counter() - began
+
+    took(10)
+    half, whole = took(150), took(300)
+    assert whole < 3 * half + 1
+
+
 def test_empty(spark):
     assert warc.warc_report(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
