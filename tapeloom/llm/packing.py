@@ -200,15 +200,17 @@ def pack(docs: DataFrame, size: int = SIZE, key: str = "doc_id", text: str = "te
     table = places(plan(counts, size))
     salts = {n: -(-c // GROUP) for n, c in counts.items()}
     most = max(salts.values(), default=1)
-    hashed = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(most))
+    # All that tells pieces apart, as very many may have one id, or none.
+    of = F.xxhash64("doc_id", "piece", "start", "ids_crc32")
+    hashed = F.pmod(of, F.lit(most))
     if most > 1:
         per = F.create_map(*[F.lit(x) for n, s in salts.items() if s > 1 for x in (n, s)])
-        hashed = F.pmod(F.xxhash64("doc_id", "piece"), F.coalesce(F.try_element_at(per, F.col("length")), F.lit(1)))
+        hashed = F.pmod(of, F.coalesce(F.try_element_at(per, F.col("length")), F.lit(1)))
     salted = cuts.withColumn("salt", hashed)
     # Ranks: within (length, salt), after all of the salts before it.
     groups = salted.groupBy("length", "salt").agg(F.count("*").alias("n"))
     before = groups.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("salt")) - F.col("n")).drop("n")
-    ranked = salted.withColumn("r", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")) - 1)
+    ranked = salted.withColumn("r", F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")) - 1)
     ranked = ranked.join(before, ["length", "salt"]).withColumn("rank", F.col("r") + F.col("before"))
 
     def place(batches):

@@ -183,13 +183,27 @@ def _covers(tests: list[Test], x: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(x: np.ndarray, bad: np.ndarray, precision: float = 0.9, least: int = 5, most_rules: int = 24, longest: int = 4, cuts: int = 64) -> list[list[Test]]:
-    """Conjunctions that mark rows as bad, in the order found. A third of the rows is held back for pruning."""
+def learn(x: np.ndarray, bad: np.ndarray, precision: float = 0.9, least: int = 5, most_rules: int = 24, longest: int = 4, cuts: int = 64, most_failures: int = 12) -> list[list[Test]]:
+    """Conjunctions that mark rows as bad, in the order found. A third of the rows is held back for pruning.
+
+    A conjunction that is not precise enough is tried in full length, unpruned. If that is not either, the bad rows
+    that it covers are not sought any more, and the next one grows from the others.
+    """
     held = np.arange(len(x)) % 3 == 2
     rules: list[list[Test]] = []
     left = np.ones(len(x), bool)
-    while len(rules) < most_rules:
-        g, h = left & ~held, left & held
+    sought = np.ones(len(x), bool)
+    failures = 0
+
+    def covered(tests: list[Test]) -> np.ndarray | None:
+        """The rows left that the rule covers, if it is good enough."""
+        c = left & _covers(tests, x)
+        held_back = c & held
+        good = c.sum() >= least and bad[c].mean() >= precision and not (held_back.any() and bad[held_back].mean() < precision)
+        return c if good else None
+
+    while len(rules) < most_rules and failures < most_failures:
+        g, h = left & sought & ~held, left & held
         if not bad[g].any():
             break
         tests = _grow(x[g], bad[g], longest, cuts)
@@ -201,12 +215,15 @@ def learn(x: np.ndarray, bad: np.ndarray, precision: float = 0.9, least: int = 5
             p, n = int(bad[h][c].sum()), int((~bad[h][c]).sum())
             return (p - n) / (p + n) if p + n else -1.0
 
-        tests = tests[: max(range(1, len(tests) + 1), key=lambda k: (worth(k), -k))]
-        c = left & _covers(tests, x)
-        if c.sum() < least or bad[c].mean() < precision or (h & c).any() and bad[h & c].mean() < precision:
-            break
-        rules.append(tests)
-        left &= ~c
+        pruned = tests[: max(range(1, len(tests) + 1), key=lambda k: (worth(k), -k))]
+        for rule in (pruned, tests):
+            if (c := covered(rule)) is not None:
+                rules.append(rule)
+                left &= ~c
+                break
+        else:
+            failures += 1
+            sought &= ~(_covers(tests, x) & bad)
     return rules
 
 

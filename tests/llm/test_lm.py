@@ -50,6 +50,44 @@ def test_documents(spark, sf_dir):
         assert [r[6] for r in again] == pytest.approx([r[6] for r in got])
 
 
+def brute_scores(rows):
+    """The model with true counts in place of those of the filter."""
+    texts = [(i, tokens(t)) for i, t in rows]
+    train = [w for i, w in texts if i is None or zlib.crc32(str(i).encode()) % 5 != 1]
+    one, two = Counter(x for w in train for x in w), Counter(p for w in train for p in zip([None, *w[:-1]], w))
+    n, v = sum(one.values()), len(one)
+
+    def level(c):
+        return lm.COUNT_OF[c.bit_length()]
+
+    out = []
+    for _, w in texts:
+        total = 0.0
+        for p in zip([None, *w[:-1]], w):
+            alone = (level(one[p[1]]) + 0.5) / (n + 0.5 * (v + 1))
+            before = level(one[p[0]])
+            total += math.log10(min(1.0, (min(level(two[p]), before) + lm.PRIOR * alone) / (before + lm.PRIOR)))
+        out.append(total)
+    return out
+
+
+def test_scores_against_true_counts(spark, sf_dir):
+    def both(rows):
+        got = [(r.doc_id, r.score) for r in lm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        want = dict(zip([r[0] for r in rows], brute_scores(rows)))
+        return np.array([g for _, g in got]), np.array([want[i] for i, _ in got])
+
+    # A filter that is nearly empty gives no false answer: the model is exact.
+    rng = np.random.default_rng(4)
+    small = [(i, " ".join(f"w{int(k)}" for k in rng.zipf(1.5, int(rng.integers(0, 60))) % 90)) for i in range(60)] + [(100, None)]
+    got, want = both(small)
+    assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
+    # A full one errs for a few in a hundred absent n-grams.
+    got, want = both([(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()])
+    off = np.abs(got - want) / np.maximum(1.0, np.abs(want))
+    assert np.median(off) < 0.01 and off.max() < 0.25, (np.median(off), off.max())
+
+
 def test_filter_never_too_low():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**64, 20000, dtype=np.uint64)

@@ -42,3 +42,31 @@ def test_stages(spark, sf_dir, tmp_path):
             assert n <= -(-total // 1024) * 1.02
         docs = out
     assert corpus_pipeline.run(spark, sf_dir).count() == docs.count()
+
+
+def test_odd_rows(spark, small_dir, tmp_path):
+    """Null ids and texts, repeated rows, a very long text, columns that clash with those of the operators."""
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    text = " ".join(f"some{i} word{i}" for i in range(60))
+    odd = [(None, text, 1), (None, text, 2), (10**6, text + " more", 3), (10**6 + 1, None, 4), (10**6 + 2, "", 5), (10**6 + 3, " ".join(f"long{i}" for i in range(150_000)), 6), (10**6 + 4, "call mail a@b.co " + " ".join(f"other{i}" for i in range(90)), 7)]
+    odd = spark.createDataFrame(odd, "doc_id long, text string, n_chars long").selectExpr("doc_id", "text", "'en' lang", "'s' source", "n_chars")
+    whole = docs.unionByName(odd.unionByName(odd.where("n_chars = 7"))).selectExpr("*", "1 length", "2 found", "3 kept", "4 n_words", "5 fp", "6 piece", "7 __found")
+    whole.write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{small_dir}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, str(tmp_path))
+        assert out.columns == whole.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        rows = spark.read.parquet(f"{tmp_path}/{name}")
+    ids = [r.doc_id for r in rows.select("doc_id").collect()]
+    assert ids.count(10**6) + ids.count(None) == 1 and ids.count(10**6 + 3) == 1 and ids.count(10**6 + 4) == 1
+    assert not {10**6 + 1, 10**6 + 2} & set(ids)
+    assert rows.where(f"doc_id = {10**6 + 4}").first().text.startswith("call mail <EMAIL> other0")
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert packed.select("doc_id", "length").distinct().count() > 0 and {r.doc_id for r in packed.collect()} == set(ids)
+    none = tmp_path / "none"
+    for t, df in (("documents", docs.limit(0)), ("labels", spark.read.parquet(f"{small_dir}/labels.parquet")), ("benchmark", spark.read.parquet(f"{small_dir}/benchmark.parquet"))):
+        df.write.parquet(f"{none}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(none)).count() == 0

@@ -81,3 +81,13 @@ def test_run_hashes():
     for which in (0, 1):
         h = S.run_hashes(twice, 20, which)
         assert (h[:281] == h[307:]).all() and len(set(h.tolist())) == len(h) - 281 - 0
+
+
+def test_very_long_text(spark):
+    """One text of 120,000 words that repeats a passage of its own and one of another text."""
+    passage, own = [f"p{i}" for i in range(80)], [f"o{i}" for i in range(70)]
+    long = [f"u{i}" for i in range(60_000)] + passage + own * 3 + [f"v{i}" for i in range(60_000)]
+    rows = [(1, "x y " + " ".join(passage)), (2, " ".join(long)), (3, " ".join(own))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == (82, 0, rows[0][1]) and got[3] == (70, 70, "")
+    assert got[2] == (len(long), 80, " ".join(long[:60_000] + long[60_080:]))

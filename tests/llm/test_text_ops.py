@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import public_tokenizers
 from tokenizers import Tokenizer
 
@@ -65,6 +66,33 @@ def test_decision_list_held_out():
     assert (got == bad[3000:]).mean() > 0.97
 
 
+def test_decision_list_held_out_on_labels():
+    """Learned on two thirds of the given labels, judged on the rest."""
+    d = "/root/testdata/sf0.1"
+    label = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{d}/labels.parquet").to_pylist()}
+    rows = [(quality.stats_of(r["text"]), label[r["doc_id"]] == 0) for r in pq.read_table(f"{d}/documents.parquet", columns=["doc_id", "text"]).to_pylist() if r["doc_id"] in label]
+    x, bad = quality.matrix([dict(zip(quality.NAMES, r[0])) for r in rows]), np.array([r[1] for r in rows])
+    test = np.random.default_rng(0).random(len(rows)) < 1 / 3
+    fired = np.zeros(int(test.sum()), bool)
+    rules = quality.learn(x[~test], bad[~test])
+    for r in rules:
+        fired |= quality._covers(r, x[test])
+    assert 2 <= len(rules) and bad[test][fired].mean() > 0.95 and fired[bad[test]].mean() > 0.9 and fired[~bad[test]].mean() < 0.01
+
+
+def test_decision_list_goes_on_after_a_failure():
+    """What cannot be told apart does not keep the learner from what can."""
+    rng = np.random.default_rng(3)
+    x = rng.random((9000, len(quality.FEATURES)))
+    noise, clear = x[:, 0] > 0.6, x[:, 3] > 0.97
+    bad = noise & (rng.random(9000) < 0.6) | clear
+    rules = quality.learn(x, bad)
+    got = np.zeros(9000, bool)
+    for r in rules:
+        got |= quality._covers(r, x)
+    assert got[clear].mean() > 0.9 and bad[got].mean() > 0.9
+
+
 def encode(texts):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     return t.encode_batch(texts, add_special_tokens=False)
@@ -129,6 +157,24 @@ def test_token_counts(spark, sf_dir):
         assert len(got) == sum(1 for _ in got)
 
 
+def test_token_counts_of_odd_rows(spark):
+    texts = [(None, "a b\nc"), (None, None), (3, "a b\nc"), (3, "a b\nc"), (3, "other"), (4, ""), (5, "x" * 200_000 + "\n" + "y z " * 50_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").selectExpr("*", "1 section", "2 start", "3 end", "4 n_tokens", "5 row")
+    rows = token_counts.count_tokens(docs).collect()
+    of = {t: len(e.ids) for t, e in zip(("a b\nc", "other", texts[-1][1]), encode(["a b\nc", "other", texts[-1][1]]))}
+    total = Counter()
+    for r in rows:
+        total[r.doc_id] += r.n_tokens
+    assert total == {None: of["a b\nc"], 3: 2 * of["a b\nc"] + of["other"], 4: 0, 5: of[texts[-1][1]]}
+    assert Counter((r.doc_id, r.section) for r in rows if r.doc_id == 3) == {(3, 0): 3, (3, 1): 2}
+
+
+def test_packing_of_one_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 7)
+    docs = spark.createDataFrame([(7, f"text {i} " + "w " * (i % 5)) for i in range(300)] + [(None, f"n {i}") for i in range(300)], "doc_id long, text string")
+    check_packing(docs, packing.pack(docs).collect())
+
+
 def test_crossing_rule():
     bounds, first, end = np.array([0, 2, 5, 9]), np.array([0, 1, 4, 6]), np.array([1, 5, 6, 9])
     assert [x.tolist() for x in token_counts.allocate(bounds, first, end, "start")] == [[2, 1, 1], [1, 1, 0]]
