@@ -7,7 +7,8 @@ Every text is read as overlapping passages of two times ``HALF`` words, so each
 an entry lies whole in some passage. A passage is a query, and all entries that reach ``THRESHOLD`` are
 retrieved: the lists of its words are ordered by the entry that each is at, and the first list with which
 their maxima reach the threshold gives the pivot, before which no entry can; the maxima of the blocks
-that the pivot lies in say whether it is worth scoring or whether all lists go past these blocks.
+that the pivot lies in say whether it is worth scoring or whether all lists go past these blocks. Blocks
+in which even all lists together stay under the threshold are found first and never entered.
 Retrieved entries are verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage, and
 half of those of the item's question and of its answer each; a side that the entry has no shingles of
 counts as found. An item of fewer than five words has one shingle, all of its words.
@@ -48,7 +49,7 @@ THRESHOLD = 0.6
 OVERLAP = 0.8
 PART_OVERLAP = 0.5
 #: Entries in a block.
-BLOCK = 16
+BLOCK = 8
 #: Items in a shard, and characters of items that count as one more.
 MOST_ITEMS, ITEM_CHARS = 20_000, 512
 K1, B = 1.2, 0.75
@@ -123,11 +124,17 @@ class Index:
         first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
         self.block = array("q", (entry // BLOCK)[first].tolist())
         self.block_max = array("d", (np.maximum.reduceat(impact, first) if len(first) else impact).tolist())
-        self.block_begin = np.searchsorted(term[first], np.arange(n_words + 1)).tolist()
+        self.block_begin = array("q", np.searchsorted(term[first], np.arange(n_words + 1)).tolist())
         # List maxima; the last is for words that are in no entry.
         self.list_max = np.zeros(n_words + 1, np.float32)
         np.maximum.at(self.list_max, term, impact.astype(np.float32) * np.float32(1.000001))
 
+    def _slices(self, terms: np.ndarray) -> np.ndarray:
+        """Places of the blocks of these words."""
+        begin = np.frombuffer(self.block_begin, np.int64)
+        n = begin[terms + 1] - begin[terms]
+        return np.repeat(begin[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
+
     def search(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """Entries that reach the threshold, with their scores, in order: block-max WAND."""
         terms = np.unique(ids[ids < len(self.vocabulary)])
@@ -136,9 +143,15 @@ class Index:
         bound = least - 1e-9  # sums differ by the order of their terms
         if sum(maxima) < bound:
             return []
+        # Blocks in which the maxima of all lists reach the threshold, in order: the lists only ever move to these.
+        at = self._slices(terms)
+        blocks, of = np.unique(np.frombuffer(self.block, np.int64)[at], return_inverse=True)
+        alive = blocks[np.bincount(of, np.frombuffer(self.block_max)[at]) >= bound].tolist()
+        if not alive:
+            return []
         entry, impact, block, block_max = self.entry, self.impact, self.block, self.block_max
         # A list: the entry that it is at, the places of that posting and of the list's end, of the block and of the last one's end, the maximum.
-        lists = [[entry[self.begin[t]], self.begin[t], self.begin[t + 1], self.block_begin[t], self.block_begin[t + 1], m] for t, m in zip(terms.tolist(), maxima)]
+        lists = [[-1, self.begin[t], self.begin[t + 1], self.block_begin[t], self.block_begin[t + 1], m] for t, m in zip(terms.tolist(), maxima)]
         out = []
 
         def advance(some: list[list], target: int) -> None:
@@ -154,6 +167,8 @@ class Index:
             if ended:
                 lists[:] = [x for x in lists if x[0] >= 0]
 
+        advance(lists, alive[0] * BLOCK)
+        now = 0
         while lists:
             lists.sort()
             reach, pivot = 0.0, -1
@@ -167,8 +182,14 @@ class Index:
             p += 1
             while p < len(lists) and lists[p][0] == pivot:
                 p += 1
-            # The lists up to the pivot: what their blocks allow.
             here, reach = pivot // BLOCK, 0.0
+            now = bisect_left(alive, here, now)
+            if now == len(alive):
+                break
+            if alive[now] > here:
+                advance(lists, alive[now] * BLOCK)
+                continue
+            # The lists up to the pivot: what their blocks allow.
             for x in lists[:p]:
                 k = x[3] = bisect_left(block, here, x[3], x[4])
                 if k < x[4] and block[k] == here:
