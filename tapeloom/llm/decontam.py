@@ -66,6 +66,13 @@ def shingles(ids: list[int], size: int = SHINGLE) -> list[tuple[int, ...]]:
     return list(zip(*[ids[i:] for i in range(size)]))
 
 
+def _new(values: np.ndarray) -> np.ndarray:
+    """Where sorted values differ from the one before."""
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
 def entries_of(words: list) -> list[tuple[int, list]]:
     """Where in an item's words each entry begins, and its words; the last entry is the last ``HALF`` words."""
     last = max(0, len(words) - HALF)
@@ -129,26 +136,31 @@ class Index:
         self.list_max = np.zeros(n_words + 1, np.float32)
         np.maximum.at(self.list_max, term, impact.astype(np.float32) * np.float32(1.000001))
 
-    def _slices(self, terms: np.ndarray) -> np.ndarray:
-        """Places of the blocks of these words."""
-        begin = np.frombuffer(self.block_begin, np.int64)
-        n = begin[terms + 1] - begin[terms]
-        return np.repeat(begin[terms] - np.cumsum(n) + n, n) + np.arange(n.sum())
-
     def search(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """Entries that reach the threshold, with their scores, in order: block-max WAND."""
-        terms = np.unique(ids[ids < len(self.vocabulary)])
-        maxima = self.list_max[terms].tolist()
+        terms = np.sort(ids[ids < len(self.vocabulary)])
+        terms = terms[_new(terms)]
         least = threshold - 1e-9
         bound = least - 1e-9  # sums differ by the order of their terms
-        if sum(maxima) < bound:
+        if self.list_max[terms].sum(dtype=float) < bound:
             return []
         # Blocks in which the maxima of all lists reach the threshold, in order: the lists only ever move to these.
-        at = self._slices(terms)
-        blocks, of = np.unique(np.frombuffer(self.block, np.int64)[at], return_inverse=True)
-        alive = blocks[np.bincount(of, np.frombuffer(self.block_max)[at]) >= bound].tolist()
+        begin = np.frombuffer(self.block_begin, np.int64)
+        first = begin[terms]
+        n = begin[terms + 1] - first
+        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+        place = np.frombuffer(self.block, np.int64)[at]
+        order = np.argsort(place, kind="stable")
+        starts = np.flatnonzero(_new(place[order]))
+        enough = np.add.reduceat(np.frombuffer(self.block_max)[at[order]], starts) >= bound
+        alive = place[order[starts[enough]]].tolist()
         if not alive:
             return []
+        # Lists without a posting in these blocks have nothing to add.
+        inside = np.repeat(enough, np.diff(np.append(starts, len(order))))
+        owner = np.sort(np.repeat(np.arange(len(terms)), n)[order[inside]])
+        terms = terms[owner[_new(owner)]]
+        maxima = self.list_max[terms].tolist()
         entry, impact, block, block_max = self.entry, self.impact, self.block, self.block_max
         # A list: the entry that it is at, the places of that posting and of the list's end, of the block and of the last one's end, the maximum.
         lists = [[-1, self.begin[t], self.begin[t + 1], self.block_begin[t], self.block_begin[t + 1], m] for t, m in zip(terms.tolist(), maxima)]
