@@ -88,6 +88,20 @@ def test_scores_against_true_counts(spark, sf_dir):
     assert np.median(off) < 0.01 and off.max() < 0.25, (np.median(off), off.max())
 
 
+def test_runs_of_bytes():
+    texts = ["", "A b\t\ta", " ", "é\u00a0x\x0b" + "y" * 300, "x" * 128 + " " + "x" * 129, "\n\n", "12345678 123456789 1234567"]
+    want = [lm.tokens_of(t) for t in texts]
+    run = lm.Run([t.encode() for t in texts])
+    flat = [w for t in want for w in t]
+    text = np.repeat(np.arange(len(texts)), run.sizes)
+    assert run.sizes.tolist() == [len(t) for t in want]
+    assert run.words(np.arange(len(flat)), text) == [w.decode() for w in flat]
+    assert run.hashes.tolist() == lm.word_hashes(flat).tolist()
+    assert len(set(run.hashes.tolist())) == len(set(flat))
+    assert len(lm.Run([]).hashes) == 0 and len(lm.gram_keys(lm.Run([]))) == 0
+    assert lm.gram_keys(run).tolist() == sorted({*lm.mix(run.hashes).tolist(), *run.pairs().tolist()})
+
+
 def test_filter_never_too_low():
     rng = np.random.default_rng(0)
     keys = rng.integers(0, 2**64, 20000, dtype=np.uint64)
