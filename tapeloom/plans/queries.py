@@ -398,6 +398,21 @@ def dt1_request_time(spark, sf_dir):
     return rows.select("doc_id", F.col("request_time").between(F.lit(now), F.lit(now + timedelta(days=1))).alias("is_now"))
 
 
+@query(f"with s as (select doc_id, list_transform(string_split({_t2(L_SQL)}, '. '), lambda v: regexp_replace(v, '{STRIP}', '', 'g')) s from documents) select doc_id, (generate_subscripts(s, 1) - 1)::int as pos, unnest(s) as sentence from s")
+def t4_model_sentences(spark, sf_dir):
+    """Sentences by a model, a stand-in that parts at full stops before a space; blank ones are kept."""
+    text.register_splitter("stops", text.model_splitter(lambda: lambda t: t.split(". ")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_breaks(F.col("text")).alias("text"))
+    return ops.sentences(docs, ["doc_id"], splitter="stops")
+
+
+@query("select * from (values (false, false, 'cpu', 'auto'), (false, true, 'cpu', 'auto'), (true, false, 'cuda', 'float16'), (true, true, 'cpu', 'auto')) t(cuda, disabled, device, number_type)")
+def f8_device(spark, sf_dir):
+    """F8: where a local model runs."""
+    rows = [(cuda, off, *Settings(disable_cuda=off).device(cuda)) for cuda in (False, True) for off in (False, True)]
+    return spark.createDataFrame(rows, "cuda boolean, disabled boolean, device string, number_type string")
+
+
 _TIES = (2.675, 0.125, 0.375, 1.005, -0.125, 0.135, 2.5, 1e15 + 0.125, 0.005)
 
 
