@@ -9,7 +9,8 @@ smallest document id of each window decides.
 
 Occurrences that a task can settle from its own documents never travel: of a hash that several
 documents of one task share, a single row does, so a passage that very many documents share is
-dealt as one row for each task at most.
+dealt as one row for each task at most. Nor do the places of a hash within one text, which a text that
+says one thing over and over has very many of: they are one row with a list.
 
 Defined results: null text has no words; documents of fewer than ``WINDOW`` words lose none; a null id
 counts as larger than any other; rows that repeat an id are one document in two parts (neither
@@ -92,6 +93,7 @@ class _Task:
         """Columns sorted by hash, then document; with the group's first and last document."""
         cols = [np.concatenate(c) for c in zip(*self.parts)]
         self.parts, self.n = [], 0
+        # Stable, so that the places of a hash in one text stay together.
         order = np.lexsort((cols[2], cols[1], cols[0]))
         cols = [c[order] for c in cols]
         new = np.ones(len(order), bool)
@@ -105,14 +107,30 @@ class _Task:
 #: Occurrences that a task holds at once.
 HELD = 3_000_000
 #: What changes from row to row comes first, so that the rest compresses as one run.
-FOUND = "h long, g int, pos int, settled boolean, doc long, row long"
+FOUND = "h long, g int, pos int, settled boolean, more array<int>, doc long, row long"
 
 
 def _rows(h, g, doc, row, pos, settled):
+    """Sorted as ``settle`` leaves them. Further places of a hash in one text are in ``more`` of the first, unless settled."""
     import pyarrow as pa
 
-    cols = [pa.array(h.view(np.int64)), pa.array(g.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(settled), pa.array(doc), pa.array(row)]
-    return pa.RecordBatch.from_arrays(cols, names=["h", "g", "pos", "settled", "doc", "row"])
+    same = np.zeros(len(h), bool)
+    same[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1]) & (doc[1:] == doc[:-1]) & (row[1:] == row[:-1]) & ~settled[1:] & ~settled[:-1]
+    kept = ~same
+    n = int(kept.sum())
+    if n < len(h):
+        counts = np.bincount((np.cumsum(kept) - 1)[same], minlength=n)
+        more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(pos[same].astype(np.int32)), mask=pa.array(counts == 0))
+    else:
+        more = pa.nulls(n, pa.list_(pa.int32()))
+    h, g, doc, row, pos, settled = (c[kept] for c in (h, g, doc, row, pos, settled))
+    cols = [pa.array(h.view(np.int64)), pa.array(g.astype(np.int32)), pa.array(pos.astype(np.int32)), pa.array(settled), more, pa.array(doc), pa.array(row)]
+    return pa.RecordBatch.from_arrays(cols, names=["h", "g", "pos", "settled", "more", "doc", "row"])
+
+
+def _places():
+    """``pos`` and those in ``more``, a row each."""
+    return F.explode(F.when(F.col("more").isNull(), F.array("pos")).otherwise(F.concat(F.array("pos"), "more"))).alias("pos")
 
 
 def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -149,11 +167,11 @@ def _anchors(batches):
 def shared_anchors(rows: DataFrame) -> DataFrame:
     """(doc, row, pos) of the anchors that more than one document has."""
     found = rows.mapInArrow(_anchors, FOUND)
-    # A hash has a row for each task at most, or for each place in one document.
+    # A hash has two rows for each task at most, or one for each row of one id.
     same = Window.partitionBy("h")
     asked = found.withColumn("told", F.max(F.col("g")).over(same)).withColumn("lo", F.min("doc").over(same)).withColumn("hi", F.max("doc").over(same))
     # Rows settled in their task bear a hash of their place; what shares it by chance is only a candidate too many.
-    return asked.where("pos >= 0 and (settled or told = 1 or lo <> hi)").select("doc", "row", "pos")
+    return asked.where("pos >= 0 and (settled or told = 1 or lo <> hi)").select("doc", "row", _places())
 
 
 def _windows(batches):
@@ -188,7 +206,7 @@ def repeated_windows(texts: DataFrame, anchors: DataFrame) -> DataFrame:
     held = texts.join(places.hint("shuffle_hash"), ["doc", "row"]).select("doc", "row", "text", "places")
     found = held.mapInArrow(_windows, FOUND)
     least = F.min(F.when(~F.col("settled"), F.col("doc"))).over(Window.partitionBy("h", "g"))
-    gone = found.withColumn("least", least).where("settled or doc > least")
+    gone = found.withColumn("least", least).where("settled or doc > least").select("doc", "row", _places())
     return gone.groupBy("doc", "row").agg(F.collect_set("pos").alias("starts"))
 
 

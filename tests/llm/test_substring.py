@@ -83,6 +83,19 @@ def test_run_hashes():
         assert (h[:281] == h[307:]).all() and len(set(h.tolist())) == len(h) - 281 - 0
 
 
+def test_texts_that_repeat_themselves(spark):
+    """Thousands of places of a window in each of several texts: a row a text, and no place lost."""
+    line = [f"l{i}" for i in range(7)]
+    rows = [(i, " ".join([f"a{i}"] * (i % 3) + line * (60 * i + 20) + [f"b{i}"] * 60)) for i in range(8)]
+    rows += [(8, " ".join(["same"] * 5000)), (9, " ".join(["same"] * 3000)), (9, " ".join(line * 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, S.substring_report(df).collect())) == brute(rows)
+    places = {r.row: r.n for r in S.shared_anchors(S.numbered(df, "doc_id", "text")).groupBy("row").agg({"pos": "count"}).withColumnRenamed("count(pos)", "n").collect()}
+    found = S.numbered(df, "doc_id", "text").coalesce(1).mapInArrow(S._anchors, S.FOUND).where("not settled")
+    assert found.groupBy("h", "row").count().where("count > 1").count() == 0
+    assert len(places) == len(rows) and sum(places.values()) > 2000
+
+
 def test_very_long_text(spark):
     """One text of 120,000 words that repeats a passage of its own and one of another text."""
     passage, own = [f"p{i}" for i in range(80)], [f"o{i}" for i in range(70)]
