@@ -16,8 +16,9 @@ SPACE = r"\s\x1c-\x1f"
 WORD = r"\p{L}\p{N}_"
 #: Ends of sentences: a full stop unless before a common domain name or a digit; any of . ! ? before white space.
 SENTENCE_END = rf"(?U)\.(?![{SPACE}]*(?:com|net|org|io)[{SPACE}])(?![0-9])|[.!?][{SPACE}]+"
-#: A character that no text has: it stands for an end of a sentence.
+#: Stands for an end of a sentence. Texts that have it are split with ESCAPES in its place, whose characters no pattern here knows.
 MARK = "\uffff"
+ESCAPES = {"\ufffe": "\ufffe(", MARK: "\ufffe)"}
 
 
 #: White space in full, to trim without regular expressions: Python's, and what browsers trim.
@@ -61,8 +62,24 @@ def quotes(c: Column) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit('"')))
 
 
+def escape(c: Column) -> Column:
+    for char, instead in ESCAPES.items():
+        c = F.replace(c, F.lit(char), F.lit(instead))
+    return c
+
+
+def unescape(c: Column) -> Column:
+    for char, instead in reversed(ESCAPES.items()):
+        c = F.replace(c, F.lit(instead), F.lit(char))
+    return c
+
+
 def split_sentences(c: Column) -> Column:
     """The sentences of a text, stripped, none blank. Ends inside double quotes join what they part."""
+    return F.when(F.contains(c, F.lit(MARK)), F.transform(_split_unmarked(escape(c)), unescape)).otherwise(_split_unmarked(c))
+
+
+def _split_unmarked(c: Column) -> Column:
     parts = F.split(F.regexp_replace(repair_breaks(c), SENTENCE_END, MARK), '"', -1)
     outside = F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.replace(p, F.lit(MARK))).otherwise(p))
     pieces = F.split(F.array_join(outside, '"'), MARK, -1)

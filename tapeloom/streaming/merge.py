@@ -1,7 +1,8 @@
 """ST1, ST2: M1 over a stream of segments.
 
-A transcript's segments come in order of ``seq``. State is what M1 carries: text, offset, first start,
-sum and number of log probabilities. Confidence needs a transcript's whole range, so the stream gives
+A transcript's segments come in order of ``seq``, though in any order within a micro-batch; one that comes
+after a later one was folded is an error, since what was given out cannot be taken back. State is what M1
+carries: text, offset, first start, sum and number of log probabilities, and the last ``seq``. Confidence needs a transcript's whole range, so the stream gives
 running means; ``with_confidence`` normalises when a transcript is complete.
 """
 
@@ -15,34 +16,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tapeloom.functions import numbers
+from tapeloom.functions import numbers, text
 from tapeloom.operators.segments import logprob_range
 from tapeloom.shipping import ship
 
 ship(__name__)
 
 OUT = "transcript_id long, seq long, pos int, sentence string, start_char_count long, end_char_count long, time_start double, time_end double, running_logprob double"
-STATE = "carry string, upto long, time_start double, total double, n long"
+STATE = "carry string, upto long, time_start double, total double, n long, last long"
 
 #: Fixed values, as in functions.text.
 _HYPHEN = re.compile(r"-\n(?=[a-z])")
 _LINE = re.compile(r"(?<=[^\W\d])\n(?![\nA-Z])")
 _END = re.compile(r"\.(?!\s*(?:com|net|org|io)\s)(?![0-9])|[.!?]\s+")
-_MARK = "\uffff"
+_MARK, _ESCAPES = text.MARK, text.ESCAPES
 
 
-def split_sentences(text: str) -> list[str]:
+def split_sentences(t: str) -> list[str]:
     """T3 in Python, for stateful code."""
-    parts = _END.sub(_MARK, _LINE.sub(" ", _HYPHEN.sub("", text))).split('"')
+    if escaped := _MARK in t:
+        for char, instead in _ESCAPES.items():
+            t = t.replace(char, instead)
+    parts = _END.sub(_MARK, _LINE.sub(" ", _HYPHEN.sub("", t))).split('"')
     parts[1::2] = [p.replace(_MARK, "") for p in parts[1::2]]
-    return [s for p in '"'.join(parts).split(_MARK) if (s := p.strip())]
+    found = [s for p in '"'.join(parts).split(_MARK) if (s := p.strip())]
+    if escaped:
+        for char, instead in reversed(_ESCAPES.items()):
+            found = [s.replace(instead, char) for s in found]
+    return found
 
 
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    carry, upto, first, total, n = state.get if state.exists else ("", 0, None, 0.0, 0)
+    carry, upto, first, total, n, last = state.get if state.exists else ("", 0, None, 0.0, 0, None)
     out = []
     # A micro-batch's rows of a transcript come in any order.
     for s in pd.concat(list(frames)).sort_values("seq").itertuples():
+        if last is not None and s.seq <= last:
+            raise ValueError(f"transcript {key[0]}: segment {s.seq} came after segment {last}")
+        last = s.seq
         first = s.start if first is None else first
         total, n = total + s.avg_logprob, n + 1
         buffer = carry + s.text + " "
@@ -54,7 +65,7 @@ def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
             carry = found[-1] if len(found) % 2 else ""
         else:
             carry = buffer
-    state.update((carry, upto, first, total, n))
+    state.update((carry, upto, first, total, n, last))
     yield pd.DataFrame(out, columns=[f.split()[0] for f in OUT.split(", ")])
 
 
