@@ -1,8 +1,8 @@
-"""The queries of the ten operators, and SQL for those that SQL can express."""
+"""The queries of the operators, and SQL for those that SQL can express."""
 
 from __future__ import annotations
 
-from tapeloom.llm import decontam, lm, packing, pii, quality, secrets, simhash, substring, token_counts, warc
+from tapeloom.llm import decontam, licenses, lm, packing, pii, quality, runs, secrets, simhash, substring, token_counts, warc, whitening
 
 
 def _table(spark, sf_dir, name):
@@ -49,6 +49,18 @@ def op10_substring_dedup(spark, sf_dir):
     return substring.substring_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark, sf_dir):
+    return licenses.licenses_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    return runs.runs_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -62,6 +74,9 @@ QUERIES = {
         op8_decontamination,
         op9_simhash,
         op10_substring_dedup,
+        op11_license_scan,
+        op12_embedding_whitening,
+        op13_periodic_runs,
     )
 }
 
@@ -160,6 +175,28 @@ select doc_id, {", ".join(f"coalesce(n_{k}, 0) as n_{k}" for k in pii.BASE)}, sh
 from documents left join a using (doc_id)
 """
 
+_RULES11 = ", ".join(
+    f"({i}, '{r.label}', '{r.regex}', {[*r.first]}, {[*r.second]}, {r.priority}, {r.score}::double, {r.base})" for i, r in enumerate(licenses.RULES)
+)
+_WORDS11 = "(length(x) - length(replace(x, ' ', ''))) // 2"
+#: ``row`` tells rows that share an id apart.
+_OP11_SQL = f"""
+with w as (select row_number() over () row, doc_id, trim(regexp_replace(lower(coalesce(text, '')), '{licenses.GAP}', ' ', 'g'), ' ') w from documents),
+t as materialized (select row, doc_id, case when w = '' then 0 else len(string_split(w, ' ')) end n_words, ' ' || replace(w, ' ', '  ') || ' ' t,
+  list_intersect(string_split(w, ' '), {licenses.keywords()}) have from w),
+rules(rank, label, regex, a, b, priority, score, base) as (values {_RULES11}),
+may as materialized (select row, t, rules.* from t join rules on list_has_any(have, a) and list_has_any(have, b) where len(have) > 1),
+m as (select *, regexp_extract_all(t, regex) hits, string_split_regex(t, regex) gaps from may where regexp_matches(t, regex)),
+s as (select row, rank, label, priority, score, base, (list_sum(list_transform(gaps[1:i], lambda x: {_WORDS11})) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: {_WORDS11})), 0))::bigint b,
+  list_transform([hits[i]], lambda x: {_WORDS11})[1] n from m, unnest(range(1, len(hits) + 1)) u(i)),
+d as (select *, b + n e from s),
+up as (select d.*, exists (select 1 from d o where o.row = d.row and o.b <= d.b and o.e >= d.e and o.priority <= d.priority and (o.b < d.b or o.e > d.e or o.priority < d.priority or o.rank < d.rank)) gone from d),
+a as (select row, count(*) filter (base) n_base, min(b) filter (base) first_word, max(b) filter (base) last_word, string_agg(distinct label, ',' order by label) filter (base) base_labels,
+  string_agg(distinct label, ',' order by label) filter (base or not gone) labels, max(score) filter (not gone) score from up group by 1)
+select doc_id, n_words::bigint as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0)::double as score
+from t left join a using (row)
+"""
+
 #: By query; those absent are tested against brute force in tests/llm: learned rules (2), a tokenizer (3, 7), a Bloom filter
-#: (6), BM25 retrieval (8), XXH64 (9).
-ORACLE_SQL: dict[str, str] = {"op1_secret_scan": _OP1_SQL, "op4_pii": _OP4_SQL, "op5_warc": _OP5_SQL, "op10_substring_dedup": _OP10_SQL}
+#: (6), BM25 retrieval (8), XXH64 (9), eigenvectors (12), runs (13), which SQL could only find by comparing all words of a text.
+ORACLE_SQL: dict[str, str] = {"op1_secret_scan": _OP1_SQL, "op4_pii": _OP4_SQL, "op5_warc": _OP5_SQL, "op10_substring_dedup": _OP10_SQL, "op11_license_scan": _OP11_SQL}
