@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,10 +14,12 @@ from tapeloom.operators import clean, merge, naming
 from tapeloom.operators import segments as ops
 from tapeloom.plans import transcripts
 from tapeloom.plans.views import SEGMENTS_SQL, segments, table, titles, with_breaks, with_continuations, with_quotes
-from tapeloom.schema import SEGMENT, Settings
+from tapeloom.schema import Settings
 from tapeloom.shipping import ship
 from tapeloom.sources import adapters, files, sinks
+from tapeloom.sources.pool import Calls, Transient
 from tapeloom.streaming import merge as streaming
+from tapeloom.streaming import source as log
 
 ship(__name__)
 
@@ -183,17 +185,29 @@ def m1_merge_quoted(spark, sf_dir):
     return merge.merge_segments(rows.withColumn("text", with_quotes(F.col("text"))))
 
 
-@query(_m1_sql("text"))
-def st2_merge_stream(spark, sf_dir):
-    """The segments as a stream of files; what it gives, normalised."""
+def _streamed(spark, sf_dir, then, n: int = 3):
+    """All segments through a growing table in ``n`` appends, dealt without regard to order; what ``then`` makes of the stream, after each append by a run that goes on from the last one's checkpoint."""
     path = _new_dir(spark)
     rows = segments(spark, sf_dir)
-    rows.select([f.name for f in SEGMENT]).write.parquet(f"{path}/in")
-    stream = streaming.merge_stream(spark.readStream.schema(SEGMENT).parquet(f"{path}/in"))
-    run = stream.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
-    run.awaitTermination()
-    out = streaming.with_confidence(spark.read.schema(streaming.OUT).parquet(f"{path}/out"), rows)
-    return out.select(*merge.merge_segments(rows).columns)
+    for k in range(n):
+        log.append(rows.where(F.pmod(F.hash("transcript_id", "seq"), F.lit(n)) == n - 1 - k), f"{path}/log")
+        out = then(log.read_stream(spark, f"{path}/log"))
+        run = out.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start()
+        run.awaitTermination()
+    return spark.read.schema(out.schema).parquet(f"{path}/out")
+
+
+@query(f"with {SEGMENTS_SQL} select * from segments")
+def st1_segment_stream(spark, sf_dir):
+    """ST1: segments as a stream that is stopped and started again; none is lost, none repeated."""
+    return _streamed(spark, sf_dir, lambda stream: stream)
+
+
+@query(_m1_sql("text"))
+def st2_merge_stream(spark, sf_dir):
+    """ST2: the merge of a stream whose segments come in any order; what it gives, normalised."""
+    out = streaming.with_confidence(_streamed(spark, sf_dir, streaming.merge_stream), segments(spark, sf_dir))
+    return out.select(*merge.merge_segments(segments(spark, sf_dir)).columns)
 
 
 # --- reader ---------------------------------------------------------------------------------------
@@ -329,15 +343,45 @@ def k2_text_table(spark, sf_dir):
     return spark.read.schema("transcript_id long, text string").json(path)
 
 
-@query(f"with {_CLEAN_SQL} select count(*) as n, sum(length(text))::bigint as n_chars, md5(string_agg(md5(text), '' order by md5(text))) as digest from (select text || ' ' as text from cleaned)")
+def _exact(spark, sf_dir):
+    """All transcripts' outputs in files of their names, odd characters and all; the folder."""
+    path = _new_dir(spark)
+    rows = segments(spark, sf_dir).withColumn("filename", F.concat(F.lit("t é+%= "), F.col("transcript_id").cast("string")))
+    rows = rows.withColumn("text", F.concat(F.lit(" "), "text", F.lit(' "x",\n')))
+    texts = ops.combined_text(rows).join(rows.select("transcript_id", "filename").distinct(), "transcript_id")
+    sinks.write_exact(rows, texts, path, UNWANTED)
+    return path
+
+
+_EXACT_SQL = f"with {SEGMENTS_SQL}, named as (select 't é+%= ' || transcript_id as name, seq, start, \"end\", ' ' || text || ' \"x\",' || chr(10) as text, avg_logprob from segments)"
+
+
+@query(f"{_EXACT_SQL} select name, string_agg(text || ' ', '' order by seq) as text from named group by 1")
+def k2_exact_text(spark, sf_dir):
+    """K2: texts in files <name>.txt, letter for letter."""
+    return files.read_texts(spark, f"{_exact(spark, sf_dir)}/combined_texts")
+
+
+@query(f"{_EXACT_SQL} select name, start, \"end\", text, avg_logprob from named")
+def k3_exact_csv(spark, sf_dir):
+    """K3: tables in files <name>.csv."""
+    return files.read_segments_csv(spark, f"{_exact(spark, sf_dir)}/metadata_tables")
+
+
+@query(f"{_EXACT_SQL} select name, start, \"end\", text, avg_logprob from named where not contains(text, '{UNWANTED}')")
+def k4_exact_json(spark, sf_dir):
+    """K4, K5: arrays in files <name>.json, without unwanted segments."""
+    return files.read_segments_json(spark, f"{_exact(spark, sf_dir)}/metadata_tables")
+
+
+@query(f"with {_CLEAN_SQL} select length(text) as n_chars, md5(text) as digest from (select text || ' ' as text from cleaned)")
 def s9_text_upload(spark, sf_dir):
     """Files of text, read whole and cleaned on loading. The line break that ends a file leaves an empty line."""
     path = _new_dir(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", with_continuations(F.col("text")).alias("text"))
     sinks.write_text(docs, path, "text", "doc_id")
     loaded = files.read_texts(spark, path).select(clean.clean_lines(F.col("text")).alias("text"))
-    md5 = F.md5(F.col("text").cast("binary"))
-    return loaded.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("n_chars"), F.md5(F.array_join(F.sort_array(F.collect_list(md5)), "").cast("binary")).alias("digest"))
+    return loaded.select(F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
 @query("select distinct lang || ' é+%/' || doc_id % 20 as name from documents")
@@ -365,6 +409,17 @@ def m1_merged_text(spark, sf_dir):
     return merge.merged_text(merge.merge_segments(segments(spark, sf_dir)))
 
 
+_F6_SQL = _m1_sql("text").replace("from (select conv_id, turn, text as text from conversations)", "from (select conv_id, row_number() over (partition by conv_id order by turn) - 1 as turn, text from conversations where not contains(text, 'a'))")
+
+
+@query(f"select conv_id as transcript_id, merged_text from (select distinct conv_id from conversations) left join (select transcript_id, string_agg(sentence, ' ' order by seq, pos) || ' ' as merged_text from ({_F6_SQL}) group by 1) on transcript_id = conv_id")
+def f6_empty_transcripts(spark, sf_dir):
+    """of transcripts that the filter leaves no segment there is no text."""
+    rows = segments(spark, sf_dir)
+    kept = merge.merged_text(merge.merge_segments(ops.without_text(rows, "a")))
+    return rows.select("transcript_id").distinct().join(kept, "transcript_id", "left")
+
+
 @query(f"with {TITLES_SQL} select seq, title, url, false as is_single from titles union all select 0, 'one', 'u', true")
 def p7_single_or_playlist(spark, sf_dir):
     """S1, S2, P7."""
@@ -390,12 +445,17 @@ def s4_durations(spark, sf_dir):
     return adapters.with_durations(docs, decode).select("doc_id", "duration_s", "duration_error")
 
 
-@query("select doc_id, true as is_now from documents")
+@query("select doc_id, true as is_in_run, 1::bigint as n_times from documents")
 def dt1_request_time(spark, sf_dir):
-    """DT1: the time of the request lies between the call and the end of the same day after it."""
-    now = datetime.now(timezone.utc)
+    """DT1: the times are written, and lie between the clock before and after that, in microseconds since 1970; all items of a run have one."""
+    path = _new_dir(spark)
+    before = time.time_ns() // 1000
     rows = adapters.requested(table(spark, sf_dir, "documents").select("doc_id"))
-    return rows.select("doc_id", F.col("request_time").between(F.lit(now), F.lit(now + timedelta(days=1))).alias("is_now"))
+    rows.write.parquet(path)
+    after = time.time_ns() // 1000 + 1
+    written = spark.read.schema(rows.schema).parquet(path)
+    n = written.agg(F.count_distinct("request_time").alias("n_times"))
+    return written.select("doc_id", F.unix_micros("request_time").between(before, after).alias("is_in_run")).join(F.broadcast(n))
 
 
 @query(f"with s as (select doc_id, list_transform(string_split({_t2(L_SQL)}, '. '), lambda v: regexp_replace(v, '{STRIP}', '', 'g')) s from documents) select doc_id, (generate_subscripts(s, 1) - 1)::int as pos, unnest(s) as sentence from s")
@@ -406,20 +466,18 @@ def t4_model_sentences(spark, sf_dir):
     return ops.sentences(docs, ["doc_id"], splitter="stops")
 
 
-@query("select * from (values (false, false, 'cpu', 'auto'), (false, true, 'cpu', 'auto'), (true, false, 'cuda', 'float16'), (true, true, 'cpu', 'auto')) t(cuda, disabled, device, number_type)")
+@query("select doc_id, case when doc_id % 2 = 0 and doc_id % 3 <> 0 then 'cuda' else 'cpu' end as device, case when doc_id % 2 = 0 and doc_id % 3 <> 0 then 'float16' else 'auto' end as number_type from documents")
 def f8_device(spark, sf_dir):
-    """F8: where a local model runs."""
-    rows = [(cuda, off, *Settings(disable_cuda=off).device(cuda)) for cuda in (False, True) for off in (False, True)]
-    return spark.createDataFrame(rows, "cuda boolean, disabled boolean, device string, number_type string")
-
+    """F8: where a local model runs, for items on machines with a GPU or none, some told not to use it."""
+    cuda, disabled = F.col("doc_id") % 2 == 0, F.col("doc_id") % 3 == 0
+    return table(spark, sf_dir, "documents").select("doc_id", adapters.device_of(cuda, disabled).alias("d")).select("doc_id", "d.*")
 
-_TIES = (2.675, 0.125, 0.375, 1.005, -0.125, 0.135, 2.5, 1e15 + 0.125, 0.005)
 
-
-@query("select * from (values " + ", ".join(f"({i}, {v!r}::double, {round(v, 2)!r}::double)" for i, v in enumerate(_TIES)) + ") t(i, x, rounded)")
+@query("select doc_id, x, case when x < 0 then -1 else 1 end * (k * 25 // 2 + case when k % 2 = 1 then (k * 25 // 2) % 2 else 0 end) / 100.0::double as rounded from (select doc_id, n_chars k, case when doc_id % 2 = 0 then n_chars else -n_chars end / 8.0::double x from documents)")
 def n1_round2_ties(spark, sf_dir):
-    """N1 where the decimal or the binary value is a tie."""
-    return spark.createDataFrame(list(enumerate(_TIES)), "i int, x double").select("i", "x", numbers.round2(F.col("x")).alias("rounded"))
+    """N1 on eighths: every odd one is a tie."""
+    sign = F.when(F.col("doc_id") % 2 == 0, 1.0).otherwise(-1.0)
+    return table(spark, sf_dir, "documents").select("doc_id", (sign * F.col("n_chars") / F.lit(8.0)).alias("x")).withColumn("rounded", numbers.round2(F.col("x")))
 
 
 @query(f"with {TITLES_SQL} select seq, title, url, case when seq % 5 <> 0 then url || '/audio/' || case when seq % 2 = 0 then 2 else 1 end end as stream_url, case when seq % 5 = 0 then 'no audio stream: ' || title end as error from titles")
@@ -475,6 +533,38 @@ def s6_remote_transcripts(spark, sf_dir):
     return run.texts.join(counts, "transcript_id").join(found, "transcript_id", "left").select("transcript_id", "combined_text", "n_segments", F.coalesce("n", F.lit(0)).cast("long").alias("n_sentences"), "start")
 
 
+@query(
+    "select doc_id as transcript_id, case k when 1 then 'JSONDecodeError' when 2 then 'ValueError' when 3 then 'Transient' end as error, case when k = 0 or k > 3 then len(list_filter(string_split(text, chr(10)), lambda x: x <> '')) end as n_segments "
+    "from (select *, length(text) % 6 k from documents) where k between 1 and 3 or text <> '' and regexp_matches(text, '[^\\n]')"
+)
+def s6_remote_failures(spark, sf_dir):
+    """Several calls at once; answers cut short, answers that are no objects and services that stay busy are errors of their items, a service that is busy once is not."""
+
+    def make():
+        answer, met = adapters.line_client(), set()
+
+        def run(content):
+            k = len(content.decode()) % 6
+            if k == 3 or k == 4 and content not in met:
+                met.add(content)
+                raise Transient("busy")
+            body = answer(content)
+            return {1: body[:-1], 2: f"[{body}]"}.get(k, body)
+
+        return run
+
+    run = transcripts.transcribe(_audio(spark, sf_dir), make, Settings(use_remote=True, calls=Calls(width=4, retries=2, pause=0.001)))
+    done = run.again(common_table(run.rows, _new_dir(spark)))
+    failed = done.errors.select("transcript_id", F.split("error", ":")[0].alias("error"), F.lit(None).cast("long").alias("n_segments"))
+    return failed.unionByName(done.segments.groupBy("transcript_id").agg(F.lit(None).cast("string").alias("error"), F.count("*").alias("n_segments")))
+
+
+def common_table(rows: DataFrame, path: str) -> DataFrame:
+    """Rows computed once: a service is not asked again for each use of its answers."""
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments without unwanted ones, their sentences, in paragraphs."""
     kept = ops.without_text(segments(spark, sf_dir), UNWANTED)

@@ -27,12 +27,18 @@ class Run:
     names: DataFrame
     again: Callable[[DataFrame], Run]
 
-    def write(self, path: str, settings: Settings = Settings(), folders: bool = True) -> Run:
-        """All outputs below ``path``, by file name. The transcriber runs once: its rows are written first and the run that is returned reads them."""
+    def write(self, path: str, settings: Settings = Settings(), folders: bool = True, exact: bool = False) -> Run:
+        """All outputs below ``path``, by file name, with ``exact`` in files of that very name. Two items of one name are an error before
+        anything is transcribed. The transcriber runs once: its rows are written first and the run that is returned reads them."""
+        if twice := self.names.groupBy("filename").count().where("count > 1").orderBy("filename").limit(5).collect():
+            raise ValueError(f"names that several items have: {[r.filename for r in twice]}; transcripts.named gives each its own")
         self.rows.write.parquet(f"{path}/transcribed")
         done = self.again(self.rows.sparkSession.read.schema(self.rows.schema).parquet(f"{path}/transcribed"))
         named = [x.join(self.names, "transcript_id") for x in (done.segments, done.texts)]
-        sinks.write_all(*named, path, settings.unwanted_text, "filename", folders)
+        if exact:
+            sinks.write_exact(*named, path, settings.unwanted_text)
+        else:
+            sinks.write_all(*named, path, settings.unwanted_text, "filename", folders)
         return done
 
 

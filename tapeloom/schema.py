@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+from tapeloom.sources.pool import Calls
+
 #: A segment as files hold it.
 SEGMENT_FIELDS = T.StructType(
     [
@@ -52,6 +54,8 @@ class Settings:
     disable_cuda: bool = False
     #: Tasks that transcribe at once at most; None: as many as the input has partitions.
     transcribe_partitions: int | None = None
+    #: How a task calls a remote model.
+    calls: Calls = Calls()
 
     def device(self, cuda: bool) -> tuple[str, str]:
         """Device and number type of a local model."""

@@ -11,12 +11,13 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers
 from tapeloom.schema import VIDEO, Settings
 from tapeloom.shipping import ship
+from tapeloom.sources import pool
 
 ship(__name__)
 
@@ -49,6 +50,12 @@ def first_audio_streams(videos: DataFrame, streams: DataFrame) -> DataFrame:
     return rows.withColumn("error", F.when(F.col("stream_url").isNull(), F.concat(F.lit("no audio stream: "), F.coalesce("title", F.lit("")))))
 
 
+def device_of(cuda: Column, disabled: Column) -> Column:
+    """F8: device and number type of a local model on a machine that has a GPU or not."""
+    on = cuda & ~disabled
+    return F.struct(F.when(on, "cuda").otherwise("cpu").alias("device"), F.when(on, "float16").otherwise("auto").alias("number_type"))
+
+
 def downloaded(files: DataFrame) -> DataFrame:
     """items with both a path and a name."""
     return files.where("path <> '' and filename <> ''")
@@ -118,21 +125,45 @@ def transcribe(files: DataFrame, make: Callable[[], Transcriber], settings: Sett
 
 
 RESPONSES = "transcript_id long, body string, error string"
+#: Rows of an answer's frame.
+ROWS = 64
+
+
+def check_body(body: str) -> None:
+    """An error where a response can't be read as one: not JSON, not an object, segments that are not a list of objects."""
+    answer = json.loads(body)
+    if not isinstance(answer, dict):
+        raise ValueError("the response is not an object")
+    segments = answer.get("segments", [])
+    if not isinstance(segments, list) or not all(isinstance(s, dict) for s in segments):
+        raise ValueError("segments are not a list of objects")
 
 
 def responses(files: DataFrame, make: Callable[[], Callable[[bytes], str]], settings: Settings = Settings()) -> DataFrame:
-    """A remote model's JSON answer to each (transcript_id, content), as it came. ``make`` makes a client, once for each partition."""
+    """A remote model's JSON answer to each (transcript_id, content), as it came.
+
+    ``make`` makes a client, once for each partition: a function or a coroutine function. A task has
+    ``settings.calls.width`` calls under way at most, tries again what may pass, and keeps the order of its rows
+    (see ``sources.pool``); ``transcribe_partitions`` times the width is what the service sees. A call that fails
+    for good, and an answer that can't be read, is a row with an error.
+    """
+    how = settings.calls
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make()
-        for batch in batches:
-            out = []
-            for i, content in zip(batch["transcript_id"], batch["content"]):
+        items = ((i, bytes(content)) for batch in batches for i, content in zip(batch["transcript_id"], batch["content"]))
+        out = []
+        for i, body, error in pool.ordered(client, items, how):
+            if error is None:
                 try:
-                    out.append((i, client(bytes(content)), None))
+                    check_body(body)
                 except Exception as e:  # an item's failure is its own
-                    out.append((i, None, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
+                    body, error = None, pool.described(e)
+            out.append((i, body, error))
+            if len(out) == ROWS:
+                yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
+                out = []
+        yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
 
     rows = files.select(F.col("transcript_id").cast("long").alias("transcript_id"), "content")
     return limited(rows, settings.transcribe_partitions).mapInPandas(run, RESPONSES)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -14,23 +14,30 @@ STEM = r"([^/]+?)(?:\.[^./]*)?$"
 CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
+def _stem() -> Column:
+    """The name of the file that a row comes from, letter for letter, without its ending."""
+    # Spark gives it as in an address: escaped, but for a plus sign.
+    return F.regexp_extract(F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))), STEM, 1)
+
+
 def read_segments_json(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
     """Rows of JSON arrays of segments, with their file's name, or the ``key`` of their folder."""
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    return rows.select(F.regexp_extract(F.input_file_name(), STEM, 1).alias("name"), "*") if key is None else rows
+    rows = spark.read.schema(schema).options(multiLine=True, pathGlobFilter="*.json" if key is None else "*").json(path)
+    return rows.select(_stem().alias("name"), "*") if key is None else rows
 
 
 def read_segments_csv(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
-    """Rows of CSV tables of segments, with the ``key`` of their folder."""
+    """Rows of CSV tables of segments, with their file's name, or the ``key`` of their folder."""
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
-    return spark.read.schema(schema).options(**CSV).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    rows = spark.read.schema(schema).options(**CSV, pathGlobFilter="*.csv" if key is None else "*").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return rows.select(_stem().alias("name"), "*") if key is None else rows
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, one row each."""
     rows = spark.read.text(path, wholetext=True)
-    return rows.select(F.regexp_extract(F.input_file_name(), STEM, 1).alias("name"), F.col("value").alias("text"))
+    return rows.select(_stem().alias("name"), F.col("value").alias("text"))
 
 
 def read_written_texts(spark: SparkSession, path: str, key: str = "transcript_id", kind: str = "string") -> DataFrame:
@@ -49,7 +56,9 @@ def taken_names(spark: SparkSession, path: str, key: str | None = None) -> DataF
     """Names of the files below ``path``, or the values of ``key`` of the folders that sinks write, by Spark's own listing; none if there is no such place."""
     try:
         rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], "name string")
     if key is None:
         return rows.select(F.regexp_extract("path", STEM, 1).alias("name"))

@@ -2,7 +2,8 @@
 
 By default a transcript has its own folder, ``<key>=<value>``, with one file: what a file of that name is
 elsewhere. With ``folders=False`` the same is one table, the key a column of it, which is what to use for
-very many transcripts. Texts may have line breaks: in folders a file is a text and one line break after
+very many transcripts. ``write_exact`` gives each transcript files of its very name, ``<name>.txt``, ``.csv`` and
+``.json``, for those who read them without Spark. Texts may have line breaks: in folders a file is a text and one line break after
 it, which the reader takes off; in a table they are JSON lines.
 """
 
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.operators.segments import without_text
+from tapeloom.sources.exact import write_files
 
 FIELDS = ("start", "end", "text", "avg_logprob")
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
@@ -56,3 +58,20 @@ def write_all(segments: DataFrame, texts: DataFrame, path: str, unwanted: str |
     write_text(texts, f"{path}/combined_texts", key=key, folders=folders)
     write_csv(segments, f"{path}/metadata_csv", key, folders)
     write_json(segments, f"{path}/metadata_json", unwanted, key, folders)
+
+
+def csv_tables(segments: DataFrame, key: str = "transcript_id") -> DataFrame:
+    """K3: each transcript's segments as one CSV table, header and all, in order."""
+    line = F.to_csv(F.struct(*FIELDS), {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV.items() if k != "header"})
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))), lambda x: x["line"])
+    return segments.groupBy(key).agg(F.concat(F.lit(",".join(FIELDS) + "\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("csv"))
+
+
+def write_exact(segments: DataFrame, texts: DataFrame, path: str, unwanted: str | None, key: str = "filename", overwrite: bool = False) -> None:
+    """A run's three outputs in files named by ``key``: texts in ``combined_texts``, tables and arrays in ``metadata_tables``. Text and CSV keep unwanted segments, JSON drops them."""
+    write_files(texts, f"{path}/combined_texts", ".txt", key, "combined_text", overwrite)
+    write_files(csv_tables(segments, key), f"{path}/metadata_tables", ".csv", key, "csv", overwrite)
+    # Also a transcript that has no wanted segment has an array, an empty one.
+    arrays = json_arrays(segments if unwanted is None else without_text(segments, unwanted), key)
+    named = segments.select(key).distinct().join(arrays, key, "left")
+    write_files(named, f"{path}/metadata_tables", ".json", key, F.coalesce("json", F.lit("[]")), overwrite)

@@ -6,7 +6,6 @@ import uuid
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers, text
@@ -79,24 +78,6 @@ def test_splitting_of_texts_with_the_mark(spark):
     assert [streaming.split_sentences(t) for t in texts] == want
 
 
-def run_stream(spark, tmp_path, batches):
-    out = []
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, SEGMENT).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
-        stream = streaming.merge_stream(spark.readStream.schema(SEGMENT).parquet(f"{tmp_path}/in/*"))
-        done = stream.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start(f"{tmp_path}/out")
-        done.awaitTermination()
-    return [tuple(r)[1:8] for r in spark.read.parquet(f"{tmp_path}/out").orderBy("transcript_id", "seq", "pos").collect()]
-
-
-def test_stream_over_batches(spark, tmp_path):
-    """State goes on from batch to batch, whatever order rows have within one; a late segment is an error."""
-    want = [tuple(r)[1:8] for r in merge.merge_segments(spark.createDataFrame(THREE, SEGMENT)).orderBy("seq", "pos").collect()]
-    assert run_stream(spark, tmp_path / "a", [THREE[:1], THREE[:0:-1]]) == want
-    with pytest.raises(StreamingQueryException, match="segment 1 came after segment 2"):
-        run_stream(spark, tmp_path / "b", [[THREE[0], THREE[2]], THREE[1:2]])
-
-
 THREE = [(1, 0, 0.0, 1.0, "Hello world. How", -0.2), (1, 1, 1.0, 2.0, "are you.", -0.4), (1, 2, 2.0, 3.0, " Fine.", -0.2)]
 
 
