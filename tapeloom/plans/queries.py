@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions import numbers, text
-from tapeloom.operators import clean, merge, naming
+from tapeloom.operators import clean, merge, naming, splitter
 from tapeloom.operators import segments as ops
 from tapeloom.plans import transcripts
-from tapeloom.plans.views import SEGMENTS_SQL, segments, table, titles, with_breaks, with_continuations, with_quotes
+from tapeloom.plans.views import ABBREVIATED, SEGMENTS_SQL, segments, table, titles, with_abbreviations, with_breaks, with_continuations, with_quotes
 from tapeloom.schema import Settings
 from tapeloom.shipping import ship
 from tapeloom.sources import adapters, files, sinks
@@ -466,6 +466,43 @@ def t4_model_sentences(spark, sf_dir):
     return ops.sentences(docs, ["doc_id"], splitter="stops")
 
 
+_A_SQL = "text"
+for _word, _instead in ABBREVIATED.items():
+    _A_SQL = f"replace({_A_SQL}, '{_word}', '{_instead}')"
+_BARE = rf"regexp_replace(token, '^[\(\"\x27\[\{{«“‘]+|[\)\"\x27\]\}}»”’]*{S}*$', '', 'g')"
+_PLAIN = f"regexp_replace({_BARE}, '[,;:]+$', '')"
+_LEARNED_SQL = rf"""
+whole as (select doc_id, {_t2(_A_SQL)} t from documents),
+tokens as (select doc_id, i, l[i] token from (select doc_id, regexp_extract_all(t, '[^\s\x0b\x1c-\x1f\x85\p{{Z}}]+{S}*') l from whole), unnest(range(1, len(l) + 1)) u(i)),
+typed as (select *, {_BARE} bare, lower(regexp_replace({_PLAIN}, '\.$', '')) word, ends_with({_PLAIN}, '.') stop from tokens),
+counts as (select word, count(*) n, count(*) filter (stop) n_stop from typed where regexp_matches(word, '^\p{{L}}[\p{{L}}.\x27’-]*$') group by 1),
+likely as (select *, length(replace(word, '.', ''))::double letters, (n - n_stop)::double plain, sum(n_stop) over () / sum(n) over ()::double usual from counts),
+scores as (select *, 2 * (n_stop * ln(0.99::double) + plain * ln(0.01::double) - n_stop * ln(usual) - case when plain > 0 then plain * ln(1 - usual) else 0 end) * exp(-letters) * (length(word) - letters + 1) * pow(letters, -plain) score from likely where n_stop > 0),
+model as (select word, n, n_stop, round(score, 4) score from scores where score >= {splitter.THRESHOLD})
+"""
+
+
+def _abbreviated(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", with_abbreviations(F.col("text")).alias("text"))
+
+
+@query(f"with {_LEARNED_SQL} select * from model")
+def t4_learned_abbreviations(spark, sf_dir):
+    """T4: the words that a splitter learns to be abbreviations, from all documents."""
+    return splitter.learn(_abbreviated(spark, sf_dir)).select("word", "n", "n_stop", F.round("score", 4).alias("score"))
+
+
+@query(
+    f"""with {_LEARNED_SQL}, flags as (select doc_id, i, token, (regexp_matches(bare, '[!?]$') or ends_with(bare, '.') and lower(regexp_replace({_PLAIN}, '\\.$', '')) not in (select word from model))::int ends from typed),
+    placed as (select *, coalesce(sum(ends) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0)::int pos from flags)
+    select doc_id, pos, regexp_replace(string_agg(token, '' order by i), '{STRIP}', '', 'g') as sentence from placed group by 1, 2"""
+)
+def t4_learned_sentences(spark, sf_dir):
+    """All documents, split by what was learned from them."""
+    docs = _abbreviated(spark, sf_dir)
+    return splitter.split_texts(docs, splitter.learn(docs), ["doc_id"])
+
+
 @query("select doc_id, case when doc_id % 2 = 0 and doc_id % 3 <> 0 then 'cuda' else 'cpu' end as device, case when doc_id % 2 = 0 and doc_id % 3 <> 0 then 'float16' else 'auto' end as number_type from documents")
 def f8_device(spark, sf_dir):
     """F8: where a local model runs, for items on machines with a GPU or none, some told not to use it."""

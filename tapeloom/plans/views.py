@@ -45,6 +45,16 @@ def with_breaks(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit(" e"), F.lit("-\ne")), F.lit(" d"), F.lit("\nd")), F.lit(" a"), F.lit("\n"))
 
 
+ABBREVIATED = {" the ": " Dr. ", " of ": " e.g. ", " und ": " u.a. ", " de ": " etc. "}
+
+
+def with_abbreviations(c: Column) -> Column:
+    """A: some words as abbreviations, whose stops end no sentence."""
+    for word, instead in ABBREVIATED.items():
+        c = F.replace(c, F.lit(word), F.lit(instead))
+    return c
+
+
 def with_continuations(c: Column) -> Column:
     """C: lines that end in a comma or begin with a dash."""
     return F.replace(F.replace(c, F.lit(", "), F.lit(",\n")), F.lit(" d"), F.lit("\n- d"))
