@@ -6,6 +6,7 @@ import tempfile
 import time
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from tapeloom.plans import transcripts
 from tapeloom.plans.views import ABBREVIATED, SEGMENTS_SQL, segments, table, titles, with_abbreviations, with_breaks, with_continuations, with_quotes
 from tapeloom.schema import Settings
 from tapeloom.shipping import ship
-from tapeloom.sources import adapters, files, sinks
+from tapeloom.sources import adapters, containers, exact, files, listing, sinks
 from tapeloom.sources.pool import Calls, Transient
 from tapeloom.streaming import merge as streaming
 from tapeloom.streaming import source as log
@@ -445,6 +446,44 @@ def s4_durations(spark, sf_dir):
     return adapters.with_durations(docs, decode).select("doc_id", "duration_s", "duration_error")
 
 
+@query(
+    "select k || '_' || doc_id as filename, k = 'cut' as is_cut, case k when 'wav' then (n // 8 + case when n % 8 > 4 or n % 8 = 4 and n // 8 % 2 = 1 then 1 else 0 end) / 1000.0::double when 'm4a' then n / 1000.0::double end as duration_s, "
+    "case k when 'cut' then 'ValueError: the file is cut short' when 'text' then 'ValueError: neither WAV nor MP4' end as duration_error "
+    "from (select doc_id, strlen(text) n, ['wav', 'm4a', 'cut', 'text'][1 + length(text) % 4] k from documents where strlen(text) > 0)"
+)
+def s4_file_durations(spark, sf_dir):
+    """Audio files made of documents, whole ones, some cut short and some that are none; durations from their headers."""
+
+    def build(docs: pd.DataFrame) -> pd.Series:
+        made = {"wav": containers.wav, "m4a": lambda b: containers.mp4(b, len(b)), "cut": lambda b: containers.wav(b)[:-1 - len(b) % 2], "text": lambda b: b"text" + b}
+        return pd.Series([made[k](t.encode()) for k, t in zip(docs["kind"], docs["text"])])
+
+    build.__annotations__ = {"docs": pd.DataFrame, "return": pd.Series}
+    path = _new_dir(spark)
+    kind = F.get(F.array(*map(F.lit, ("wav", "m4a", "cut", "text"))), F.length("text") % 4)
+    docs = table(spark, sf_dir, "documents").where("text <> ''").select(F.concat_ws("_", kind, "doc_id").alias("name"), kind.alias("kind"), "text")
+    made = docs.select("name", F.pandas_udf(build, "binary")(F.struct("kind", "text")).alias("content"))
+    exact.write_files(made, path, ".audio", "name", "content")
+    rows = adapters.with_file_durations(files.list_audio(spark, path))
+    return rows.select("filename", F.col("filename").startswith("cut").alias("is_cut"), "duration_s", "duration_error")
+
+
+_HOST_SQL = "regexp_extract(url, '://([^/]+)', 1)"
+
+
+@query(
+    f"with {TITLES_SQL}, v as (select {_HOST_SQL} playlist, (row_number() over (partition by {_HOST_SQL} order by seq) - 1)::bigint seq, title, url from titles) "
+    "select playlist, seq, title, url, seq = 0 as is_single from v"
+)
+def s2_playlists(spark, sf_dir):
+    """Hosts as playlists of their pages, listed page by page; first videos alone, and all others, each asked of the listing."""
+    path = _new_dir(spark)
+    videos = titles(spark, sf_dir).select(F.regexp_extract("url", "://([^/]+)", 1).alias("playlist"), "seq", "title", "url")
+    listing.write_listing(listing.places(videos, "seq"), path)
+    first, others = listing.read_listing(spark, path).where("seq = 0"), listing.read_listing(spark, path).where("seq > 0")
+    return first.withColumn("is_single", F.lit(True)).unionByName(others.withColumn("is_single", F.lit(False)))
+
+
 @query("select doc_id, true as is_in_run, 1::bigint as n_times from documents")
 def dt1_request_time(spark, sf_dir):
     """DT1: the times are written, and lie between the clock before and after that, in microseconds since 1970; all items of a run have one."""

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tapeloom.functions import numbers
 from tapeloom.schema import VIDEO, Settings
 from tapeloom.shipping import ship
-from tapeloom.sources import pool
+from tapeloom.sources import containers, pool
 
 ship(__name__)
 
@@ -88,6 +88,23 @@ def with_durations(files: DataFrame, decode_ms: Callable[[bytes], float]) -> Dat
     return decoded.withColumn("duration_s", numbers.duration_s(F.col("decoded.ms"))).withColumn("duration_error", F.col("decoded.error")).drop("decoded")
 
 
+def with_file_durations(files: DataFrame, path: str = "path") -> DataFrame:
+    """Durations of WAV and MP4 files by their paths. Only headers are read, not samples (see ``sources.containers``); a file that can't be read has ``duration_error``."""
+
+    def run(paths: pd.Series) -> pd.DataFrame:
+        out = []
+        for p in paths:
+            try:
+                out.append((float(containers.file_duration_ms(p)), None))
+            except Exception as e:  # an item's failure is its own
+                out.append((None, pool.described(e)))
+        return pd.DataFrame(out, columns=["ms", "error"]).astype({"ms": "Float64"})
+
+    run.__annotations__ = {"paths": pd.Series, "return": pd.DataFrame}
+    read = files.withColumn("read", F.pandas_udf(run, "ms double, error string")(path))
+    return read.withColumn("duration_s", numbers.duration_s(F.col("read.ms"))).withColumn("duration_error", F.col("read.error")).drop("read")
+
+
 def limited(rows: DataFrame, most: int | None) -> DataFrame:
     """At most ``most`` tasks, without a shuffle: contents stay where they are read."""
     return rows if most is None else rows.coalesce(most)

@@ -13,6 +13,7 @@ are errors before any file is moved. Rows are dealt by name, so that one task se
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -35,12 +36,13 @@ MOVES = 32
 
 
 def open_folder(path: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a folder, and its path there. Paths without a scheme are local."""
-    if "://" not in path and not path.startswith("file:"):
-        return pafs.LocalFileSystem(), path.rstrip("/")
-    where = "file://" + path[5:] if path.startswith("file:/") and not path.startswith("file://") else path.replace("s3a://", "s3://", 1)
-    system, inner = pafs.FileSystem.from_uri(where)
-    return system, inner.rstrip("/")
+    """The file system of a path, and the path there, letter for letter as Spark means it: nothing in it is an escape. Without a scheme it is local."""
+    given = re.fullmatch(r"(?s)([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)", path)
+    if not given or given[1] == "file":
+        return pafs.LocalFileSystem(), (given[3] if given else path).rstrip("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(given[1], given[1])
+    system, root = pafs.FileSystem.from_uri(f"{scheme}://{given[2] or ''}/")
+    return system, (root.rstrip("/") + given[3]).rstrip("/")
 
 
 def check_name(name: str | None, suffix: str) -> str:

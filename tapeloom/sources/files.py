@@ -52,6 +52,11 @@ def read_audio(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("path", F.regexp_extract("path", STEM, 1).alias("filename"), F.col("length").alias("n_bytes"), "content")
 
 
+def list_audio(spark: SparkSession, path: str) -> DataFrame:
+    """Audio files without their content, which is not read: path, name and bytes. Spark passes over empty files."""
+    return read_audio(spark, path).drop("content")
+
+
 def taken_names(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """Names of the files below ``path``, or the values of ``key`` of the folders that sinks write, by Spark's own listing; none if there is no such place."""
     try:
