@@ -130,12 +130,15 @@ _OP1_KINDS = [
     ("assign", _ASSIGN, f"length(regexp_extract(m, '{_ASSIGN}', 2)) >= 6"),
     ("access", "AKIA[A-Z0-9]+", "length(m) >= 20"),
     ("hex", "[0-9a-f]+", "length(m) >= 24"),
-    *[(r.kind, r.pattern, "true") for r in secrets.RULES if not r.base],
+    *[(r.kind, r.pattern, "true") for r in secrets.RULES if not r.base and r.kind != "jwt"],
 ]
+#: SQL has no lookarounds: a match takes the character before it, if there is one. That is never part of the match before.
+_JWT = r"(?:^|[^A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"
+_JWT_SQL = f"select doc_id, {[r.kind for r in secrets.RULES].index('jwt')} rank, 'jwt' kind, b + length(m) - length(j) b, b + length(m) e from (select *, regexp_extract(m, '(?s)eyJ.*') j from ({_matches_sql(_JWT)}))"
 _JOINED = "coalesce(string_agg(kind || ':' || b || ':' || e, ',' order by b, rank){}, '')"
 _OP1_SQL = f"""
 with t as (select doc_id, coalesce(text, '') t from documents),
-s as ({_spans_sql(_OP1_KINDS)}),
+s as ({_spans_sql(_OP1_KINDS)} union all {_JWT_SQL}),
 a as (select doc_id, count(*) filter (kind = 'assign') n_assign, count(*) filter (kind = 'access') n_access, count(*) filter (kind = 'hex') n_hex,
   {_JOINED.format(" filter (rank < 3)")} base, {_JOINED.format("")} spans from s group by 1)
 select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans

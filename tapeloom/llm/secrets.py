@@ -41,7 +41,8 @@ RULES = (
     Rule("private_key", r"-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # From the start of a run of its characters on, and never going back into one: else a run is tried at each of its places.
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+"),
 )
 
 MOST_CLAUSES = 64

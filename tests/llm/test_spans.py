@@ -175,6 +175,34 @@ def test_many_spans_in_one_text(spark):
         assert whole < 40 and whole < 2 * half + 3
 
 
+WORST = {
+    "assign": ["token" + " " * 20, "password\"  ", "token=abc "],
+    "access": ["AKIA", "AKI"],
+    "hex": ["0123456789abcdef0123456g", "a"],
+    "private_key": ["-----BEGIN ", "-----BEGIN RSA ", "-----BEGIN AAAAAAAAAA"],
+    "github": ["ghp_", "ghp_aaaaaaaaaa"],
+    "slack": ["xoxb-", "xoxb-a "],
+    "jwt": ["eyJ", "eyJaaaaaaaa.", "eyJeyJeyJeyJ.eyJ", "eyJaaaaaaaa.eyJaaaaaaaa.a "],
+}
+
+
+def test_worst_texts_of_each_rule(spark):
+    """40,000 and 80,000 repeats of what a rule begins with: seconds, and no more than in proportion."""
+    assert list(WORST) == [r.kind for r in secrets.RULES]
+
+    def took(unit, n):
+        df = spark.createDataFrame([(1, unit * n)], "doc_id long, text string").cache()
+        df.count()
+        began = time.perf_counter()
+        secrets.secrets_report(df).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    took("eyJ", 10)
+    for unit in [u for units in WORST.values() for u in units]:
+        half, whole = took(unit, 40_000), took(unit, 80_000)
+        assert whole < 20 and whole < 2 * half + 3, unit
+
+
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "😀 mail a@b.co, 4111111111111111!", 9, 5), (2, None, None, 6), (3, "x", 1, 7)], "doc_id long, text string, n_chars long, found int")
     got = {r.doc_id: (r.text, r.n_chars, r.found) for r in pii.redact(docs).collect()}
@@ -186,7 +214,8 @@ def test_redact(spark):
 @pytest.mark.parametrize("name", ["op1_secret_scan", "op4_pii"])
 def test_sql_agrees_on_odd_texts(spark, name):
     report = {"op1_secret_scan": secrets.secrets_report, "op4_pii": pii.pii_report}[name]
-    more = ["DE89370400440532013000 DE89370400440532013000", "xDE89370400440532013000", "GB82 WEST 1234 5698 7654 32 GB82 WEST 1234 5698 7654 32 and", "social 123-45-6789-1 tax 987-65-4321\nssn é 123-45-6789", "sample DE89370400440532013000 bank example a@b.co taxi 123-45-6789"]
+    jwt = "eyJ0eXAiOiJK.eyJzdWIiOiIx-_.c2lnbmF0dXJl"
+    more = [jwt, f"x{jwt}", f"-{jwt}", f"é{jwt} {jwt}.{jwt}", f"\n{jwt},{jwt}=", f"{jwt[:-8]} {jwt[:20]}", "DE89370400440532013000 DE89370400440532013000", "xDE89370400440532013000", "GB82 WEST 1234 5698 7654 32 GB82 WEST 1234 5698 7654 32 and", "social 123-45-6789-1 tax 987-65-4321\nssn é 123-45-6789", "sample DE89370400440532013000 bank example a@b.co taxi 123-45-6789"]
     rows = list(enumerate(ODD + more))
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar)")
