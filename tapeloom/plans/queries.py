@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import time
 import uuid
 
@@ -21,6 +20,7 @@ from tapeloom.sources import adapters, containers, exact, files, listing, sinks
 from tapeloom.sources.pool import Calls, Transient
 from tapeloom.streaming import merge as streaming
 from tapeloom.streaming import source as log
+from tapeloom.work import new_dir, written
 
 ship(__name__)
 
@@ -72,16 +72,6 @@ def query(sql: str | None = None):
     return add
 
 
-def _new_dir(spark: SparkSession) -> str:
-    """A new folder in the shared one of the session. A local one only where the master is local: executors of a cluster do not share it."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return tempfile.mkdtemp(prefix="tapeloom-") + "/files"
-
-
 # --- text -----------------------------------------------------------------------------------------
 
 
@@ -188,7 +178,7 @@ def m1_merge_quoted(spark, sf_dir):
 
 def _streamed(spark, sf_dir, then, n: int = 3):
     """All segments through a growing table in ``n`` appends, dealt without regard to order; what ``then`` makes of the stream, after each append by a run that goes on from the last one's checkpoint."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     rows = segments(spark, sf_dir)
     for k in range(n):
         log.append(rows.where(F.pmod(F.hash("transcript_id", "seq"), F.lit(n)) == n - 1 - k), f"{path}/log")
@@ -303,7 +293,7 @@ def j1_json_roundtrip(spark, sf_dir):
 
 @query(f"with {SEGMENTS_SQL} select transcript_id, start, \"end\", ' ' || text || '  \"x\"' as text, avg_logprob from segments")
 def k3_csv_roundtrip(spark, sf_dir):
-    path = _new_dir(spark)
+    path = new_dir(spark)
     rows = segments(spark, sf_dir)
     sinks.write_csv(rows.withColumn("text", F.concat(F.lit(" "), "text", F.lit('  "x"'))), path)
     return files.read_segments_csv(spark, path, "transcript_id", "long")
@@ -312,7 +302,7 @@ def k3_csv_roundtrip(spark, sf_dir):
 @query(f"with {SEGMENTS_SQL} select transcript_id, start, \"end\", text, avg_logprob from segments where not contains(text, '{UNWANTED}')")
 def k4_json_files(spark, sf_dir):
     """Filtered, written as one array for each transcript, read back by S7."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     sinks.write_json(segments(spark, sf_dir), path, UNWANTED)
     return files.read_segments_json(spark, path, "transcript_id", "long")
 
@@ -320,7 +310,7 @@ def k4_json_files(spark, sf_dir):
 @query(f"with {SEGMENTS_SQL} select transcript_id, seq, start, \"end\", text, avg_logprob from segments where not contains(text, '{UNWANTED}')")
 def k4_json_table(spark, sf_dir):
     """The same as one table of arrays."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     sinks.write_json(segments(spark, sf_dir), path, UNWANTED, folders=False)
     arrays = spark.read.schema("transcript_id long, json string").json(path)
     kept = ops.without_text(segments(spark, sf_dir), UNWANTED)
@@ -332,21 +322,49 @@ def k4_json_table(spark, sf_dir):
 @query(f"with {SEGMENTS_SQL} select transcript_id, string_agg(text || chr(10) || ' ', '' order by seq) as text from segments group by 1")
 def k2_text_files(spark, sf_dir):
     """Texts with line breaks, written one to a file and read back with their keys."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     sinks.write_text(ops.combined_text(segments(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n")))), path)
     return files.read_written_texts(spark, path, kind="long")
 
 
 @query(f"with {SEGMENTS_SQL} select transcript_id, string_agg(text || chr(10) || ' ', '' order by seq) as text from segments group by 1")
 def k2_text_table(spark, sf_dir):
-    path = _new_dir(spark)
+    path = new_dir(spark)
     sinks.write_text(ops.combined_text(segments(spark, sf_dir).withColumn("text", F.concat("text", F.lit("\n")))), path, folders=False)
     return spark.read.schema("transcript_id long, text string").json(path)
 
 
+_K5_SQL = f"with {SEGMENTS_SQL} select transcript_id, count(*) as n_before, count(*) filter (not contains(text, '{UNWANTED}')) as n_after, count(*) filter (contains(text, '{UNWANTED}')) as n_removed, count(*) filter (not contains(text, '{UNWANTED}')) as n_read, coalesce(sum(length(text)) filter (not contains(text, '{UNWANTED}')), 0)::bigint as n_chars from segments group by 1"
+
+
+def _k5(spark, sf_dir, exact):
+    path, rows = new_dir(spark), segments(spark, sf_dir)
+    if exact:
+        sinks.write_exact(rows, ops.combined_text(rows), path, None, "transcript_id")
+        path = f"{path}/metadata_tables"
+    else:
+        sinks.write_json(rows, path)
+    counts = sinks.drop_unwanted(spark, path, UNWANTED, kind="long", exact=exact).withColumn("transcript_id", F.col("transcript_id").cast("long"))
+    left = files.read_segments_json(spark, path).withColumn("transcript_id", F.col("name").cast("long")) if exact else files.read_segments_json(spark, path, "transcript_id", "long")
+    read = left.groupBy("transcript_id").agg(F.count("*").alias("n_read"), F.sum(F.length("text")).alias("n_chars"))
+    return counts.join(read, "transcript_id", "left").na.fill(0, ["n_read", "n_chars"])
+
+
+@query(_K5_SQL)
+def k5_rewritten_folders(spark, sf_dir):
+    """K5, A1: arrays that are written already lose their unwanted segments; counts, and what is read back."""
+    return _k5(spark, sf_dir, False)
+
+
+@query(_K5_SQL)
+def k5_rewritten_files(spark, sf_dir):
+    """K5 in files of exact names."""
+    return _k5(spark, sf_dir, True)
+
+
 def _exact(spark, sf_dir):
     """All transcripts' outputs in files of their names, odd characters and all; the folder."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     rows = segments(spark, sf_dir).withColumn("filename", F.concat(F.lit("t é+%= "), F.col("transcript_id").cast("string")))
     rows = rows.withColumn("text", F.concat(F.lit(" "), "text", F.lit(' "x",\n')))
     texts = ops.combined_text(rows).join(rows.select("transcript_id", "filename").distinct(), "transcript_id")
@@ -378,7 +396,7 @@ def k4_exact_json(spark, sf_dir):
 @query(f"with {_CLEAN_SQL} select length(text) as n_chars, md5(text) as digest from (select text || ' ' as text from cleaned)")
 def s9_text_upload(spark, sf_dir):
     """Files of text, read whole and cleaned on loading. The line break that ends a file leaves an empty line."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     docs = table(spark, sf_dir, "documents").select("doc_id", with_continuations(F.col("text")).alias("text"))
     sinks.write_text(docs, path, "text", "doc_id")
     loaded = files.read_texts(spark, path).select(clean.clean_lines(F.col("text")).alias("text"))
@@ -388,7 +406,7 @@ def s9_text_upload(spark, sf_dir):
 @query("select distinct lang || ' é+%/' || doc_id % 20 as name from documents")
 def s10_taken_names(spark, sf_dir):
     """Names that outputs bear already, odd characters and all."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     name = F.concat("lang", F.lit(" é+%/"), (F.col("doc_id") % 20).cast("string"))
     sinks.write_text(table(spark, sf_dir, "documents").select("text", name.alias("name")), path, "text", "name")
     return files.taken_names(spark, path, "name")
@@ -398,7 +416,7 @@ def s10_taken_names(spark, sf_dir):
 def k6_observed_counts(spark, sf_dir):
     """K6: what a writing run observes."""
     rows, seen = ops.observed(segments(spark, sf_dir), UNWANTED, f"seen-{uuid.uuid4().hex}")
-    path = _new_dir(spark)
+    path = new_dir(spark)
     rows.write.parquet(path)
     n = seen.get
     return spark.read.schema(rows.schema).parquet(path).agg(F.count("*").alias("n_after")).select(F.lit(n["n_before"]).cast("long").alias("n_before"), F.lit(n["n_removed"]).cast("long").alias("n_removed"), "n_after")
@@ -459,7 +477,7 @@ def s4_file_durations(spark, sf_dir):
         return pd.Series([made[k](t.encode()) for k, t in zip(docs["kind"], docs["text"])])
 
     build.__annotations__ = {"docs": pd.DataFrame, "return": pd.Series}
-    path = _new_dir(spark)
+    path = new_dir(spark)
     kind = F.get(F.array(*map(F.lit, ("wav", "m4a", "cut", "text"))), F.length("text") % 4)
     docs = table(spark, sf_dir, "documents").where("text <> ''").select(F.concat_ws("_", kind, "doc_id").alias("name"), kind.alias("kind"), "text")
     made = docs.select("name", F.pandas_udf(build, "binary")(F.struct("kind", "text")).alias("content"))
@@ -477,7 +495,7 @@ _HOST_SQL = "regexp_extract(url, '://([^/]+)', 1)"
 )
 def s2_playlists(spark, sf_dir):
     """Hosts as playlists of their pages, listed page by page; first videos alone, and all others, each asked of the listing."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     videos = titles(spark, sf_dir).select(F.regexp_extract("url", "://([^/]+)", 1).alias("playlist"), "seq", "title", "url")
     listing.write_listing(listing.places(videos, "seq"), path)
     first, others = listing.read_listing(spark, path).where("seq = 0"), listing.read_listing(spark, path).where("seq > 0")
@@ -487,14 +505,14 @@ def s2_playlists(spark, sf_dir):
 @query("select doc_id, true as is_in_run, 1::bigint as n_times from documents")
 def dt1_request_time(spark, sf_dir):
     """DT1: the times are written, and lie between the clock before and after that, in microseconds since 1970; all items of a run have one."""
-    path = _new_dir(spark)
+    path = new_dir(spark)
     before = time.time_ns() // 1000
     rows = adapters.requested(table(spark, sf_dir, "documents").select("doc_id"))
     rows.write.parquet(path)
     after = time.time_ns() // 1000 + 1
-    written = spark.read.schema(rows.schema).parquet(path)
-    n = written.agg(F.count_distinct("request_time").alias("n_times"))
-    return written.select("doc_id", F.unix_micros("request_time").between(before, after).alias("is_in_run")).join(F.broadcast(n))
+    made = spark.read.schema(rows.schema).parquet(path)
+    n = made.agg(F.count_distinct("request_time").alias("n_times"))
+    return made.select("doc_id", F.unix_micros("request_time").between(before, after).alias("is_in_run")).join(F.broadcast(n))
 
 
 @query(f"with s as (select doc_id, list_transform(string_split({_t2(L_SQL)}, '. '), lambda v: regexp_replace(v, '{STRIP}', '', 'g')) s from documents) select doc_id, (generate_subscripts(s, 1) - 1)::int as pos, unnest(s) as sentence from s")
@@ -630,17 +648,11 @@ def s6_remote_failures(spark, sf_dir):
         return run
 
     run = transcripts.transcribe(_audio(spark, sf_dir), make, Settings(use_remote=True, calls=Calls(width=4, retries=2, pause=0.001)))
-    done = run.again(common_table(run.rows, _new_dir(spark)))
+    done = run.again(written(run.rows))
     failed = done.errors.select("transcript_id", F.split("error", ":")[0].alias("error"), F.lit(None).cast("long").alias("n_segments"))
     return failed.unionByName(done.segments.groupBy("transcript_id").agg(F.lit(None).cast("string").alias("error"), F.count("*").alias("n_segments")))
 
 
-def common_table(rows: DataFrame, path: str) -> DataFrame:
-    """Rows computed once: a service is not asked again for each use of its answers."""
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments without unwanted ones, their sentences, in paragraphs."""
     kept = ops.without_text(segments(spark, sf_dir), UNWANTED)

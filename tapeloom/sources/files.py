@@ -14,7 +14,7 @@ STEM = r"([^/]+?)(?:\.[^./]*)?$"
 CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
 
-def _stem() -> Column:
+def file_stem() -> Column:
     """The name of the file that a row comes from, letter for letter, without its ending."""
     # Spark gives it as in an address: escaped, but for a plus sign.
     return F.regexp_extract(F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))), STEM, 1)
@@ -24,20 +24,20 @@ def read_segments_json(spark: SparkSession, path: str, key: str | None = None, k
     """Rows of JSON arrays of segments, with their file's name, or the ``key`` of their folder."""
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
     rows = spark.read.schema(schema).options(multiLine=True, pathGlobFilter="*.json" if key is None else "*").json(path)
-    return rows.select(_stem().alias("name"), "*") if key is None else rows
+    return rows.select(file_stem().alias("name"), "*") if key is None else rows
 
 
 def read_segments_csv(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
     """Rows of CSV tables of segments, with their file's name, or the ``key`` of their folder."""
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
     rows = spark.read.schema(schema).options(**CSV, pathGlobFilter="*.csv" if key is None else "*").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return rows.select(_stem().alias("name"), "*") if key is None else rows
+    return rows.select(file_stem().alias("name"), "*") if key is None else rows
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files, one row each."""
     rows = spark.read.text(path, wholetext=True)
-    return rows.select(_stem().alias("name"), F.col("value").alias("text"))
+    return rows.select(file_stem().alias("name"), F.col("value").alias("text"))
 
 
 def read_written_texts(spark: SparkSession, path: str, key: str = "transcript_id", kind: str = "string") -> DataFrame:

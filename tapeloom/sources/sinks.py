@@ -9,11 +9,13 @@ it, which the reader takes off; in a table they are JSON lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.operators.segments import without_text
 from tapeloom.sources.exact import write_files
+from tapeloom.sources.files import file_stem
+from tapeloom.work import written
 
 FIELDS = ("start", "end", "text", "avg_logprob")
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
@@ -75,3 +77,30 @@ def write_exact(segments: DataFrame, texts: DataFrame, path: str, unwanted: str
     arrays = json_arrays(segments if unwanted is None else without_text(segments, unwanted), key)
     named = segments.select(key).distinct().join(arrays, key, "left")
     write_files(named, f"{path}/metadata_tables", ".json", key, F.coalesce("json", F.lit("[]")), overwrite)
+
+
+ARRAY = "array<struct<start:double,end:double,text:string,avg_logprob:double>>"
+
+
+def drop_unwanted(spark: SparkSession, path: str, unwanted: str, key: str = "transcript_id", kind: str = "string", exact: bool = False) -> DataFrame:
+    """K5: takes unwanted segments out of JSON arrays that are written already, and rewrites only the transcripts that have some.
+
+    ``path`` has the folders of ``write_json``, or with ``exact`` the files of ``write_exact``. Which ones change is found by
+    A1's counts over what is there, which are returned: (key, n_before, n_after, n_removed). Changed arrays are written
+    aside first, since they come from what they replace; folders are then replaced by dynamic partition overwrite, files
+    by their names. All others are not touched.
+    """
+    if exact:
+        files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select(file_stem().alias(key), "value")
+    else:
+        files = spark.read.schema(f"value string, `{key}` {kind}").text(path, wholetext=True)
+    arrays = files.select(key, F.from_json("value", ARRAY).alias("before"))
+    rows = arrays.withColumn("after", F.filter("before", lambda s: ~F.contains(s["text"], F.lit(unwanted))))
+    counted = rows.select(key, F.size("before").cast("long").alias("n_before"), F.size("after").cast("long").alias("n_after"), F.when(F.size("before") != F.size("after"), F.to_json("after", {"ignoreNullFields": "false"})).alias("json"))
+    found = written(counted)
+    changed = found.where("json is not null").select(key, "json")
+    if exact:
+        write_files(changed, path, ".json", key, "json", overwrite=True)
+    else:
+        changed.repartition(key).write.partitionBy(key).option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
+    return found.select(key, "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_removed"))

@@ -8,7 +8,6 @@ and a batch that is replayed reads the very files it read before, which never ch
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,40 +18,20 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 from tapeloom.schema import SEGMENT
 from tapeloom.shipping import ship
 from tapeloom.sources.exact import open_folder
+from tapeloom.sources.versions import last, last_whole, publish, stage, versions
 
 ship(__name__)
 
 FORMAT = "segment_log"
 
 
-def versions(system: pafs.FileSystem, folder: str) -> set[int]:
-    found = system.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
-    return {int(f.base_name.removeprefix("version=")) for f in found if f.type == pafs.FileType.Directory and f.base_name.startswith("version=")}
-
-
-def last_whole(there: set[int]) -> int:
-    """The last version before which none is missing."""
-    n = 0
-    while n + 1 in there:
-        n += 1
-    return n
-
-
 def append(segments: DataFrame, path: str) -> int:
     """Adds a version with these segments, and returns its number. Of writers that meet, one takes the next number, the other the one after."""
-    new = f"_new-{uuid.uuid4().hex}"
-    segments.select([f.name for f in SEGMENT]).write.parquet(f"{path.rstrip('/')}/{new}")
-    system, folder = open_folder(path)
-    n = last_whole(versions(system, folder)) + 1
-    while True:
-        try:
-            # A folder does not replace one that holds files.
-            system.move(f"{folder}/{new}", f"{folder}/version={n}")
-            return n
-        except OSError:
-            if n not in versions(system, folder):
-                raise
-            n += 1
+    new = stage(segments.select([f.name for f in SEGMENT]), path)
+    n = last(path) + 1
+    while not publish(path, new, n):
+        n += 1
+    return n
 
 
 @dataclass
