@@ -7,7 +7,7 @@ adds it to the list while it is precise enough; what no rule covers is kept. The
 
 Defined results: null text has no words, so its statistics are zero and it fails the base rule;
 labels with a null id or a null label are left out, an id labelled more than once counts by its
-lowest label; no usable labels give the empty list, which keeps all that passes the base rule; ids, null or
+lowest label, and of the documents that share a labelled id one is learned from, always the same; no usable labels give the empty list, which keeps all that passes the base rule; ids, null or
 repeated, are carried as they are; columns other than the id and the text are not looked at.
 """
 
@@ -243,13 +243,15 @@ def base_failed() -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, key: str = "doc_id", text: str = "text") -> list[list[Test]]:
-    """Learns on at most ``most`` labelled ids, those whose hashes are lowest."""
+    """Learns on at most ``most`` labelled ids that documents have, those whose hashes are lowest; of documents that share an id on the text whose hash is lowest."""
     known = labels.where(f"`{key}` is not null and quality is not null").groupBy(F.col(key).alias("__id")).agg(F.min("quality").alias("__quality"))
-    known = known.orderBy(F.xxhash64("__id"), "__id").limit(most)
     body = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
-    # At most ``most`` ids of 16 bytes each go to every executor.
-    rows = with_stats(body.join(F.broadcast(known.select("__id")), "__id", "left_semi"), "__id", "__text")
-    rows = rows.join(F.broadcast(known), "__id").dropDuplicates(["__id"]).collect()
+    # Labels without a document teach nothing, so they do not count; only ids are read for that.
+    known = known.join(body.select("__id"), "__id", "left_semi").orderBy(F.xxhash64("__id"), "__id").limit(most)
+    # At most ``most`` ids of 16 bytes each go to every executor, and as many texts, one for each id, to where they are judged.
+    mine = body.join(F.broadcast(known.select("__id")), "__id", "left_semi")
+    one = mine.groupBy("__id").agg(F.min_by("__text", F.struct(F.xxhash64("__text"), F.length("__text"), "__text")).alias("__text"))
+    rows = with_stats(one, "__id", "__text").join(F.broadcast(known), "__id").collect()
     if not rows:
         return []
     rows.sort(key=lambda r: (hash_of(r["__id"]), r["__id"]))

@@ -55,6 +55,20 @@ def test_quality_without_labels(spark):
     assert quality.quality_report(docs.limit(0), none).count() == 0
 
 
+def test_what_is_learned_from(spark, monkeypatch):
+    """Of documents that share a labelled id always the same one, whatever their order; labels without documents take no places."""
+    seen = []
+    monkeypatch.setattr(quality, "learn", lambda x, bad: seen.append((x.tolist(), bad.tolist())) or [])
+    texts = [(i % 7, f"word{i} " * (5 + i)) for i in range(60)] + [(3, None)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(-300, 300)], "doc_id long, quality int, toxic int")
+    for order in (texts, texts[::-1], sorted(texts, key=lambda t: str(t[1])[-9:])):
+        quality.train(spark.createDataFrame(order, "doc_id long, text string").repartition(5), labels, most=7)
+    assert seen[0] == seen[1] == seen[2] and len(seen[0][1]) == 7
+    seen.clear()
+    quality.train(spark.createDataFrame(texts, "doc_id long, text string"), labels, most=4)
+    assert len(seen[0][1]) == 4
+
+
 def test_decision_list_held_out():
     rng = np.random.default_rng(1)
     x = rng.random((6000, len(quality.FEATURES)))
