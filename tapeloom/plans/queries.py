@@ -170,6 +170,13 @@ def m1_merge_segments(spark, sf_dir):
     return merge.merge_segments(segments(spark, sf_dir))
 
 
+@query(_m1_sql(Q_SQL))
+def m1_merge_chunks(spark, sf_dir):
+    """M1 in chunks of four segments, of texts with open quotes, which carry far."""
+    rows = segments(spark, sf_dir)
+    return merge.merge_segments(rows.withColumn("text", with_quotes(F.col("text"))), chunk=4)
+
+
 @query(_m1_sql(Q_SQL))
 def m1_merge_quoted(spark, sf_dir):
     rows = segments(spark, sf_dir)
@@ -518,9 +525,9 @@ def dt1_request_time(spark, sf_dir):
 @query(f"with s as (select doc_id, list_transform(string_split({_t2(L_SQL)}, '. '), lambda v: regexp_replace(v, '{STRIP}', '', 'g')) s from documents) select doc_id, (generate_subscripts(s, 1) - 1)::int as pos, unnest(s) as sentence from s")
 def t4_model_sentences(spark, sf_dir):
     """Sentences by a model, a stand-in that parts at full stops before a space; blank ones are kept."""
-    text.register_splitter("stops", text.model_splitter(lambda: lambda t: t.split(". ")))
+    split = text.model_splitter(lambda: lambda t: t.split(". "))
     docs = table(spark, sf_dir, "documents").select("doc_id", with_breaks(F.col("text")).alias("text"))
-    return ops.sentences(docs, ["doc_id"], splitter="stops")
+    return docs.select("doc_id", F.posexplode(split(F.col("text"))).alias("pos", "sentence"))
 
 
 _A_SQL = "text"
