@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tapeloom.operators.running import running_sum
 from tapeloom.shipping import ship
 from tapeloom.sources import versions
+from tapeloom.work import written
 
 ship(__name__)
 
@@ -67,7 +68,8 @@ def allocate(items: DataFrame, existing: DataFrame | None = None, order: str = "
 
     Items are taken by ``order``, of equal ones by base. An item without a base has no name.
     """
-    given = items.select(F.col(order).cast("long").alias("at"), F.col(base).alias("base"))
+    # Written once: what names come from is not worked out anew for each use below.
+    given = written(items.select(F.col(order).cast("long").alias("at"), F.col(base).alias("base")))
     rows = given.where("base is not null")
     first = rows.groupBy("base").agg(F.min("at").alias("at"))
     numbered = first.where(F.col("base").rlike(NUMBERED)).select(_parent(F.col("base")).alias("base"), "at", F.col("base").alias("child"))

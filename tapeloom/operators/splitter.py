@@ -21,10 +21,11 @@ from tapeloom.functions import arrays, text
 SURE, THRESHOLD = 0.99, 0.3
 #: Words that a plan holds as a literal, some hundred kilobytes.
 MOST_LISTED = 10_000
-TOKEN = rf"(?U)[^{text.SPACE}]+[{text.SPACE}]*"
-OPENING, CLOSING = r"(\"'\[{«“‘", r")\"'\]}»”’"
+#: White space as Python has it.
+_GAP = "".join(f"\\x{{{ord(c):x}}}" for c in text.PYTHON_SPACES)
+TOKEN = f"[^{_GAP}]+[{_GAP}]*"
+OPENING, CLOSING = "(\"'[{«“‘", ")\"']}»”’"
 WORD = r"^\p{L}[\p{L}.'’-]*$"
-COUNTS = "array<struct<word:string,stop:boolean>>"
 
 
 def tokens(c: Column) -> Column:
@@ -34,19 +35,29 @@ def tokens(c: Column) -> Column:
 
 def bare(token: Column) -> Column:
     """A word without white space, and without brackets and quotes around it."""
-    return F.regexp_replace(token, rf"(?U)^[{OPENING}]+|[{CLOSING}]*[{text.SPACE}]*$", "")
+    return F.ltrim(F.rtrim(F.rtrim(token, F.lit(text.PYTHON_SPACES)), F.lit(CLOSING)), F.lit(OPENING))
 
 
-def _typed(word: Column) -> Column:
-    """(word, stop): in lower case without its last full stop, and whether it had one."""
-    plain = F.regexp_replace(word, "[,;:]+$", "")
-    return F.struct(F.lower(F.regexp_replace(plain, r"\.$", "")).alias("word"), plain.endswith(".").alias("stop"))
+def may_end(token: Column, marks: str) -> Column:
+    """Whether one of ``marks`` ends the word."""
+    return F.right(bare(token), F.lit(1)).isin(*marks)
+
+
+def _plain(word: Column) -> Column:
+    return F.rtrim(word, F.lit(",;:"))
+
+
+def _type(word: Column) -> Column:
+    """A word in lower case without its last full stop."""
+    plain = _plain(word)
+    return F.lower(F.when(plain.endswith("."), F.substring(plain, F.lit(1), F.length(plain) - 1)).otherwise(plain))
 
 
 def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     """(word, n, n_stop) over all words of all texts; a word is letters, maybe with stops, hyphens and apostrophes."""
-    words = texts.select(F.explode(F.transform(tokens(text.repair_breaks(F.col(column))), lambda t: _typed(bare(t)))).alias("w"))
-    return words.select("w.*").where(F.col("word").rlike(WORD)).groupBy("word").agg(F.count("*").alias("n"), F.count_if("stop").alias("n_stop"))
+    words = texts.select(F.explode(tokens(text.repair_breaks(F.col(column)))).alias("token")).select(bare(F.col("token")).alias("bare"))
+    typed = words.select(_type(F.col("bare")).alias("word"), _plain(F.col("bare")).endswith(".").alias("stop"))
+    return typed.where(F.col("word").rlike(WORD)).groupBy("word").agg(F.count("*").alias("n"), F.count_if("stop").alias("n_stop"))
 
 
 def scored(counts: DataFrame) -> DataFrame:
@@ -69,13 +80,17 @@ def learn(texts: DataFrame, column: str = "text", threshold: float = THRESHOLD)
     return scored(word_counts(texts, column)).where(F.col("score") >= threshold)
 
 
+def _stops(all_tokens: Column) -> Column:
+    """The words that have a full stop."""
+    return F.transform(F.filter(all_tokens, lambda t: may_end(t, ".")), lambda t: _type(bare(t)))
+
+
 def _split(c: Column, known: Column) -> Column:
     """Sentences of a text whose page breaks are repaired; ``known``: the abbreviations that it may have."""
 
     def ends(all_tokens: Column, here: Column) -> Column:
         def one(t: Column) -> Column:
-            word = bare(t)
-            return word.rlike(r"[!?]$") | (word.endswith(".") & ~F.array_contains(here, _typed(word)["word"]))
+            return F.when(~may_end(t, ".!?"), False).otherwise(may_end(t, "!?") | ~F.array_contains(here, _type(bare(t))))
 
         return F.transform(all_tokens, one)
 
@@ -88,8 +103,7 @@ def _split(c: Column, known: Column) -> Column:
 
     def body(all_tokens: Column) -> Column:
         # Few of the model's words are in a text: they are found once, by hashing.
-        stops = F.transform(F.filter(all_tokens, lambda t: bare(t).endswith(".")), lambda t: _typed(bare(t))["word"])
-        return arrays.bind(F.array_intersect(stops, known), lambda here: arrays.bind(ends(all_tokens, here), lambda flags: cut(all_tokens, flags)))
+        return arrays.bind(F.array_intersect(_stops(all_tokens), known), lambda here: arrays.bind(ends(all_tokens, here), lambda flags: cut(all_tokens, flags)))
 
     return F.when(c.isNotNull(), arrays.bind(tokens(c), body))
 
@@ -109,8 +123,7 @@ def split_texts(texts: DataFrame, model: DataFrame, keys: list[str], column: str
     if len(words) <= most_listed:
         split = _split(F.col("whole"), F.array(*map(F.lit, words)).cast("array<string>"))
     else:
-        stops = F.array_distinct(F.transform(F.filter(tokens(F.col("whole")), lambda t: bare(t).endswith(".")), lambda t: _typed(bare(t))["word"]))
-        met = whole.select(*keys, F.explode(stops).alias("word")).join(model.select("word"), "word")
+        met = whole.select(*keys, F.explode(F.array_distinct(_stops(tokens(F.col("whole"))))).alias("word")).join(model.select("word"), "word")
         here = met.groupBy(*keys).agg(F.collect_set("word").alias("known"))
         whole = whole.join(here, keys, "left")
         split = _split(F.col("whole"), F.coalesce("known", F.array().cast("array<string>")))
