@@ -7,8 +7,11 @@ Every text is read as overlapping passages of two times ``HALF`` words, so each
 an entry lies whole in some passage. A passage is a query, and all entries that reach ``THRESHOLD`` are
 retrieved: the lists of its words are ordered by the entry that each is at, and the first list with which
 their maxima reach the threshold gives the pivot, before which no entry can; the maxima of the blocks
-that the pivot lies in say whether it is worth scoring or whether all lists go past these blocks. Blocks
-in which even all lists together stay under the threshold are found first and never entered.
+that the pivot lies in say whether it is worth scoring or whether all lists go past these blocks. Only
+blocks with an entry that can reach the threshold are entered. They are found by the entries' rarest words, so that
+long lists are not walked: of each entry the words that are in the fewest entries are listed once more,
+as many as make up ``RARE`` of its score against itself. All other words together add 1 - ``RARE`` at
+most, so a passage that reaches the threshold has rare words for the difference.
 Retrieved entries are verified: of the entry's five-word shingles, ``OVERLAP`` must be in the passage, and
 half of those of the item's question and of its answer each; a side that the entry has no shingles of
 counts as found. An item of fewer than five words has one shingle, all of its words.
@@ -20,7 +23,8 @@ is are then counted over all items first, and each shard gets them for its own w
 those of one index.
 
 Defined results: null text has no words; items without words are not searched, nor are null ones; ids
-of texts and items, null or repeated, are carried as they are, and each row of items counts; empty
+of texts and items, null or repeated, are carried as they are; rows of items that are alike in id and
+text are one item for the index and its scores, found as often as there are rows; empty
 tables give no rows; columns other than ids and texts are not looked at by ``contaminated`` and are
 kept by ``keep_clean``.
 """
@@ -31,6 +35,7 @@ from array import array
 from bisect import bisect_left
 from collections import Counter
 from functools import reduce
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -50,6 +55,10 @@ OVERLAP = 0.8
 PART_OVERLAP = 0.5
 #: Entries in a block.
 BLOCK = 8
+#: Share of an entry's score against itself that its listed rare words make up, at least.
+RARE = 0.7
+#: Postings of rare words that are looked at together.
+POSTINGS = 1 << 18
 #: Items in a shard, and characters of items that count as one more.
 MOST_ITEMS, ITEM_CHARS = 20_000, 512
 K1, B = 1.2, 0.75
@@ -80,16 +89,16 @@ def entries_of(words: list) -> list[tuple[int, list]]:
 
 
 class Index:
-    """Entries of test items, by word.
+    """Entries of test items, by word. Items are (id, text) or (id, text, number of such rows).
 
     ``totals`` has, by word, in how many entries it is, and under None the number of entries and of their words; by default those of ``items``.
     """
 
-    def __init__(self, items: list[tuple[int | None, str | None]], totals: dict[bytes | None, tuple[int, int]] | None = None):
+    def __init__(self, items: list[tuple], totals: dict[bytes | None, tuple[int, int]] | None = None):
         self.vocabulary: dict[bytes, int] = {}
-        self.item, self.parts, self.shingle = [], [], []
+        self.item, self.times, self.parts, self.shingle = [], [], [], []
         entries: list[list[int]] = []
-        for item, text in items:
+        for item, text, *times in items:
             raw = (text or "").encode("utf-8", "surrogatepass")
             ask = raw.rfind(b"?") + 1
             n_ask = len(raw[:ask].translate(_PLAIN).split()) if ask else 0
@@ -100,6 +109,7 @@ class Index:
             for at, ids in entries_of(words):
                 entries.append(ids)
                 self.item.append(item)
+                self.times.append(times[0] if times else 1)
                 self.shingle.append(min(SHINGLE, len(words)))
                 all_of = shingles(ids, self.shingle[-1])
                 split = max(0, first - at)
@@ -128,38 +138,94 @@ class Index:
         self.begin = np.searchsorted(term, np.arange(n_words + 1)).tolist()
         # Block maxima: one row for each word and block of entries.
         key = term * (self.n // BLOCK + 1) + entry // BLOCK
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        first = np.flatnonzero(_new(key))
+        self.block_key = key[first]
         self.block = array("q", (entry // BLOCK)[first].tolist())
         self.block_max = array("d", (np.maximum.reduceat(impact, first) if len(first) else impact).tolist())
         self.block_begin = array("q", np.searchsorted(term[first], np.arange(n_words + 1)).tolist())
+        # Rare words: from the rarest on, until those before make up the share.
+        by = np.lexsort((term, df[term], entry))
+        sums = np.cumsum(impact[by])
+        starts = np.flatnonzero(_new(entry[by])) if len(by) else by
+        before = sums - impact[by]
+        before -= np.repeat(before[starts], np.diff(np.append(starts, len(by))))
+        rare = by[before < RARE]
+        rare = rare[np.lexsort((entry[rare], term[rare]))]
+        self.rare_entry, self.rare_impact = entry[rare], impact[rare]
+        self.rare_begin = np.searchsorted(term[rare], np.arange(n_words + 2))
+        self.rare_sum = np.bincount(entry[rare], impact[rare], minlength=self.n)
         # List maxima; the last is for words that are in no entry.
         self.list_max = np.zeros(n_words + 1, np.float32)
         np.maximum.at(self.list_max, term, impact.astype(np.float32) * np.float32(1.000001))
 
-    def search(self, ids: np.ndarray, threshold: float = THRESHOLD) -> list[tuple[int, float]]:
-        """Entries that reach the threshold, with their scores, in order: block-max WAND."""
+    def near(self, rows: np.ndarray, joined: np.ndarray, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+        """(row, block), in order: blocks with an entry of which the passage that begins with the row has the rare words that the threshold takes.
+
+        Passages are rows of words; where ``joined``, the next row belongs to the passage too.
+        """
+        n_blocks = -(-self.n // BLOCK)
+        need = self.rare_sum - (1 - threshold) - 1e-8
+        if not self.n or need.min() <= 0:
+            return np.repeat(np.arange(len(rows)), n_blocks), np.tile(np.arange(n_blocks), len(rows))
+        words = np.sort(rows, axis=1)
+        first = words < len(self.vocabulary)
+        first[:, 1:] &= words[:, 1:] != words[:, :-1]
+        row, term = np.nonzero(first)[0], words[first]
+        begin = self.rare_begin[term]
+        n = self.rare_begin[term + 1] - begin
+        row, begin, n = row[n > 0], begin[n > 0], n[n > 0]
+        ends = np.cumsum(np.bincount(row, n, minlength=len(rows)))
+        found = [np.zeros(0, np.int64)]
+        k = to = 0
+        while to < len(rows):
+            # Rows with about POSTINGS, but two at least; the last is also the next ones' first.
+            to = min(len(rows), max(k + 2, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + POSTINGS))))
+            mine = slice(*np.searchsorted(row, (k, to)))
+            m = n[mine]
+            at = np.repeat(begin[mine] - np.cumsum(m) + m, m) + np.arange(m.sum())
+            key = np.repeat(row[mine], m) * self.n + self.rare_entry[at]
+            order = np.argsort(key)
+            key = key[order]
+            starts = np.flatnonzero(_new(key))
+            sums, key = (np.add.reduceat(self.rare_impact[at[order]], starts) if len(starts) else np.zeros(0)), key[starts]
+
+            def of(some: np.ndarray) -> np.ndarray:
+                place = np.minimum(np.searchsorted(key, some), len(key) - 1)
+                return np.where(key[place] == some, sums[place], 0)
+
+            # One of a passage's rows has half of what it takes. Words in both count twice, which lets no entry go.
+            half = np.flatnonzero(sums >= need[key % self.n] / 2)
+            if len(half):
+                own, key_of = sums[half], key[half]
+                with_next = own + np.where(joined[key_of // self.n], of(key_of + self.n), 0)
+                with_last = np.where((key_of >= self.n) & joined[key_of // self.n - 1], own + of(key_of - self.n), 0)
+                for total, some in ((with_next, key_of), (with_last, key_of - self.n)):
+                    some = some[total >= need[some % self.n]]
+                    found.append(some // self.n * n_blocks + some % self.n // BLOCK)
+            k = to - 1
+        places = np.unique(np.concatenate(found))
+        return places // n_blocks, places % n_blocks
+
+    def search(self, ids: np.ndarray, threshold: float = THRESHOLD, blocks: np.ndarray | None = None) -> list[tuple[int, float]]:
+        """Entries that reach the threshold, with their scores, in order: block-max WAND. ``blocks``, in order, are those that may hold one."""
         terms = np.sort(ids[ids < len(self.vocabulary)])
         terms = terms[_new(terms)]
         least = threshold - 1e-9
         bound = least - 1e-9  # sums differ by the order of their terms
         if self.list_max[terms].sum(dtype=float) < bound:
             return []
-        # Blocks in which the maxima of all lists reach the threshold, in order: the lists only ever move to these.
-        begin = np.frombuffer(self.block_begin, np.int64)
-        first = begin[terms]
-        n = begin[terms + 1] - first
-        at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
-        place = np.frombuffer(self.block, np.int64)[at]
-        order = np.argsort(place, kind="stable")
-        starts = np.flatnonzero(_new(place[order]))
-        enough = np.add.reduceat(np.frombuffer(self.block_max)[at[order]], starts) >= bound
-        alive = place[order[starts[enough]]].tolist()
+        # The lists only ever move to blocks in which the maxima of all lists reach the threshold, in order.
+        places = self.near(terms[None], np.zeros(1, bool), threshold)[1] if blocks is None else blocks
+        wide = self.n // BLOCK + 1
+        keys = terms[:, None] * wide + places
+        at = np.minimum(np.searchsorted(self.block_key, keys), len(self.block_key) - 1)
+        inside = self.block_key[at] == keys
+        enough = np.where(inside, np.frombuffer(self.block_max)[at], 0).sum(0) >= bound
+        alive = places[enough].tolist()
         if not alive:
             return []
         # Lists without a posting in these blocks have nothing to add.
-        inside = np.repeat(enough, np.diff(np.append(starts, len(order))))
-        owner = np.sort(np.repeat(np.arange(len(terms)), n)[order[inside]])
-        terms = terms[owner[_new(owner)]]
+        terms = terms[inside[:, enough].any(1)]
         maxima = self.list_max[terms].tolist()
         entry, impact, block, block_max = self.entry, self.impact, self.block, self.block_max
         # A list: the entry that it is at, the places of that posting and of the list's end, of the block and of the last one's end, the maximum.
@@ -180,9 +246,9 @@ class Index:
                 lists[:] = [x for x in lists if x[0] >= 0]
 
         advance(lists, alive[0] * BLOCK)
-        now = 0
+        first_of, now = itemgetter(0), 0
         while lists:
-            lists.sort()
+            lists.sort(key=first_of)
             reach, pivot = 0.0, -1
             for p, x in enumerate(lists):
                 reach += x[5]
@@ -249,9 +315,15 @@ class Index:
         # A passage begins at each half; the last half of a longer text is in the passage before it.
         begins = more | np.append(True, owner[1:] != owner[:-1])
         best: dict[tuple[int, int], tuple[float, float, float]] = {}
-        for k in np.flatnonzero(begins & (bound >= THRESHOLD - 1e-4)).tolist():
+        asked = begins & (bound >= THRESHOLD - 1e-4)
+        of = np.flatnonzero(asked | np.append(False, (asked & more)[:-1]))
+        row, block = self.near(ids[of], more[of])
+        block, row = block[asked[of[row]]], of[row][asked[of[row]]]
+        starts = np.flatnonzero(_new(row)).tolist()
+        for a, z in zip(starts, [*starts[1:], len(row)]):
+            k = int(row[a])
             passage = ids[k : k + 2].ravel() if more[k] else ids[k]
-            for entry, score in self.search(passage):
+            for entry, score in self.search(passage, blocks=block[a:z]):
                 shares = self.verify(passage, entry)
                 if shares:
                     at = (int(owner[k]), entry)
@@ -282,18 +354,19 @@ def totals_of(items: DataFrame) -> DataFrame:
 
 
 def shards_of(items: DataFrame, most: int) -> tuple[int, DataFrame]:
-    """The number of shards, and the items with their shard: about ``most`` to each."""
+    """The number of shards, and the distinct items, with how often they are there, and their shard: about ``most`` to each."""
+    items = items.where("text is not null").groupBy("item_id", "text").agg(F.count("*").cast("int").alias("times"))
     n = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     shards = max(1, -(-n["n"] // most), -(-n["chars"] // (most * ITEM_CHARS)))
     of = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")
-    return shards, items.where("text is not null").select("item_id", "text", of.alias("shard"))
+    return shards, items.select("item_id", "text", "times", of.alias("shard"))
 
 
 def index_of(items: DataFrame, shard: int, totals: DataFrame | None = None):
     """The broadcast index of a shard."""
     mine = F.col("shard") == shard
-    rows = items.where(mine).select("item_id", "text").collect()
-    rows = sorted(((r[0], r[1]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    rows = items.where(mine).select("item_id", "text", "times").collect()
+    rows = sorted(((r[0], r[1], r[2]) for r in rows), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
     counted = {None if r[0] is None else bytes(r[0]): (r[1], r[2]) for r in totals.where(mine).select("word", "n", "words").collect()} if totals is not None else None
     return items.sparkSession.sparkContext.broadcast(Index(rows, counted))
 
@@ -319,7 +392,8 @@ def _finder(index, item_type: pa.DataType):
             found = x.leaks(b.column(1).to_pylist())
             ids = b.column(0).take(pa.array([f[0] for f in found], pa.int64()))
             item = pa.array([x.item[f[1]] for f in found], item_type)
-            yield pa.RecordBatch.from_arrays([ids, item, *[pa.array([f[i] for f in found], pa.float64()) for i in (2, 3, 4)]], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+            times = pa.array([x.times[f[1]] for f in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([ids, item, *[pa.array([f[i] for f in found], pa.float64()) for i in (2, 3, 4)], times], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "times"])
 
     return run
 
@@ -328,7 +402,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
     """Rows (doc_id, item_id, score, question_overlap, answer_overlap), one for each entry of an item that a text holds."""
     item_field = items.schema["item_id"]
     schema = f"doc_id {docs.schema[key].dataType.simpleString()}, item_id {item_field.dataType.simpleString()}, {FOUND}"
-    return each_shard(items, most, lambda index: docs.select(key, text).mapInArrow(_finder(index, to_arrow_type(item_field.dataType)), schema))
+    found = each_shard(items, most, lambda index: docs.select(key, text).mapInArrow(_finder(index, to_arrow_type(item_field.dataType)), f"{schema}, times int"))
+    return found.withColumn("times", F.explode(F.array_repeat(F.lit(0), F.col("times")))).drop("times")
 
 
 def _holds(index):

@@ -55,6 +55,57 @@ def test_search_is_exhaustive():
     assert {e for _, e, *_ in index.leaks(["x " * 50 + items[101][1]])} == {101, 102, 103}
 
 
+def test_many_items():
+    """As many items as in a shard: what is found is what exhaustive scoring finds, and near() walks few postings."""
+    rng = np.random.default_rng(4)
+    draw = lambda n: [f"w{int(x)}" for x in rng.zipf(1.2, n) % 200_000]
+    items = [(i, " ".join(draw(int(n)))) for i, n in enumerate(rng.choice([3, 8, 20, 60], D.MOST_ITEMS))]
+    index = D.Index(items)
+    texts = [" ".join(draw(int(rng.integers(5, 300)))) for _ in range(150)]
+    texts += [" ".join(draw(50) + items[k][1].split() + draw(90)) for k in range(0, 20_000, 200)]
+    term = np.repeat(np.arange(len(index.vocabulary)), np.diff(index.begin))
+    entry, impact = np.frombuffer(index.entry, np.int64), np.frombuffer(index.impact)
+    want = set()
+    for i, t in enumerate(texts):
+        ids = np.array([index.vocabulary.get(w, len(index.vocabulary)) for w in D.plain_words(t)])
+        last = max(0, -(-len(ids) // D.HALF) - 1)
+        for k in range(max(last, 1)):
+            passage = ids[k * D.HALF : (k + 2) * D.HALF]
+            has = np.isin(term, passage)
+            score = np.bincount(entry[has], impact[has], minlength=index.n)
+            reached = np.flatnonzero(score >= D.THRESHOLD - 1e-9).tolist()
+            if k % 2 == 0:
+                assert [e for e, _ in index.search(passage)] == reached
+            want |= {(i, e) for e in reached if index.verify(passage, e)}
+    assert {(i, e) for i, e, *_ in index.leaks(texts)} == want and len(want) >= 100
+
+
+def test_rows_in_blocks(monkeypatch):
+    """Few postings at a time: passages whose rows come in two blocks are found too."""
+    rng = np.random.default_rng(6)
+    items = [(i, " ".join(f"w{int(x)}" for x in rng.integers(0, 3000, 40))) for i in range(300)]
+    texts = [" ".join(["x"] * int(rng.integers(0, 120)) + items[i][1].split() + ["y"] * int(rng.integers(0, 120))) for i in range(300)]
+    index = D.Index(items)
+    want = index.leaks(texts)
+    assert {(i, index.item[e]) for i, e, *_ in want} >= {(i, i) for i in range(300)}
+    for postings in (1, 50, 1000):
+        monkeypatch.setattr(D, "POSTINGS", postings)
+        assert index.leaks(texts) == want
+
+
+def test_repeated_items(spark):
+    """An item that is there a thousand times is one entry, found a thousand times; which shard it is in does not matter."""
+    text = "one two three four five six seven"
+    items = spark.createDataFrame([(7, text)] * 1000 + [(None, text)] * 3 + [(8, "other words " * 5)], "item_id long, text string").selectExpr("*", "1 as times")
+    docs = spark.createDataFrame([(1, "x " + text), (2, "x y z")], "doc_id long, text string")
+    for most in (D.MOST_ITEMS, 1):
+        shards, rest = D.shards_of(items, most)
+        assert rest.count() == 3
+        got = D.contaminated(docs, items, most=most).groupBy("doc_id", "item_id").count().collect()
+        assert sorted(map(str, map(tuple, got))) == ["(1, 7, 1000)", "(1, None, 3)"]
+        assert [r.doc_id for r in D.keep_clean(docs, items, most=most).collect()] == [2]
+
+
 def test_short_items():
     index = D.Index([(1, "Forty-two"), (2, "yes"), (3, "one two three four"), (4, "?!"), (5, "")])
     texts = ["it is forty two", "forty and two", "x " * 63 + "forty two", "Yes", "one two three four", "one two three and four", "yes " * 300, "", None]
