@@ -2,12 +2,25 @@
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import os
+import zlib
+from collections.abc import Iterator
+from fnmatch import fnmatchcase
+from urllib.parse import unquote_to_bytes
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tapeloom.schema import SEGMENT_FIELDS
+from tapeloom.shipping import ship
+from tapeloom.sources.exact import NO_VALUE, is_local, open_folder
+
+ship(__name__)
 
 #: Name of the file without folders and ending.
 STEM = r"([^/]+?)(?:\.[^./]*)?$"
@@ -20,6 +33,70 @@ def file_stem() -> Column:
     return F.regexp_extract(F.url_decode(F.replace("_metadata.file_name", F.lit("+"), F.lit("%2B"))), STEM, 1)
 
 
+#: Bytes of contents, and files, that a batch has at most, but for one large file.
+BATCH_BYTES, BATCH_FILES = 4 << 20, 2_000
+FOUND = "path binary, name binary, folder binary, n_bytes long, content binary"
+#: Files that Spark's text reader unpacks, by their endings; a folder with one of the others is an error.
+UNPACK = {b".gz": gzip.decompress, b".bz2": bz2.decompress, b".deflate": zlib.decompress}
+PACKED = (*UNPACK, b".lz4", b".snappy", b".zst", b".passthrough")
+
+
+def _walk(folder: bytes, share: int, shares: int) -> Iterator[tuple[bytes, bytes, bytes | None]]:
+    """(path, name, value) of the files in a folder, and in its folders ``key=value``, whose own names fall to a share."""
+    with os.scandir(folder) as entries:
+        for e in entries:
+            if e.name[:1] in (b"_", b".") and b"=" not in e.name or zlib.crc32(e.name) % shares != share:
+                continue
+            if not e.is_dir():
+                yield e.path, e.name, None
+            elif b"=" in e.name:
+                value = unquote_to_bytes(e.name.partition(b"=")[2])
+                yield from ((f, n, None if value == NO_VALUE.encode() else value) for f, n, _ in _walk(e.path, 0, 1))
+
+
+def _found(spark: SparkSession, path: str, contents: bool, pattern: str = "*") -> DataFrame | None:
+    """The files of a local folder, as Spark lists them, or None if that is not what the path is.
+
+    Each task goes through the folder's names and takes its share of them, so that no listing is held whole, and many small files are one
+    task's work: Spark's readers take 32 of them at most for a task.
+    """
+    folder = open_folder(path)[1] if is_local(spark, path) else None
+    if folder is None or not os.path.isdir(folder):
+        return None
+    shares = 2 * spark.sparkContext.defaultParallelism
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for share in b.column(0).to_pylist():
+                rows, size = [], 0
+                for file, name, value in _walk(folder.encode(), share, shares):
+                    if not fnmatchcase(name, pattern.encode()):
+                        continue
+                    if contents:
+                        with open(file, "rb") as f:
+                            content = f.read()
+                        n = len(content)
+                        if n and name.endswith(PACKED):
+                            content = UNPACK[os.path.splitext(name)[1]](content)
+                    else:
+                        content, n = None, os.stat(file).st_size
+                    if not n:
+                        continue
+                    rows.append((file, name, value, n, content))
+                    size += n if contents else 0
+                    if size >= BATCH_BYTES or len(rows) == BATCH_FILES:
+                        yield batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield batch(rows)
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.binary()] * 3 + [pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in FOUND.split(", ")])
+
+    return spark.range(0, shares, 1, shares).mapInArrow(run, FOUND)
+
+
 def read_segments_json(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
     """Rows of JSON arrays of segments, with their file's name, or the ``key`` of their folder."""
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
@@ -34,15 +111,24 @@ def read_segments_csv(spark: SparkSession, path: str, key: str | None = None, ki
     return rows.select(file_stem().alias("name"), "*") if key is None else rows
 
 
-def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """Whole text files, one row each."""
-    rows = spark.read.text(path, wholetext=True)
+def read_texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Whole text files, one row each, of names that fit the pattern."""
+    if (found := _found(spark, path, True, pattern)) is not None:
+        return found.select(F.regexp_extract(F.col("name").cast("string"), STEM, 1).alias("name"), F.col("content").cast("string").alias("text"))
+    rows = spark.read.option("pathGlobFilter", pattern).text(path, wholetext=True)
     return rows.select(file_stem().alias("name"), F.col("value").alias("text"))
 
 
+def read_folders(spark: SparkSession, path: str, key: str, kind: str) -> DataFrame:
+    """Whole text files in folders ``<key>=<value>``: value and key."""
+    if (found := _found(spark, path, True)) is not None:
+        return found.select(F.col("content").cast("string").alias("value"), F.col("folder").cast("string").cast(kind).alias(key))
+    return spark.read.schema(f"value string, `{key}` {kind}").text(path, wholetext=True)
+
+
 def read_written_texts(spark: SparkSession, path: str, key: str = "transcript_id", kind: str = "string") -> DataFrame:
     """What ``sinks.write_text`` wrote in folders: key and text, without the line break after it."""
-    rows = spark.read.schema(f"value string, `{key}` {kind}").text(path, wholetext=True)
+    rows = read_folders(spark, path, key, kind)
     return rows.select(key, F.expr("substring(value, 1, length(value) - 1)").alias("text"))
 
 
@@ -54,6 +140,9 @@ def read_audio(spark: SparkSession, path: str) -> DataFrame:
 
 def list_audio(spark: SparkSession, path: str) -> DataFrame:
     """Audio files without their content, which is not read: path, name and bytes. Spark passes over empty files."""
+    if (found := _found(spark, path, False)) is not None:
+        where = F.concat(F.lit("file:"), F.col("path").cast("string"))
+        return found.select(where.alias("path"), F.regexp_extract(where, STEM, 1).alias("filename"), "n_bytes")
     return read_audio(spark, path).drop("content")
 
 

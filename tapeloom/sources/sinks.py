@@ -9,21 +9,24 @@ it, which the reader takes off; in a table they are JSON lines.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.operators.segments import without_text
-from tapeloom.sources.exact import write_files
-from tapeloom.sources.files import file_stem
+from tapeloom.sources.exact import is_local, write_files, write_folders
+from tapeloom.sources.files import read_folders, read_texts
 from tapeloom.work import written
 
 FIELDS = ("start", "end", "text", "avg_logprob")
 CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+HEADER = ",".join(FIELDS) + "\n"
 
 
 def write_text(texts: DataFrame, path: str, column: str = "combined_text", key: str = "transcript_id", folders: bool = True) -> None:
     """K2: each transcript's text as it is."""
-    if folders:
+    if folders and is_local(texts.sparkSession, path):
+        write_folders(texts, path, ".txt", key, column)
+    elif folders:
         texts.select(key, column).repartition(key).write.partitionBy(key).text(path)
     else:
         texts.select(key, F.col(column).alias("text")).write.json(path)
@@ -31,7 +34,9 @@ def write_text(texts: DataFrame, path: str, column: str = "combined_text", key:
 
 def write_csv(segments: DataFrame, path: str, key: str = "transcript_id", folders: bool = True) -> None:
     """K3: all segments in order, with a header; spaces at the edges stay and quotes are doubled."""
-    if folders:
+    if folders and is_local(segments.sparkSession, path):
+        write_folders(segments, path, ".csv", key, _csv_line(), ["seq"], HEADER)
+    elif folders:
         rows = segments.repartition(key).sortWithinPartitions(key, "seq").select(key, *FIELDS)
         rows.write.partitionBy(key).options(**CSV).csv(path)
     else:
@@ -49,7 +54,9 @@ def json_arrays(segments: DataFrame, key: str = "transcript_id") -> DataFrame:
 def write_json(segments: DataFrame, path: str, unwanted: str | None = None, key: str = "transcript_id", folders: bool = True) -> None:
     """K4, K5: arrays of segments, without unwanted ones: filtered before writing, so that nothing is written twice."""
     rows = json_arrays(segments if unwanted is None else without_text(segments, unwanted), key)
-    if folders:
+    if folders and is_local(segments.sparkSession, path):
+        write_folders(rows, path, ".txt", key, "json")
+    elif folders:
         rows.write.partitionBy(key).text(path)
     else:
         rows.write.json(path)
@@ -62,11 +69,15 @@ def write_all(segments: DataFrame, texts: DataFrame, path: str, unwanted: str |
     write_json(segments, f"{path}/metadata_json", unwanted, key, folders)
 
 
+def _csv_line() -> Column:
+    """A segment as a line of CSV, without the break."""
+    return F.to_csv(F.struct(*FIELDS), {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV.items() if k != "header"})
+
+
 def csv_tables(segments: DataFrame, key: str = "transcript_id") -> DataFrame:
     """K3: each transcript's segments as one CSV table, header and all, in order."""
-    line = F.to_csv(F.struct(*FIELDS), {k: str(v).lower() if isinstance(v, bool) else v for k, v in CSV.items() if k != "header"})
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("seq", line.alias("line")))), lambda x: x["line"])
-    return segments.groupBy(key).agg(F.concat(F.lit(",".join(FIELDS) + "\n"), F.array_join(lines, "\n"), F.lit("\n")).alias("csv"))
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("seq", _csv_line().alias("line")))), lambda x: x["line"])
+    return segments.groupBy(key).agg(F.concat(F.lit(HEADER), F.array_join(lines, "\n"), F.lit("\n")).alias("csv"))
 
 
 def write_exact(segments: DataFrame, texts: DataFrame, path: str, unwanted: str | None, key: str = "filename", overwrite: bool = False) -> None:
@@ -91,9 +102,9 @@ def drop_unwanted(spark: SparkSession, path: str, unwanted: str, key: str = "tra
     by their names. All others are not touched.
     """
     if exact:
-        files = spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True).select(file_stem().alias(key), "value")
+        files = read_texts(spark, path, "*.json").select(F.col("name").alias(key), F.col("text").alias("value"))
     else:
-        files = spark.read.schema(f"value string, `{key}` {kind}").text(path, wholetext=True)
+        files = read_folders(spark, path, key, kind)
     arrays = files.select(key, F.from_json("value", ARRAY).alias("before"))
     rows = arrays.withColumn("after", F.filter("before", lambda s: ~F.contains(s["text"], F.lit(unwanted))))
     counted = rows.select(key, F.size("before").cast("long").alias("n_before"), F.size("after").cast("long").alias("n_after"), F.when(F.size("before") != F.size("after"), F.to_json("after", {"ignoreNullFields": "false"})).alias("json"))
@@ -101,6 +112,8 @@ def drop_unwanted(spark: SparkSession, path: str, unwanted: str, key: str = "tra
     changed = found.where("json is not null").select(key, "json")
     if exact:
         write_files(changed, path, ".json", key, "json", overwrite=True)
+    elif is_local(spark, path):
+        write_folders(changed, path, ".txt", key, "json", overwrite=True)
     else:
         changed.repartition(key).write.partitionBy(key).option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
     return found.select(key, "n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_removed"))
