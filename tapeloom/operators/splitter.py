@@ -21,16 +21,37 @@ from tapeloom.functions import arrays, text
 SURE, THRESHOLD = 0.99, 0.3
 #: Words that a plan holds as a literal, some hundred kilobytes.
 MOST_LISTED = 10_000
-#: White space as Python has it.
-_GAP = "".join(f"\\x{{{ord(c):x}}}" for c in text.PYTHON_SPACES)
-TOKEN = f"[^{_GAP}]+[{_GAP}]*"
+#: White space as Python has it, as ranges, which Java's patterns tell quickly.
+_GAP = r"\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 OPENING, CLOSING = "(\"'[{«“‘", ")\"']}»”’"
 WORD = r"^\p{L}[\p{L}.'’-]*$"
 
 
-def tokens(c: Column) -> Column:
-    """Words, each with what is around it and the white space after it; white space that begins the text is dropped."""
-    return F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0))
+#: A place where a sentence may end: a mark that ends a word, and the white space after it.
+MAY_END = rf"([.!?][)\"'\]}}»”’]*[{_GAP}]+)"
+
+
+def _spaced(c: Column) -> Column:
+    return F.translate(c, text.PYTHON_SPACES, " " * len(text.PYTHON_SPACES))
+
+
+def words(c: Column) -> Column:
+    """Words, each with what is around it but white space."""
+    return F.filter(F.split(_spaced(c), " "), lambda x: x != "")
+
+
+def pieces(c: Column) -> Column:
+    """A text cut wherever a sentence may end, white space and all; blank pieces are dropped."""
+
+    def cut(x: Column) -> Column:
+        return F.split(F.regexp_replace(x, MAY_END, f"$1{text.MARK}"), text.MARK)
+
+    parts = F.when(F.contains(c, F.lit(text.MARK)), F.transform(cut(text.escape(c)), text.unescape)).otherwise(cut(c))
+    return F.filter(parts, lambda x: text.strip(x) != "")
+
+
+def last_word(piece: Column) -> Column:
+    return F.substring_index(F.rtrim(_spaced(piece)), " ", -1)
 
 
 def bare(token: Column) -> Column:
@@ -55,9 +76,12 @@ def _type(word: Column) -> Column:
 
 def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     """(word, n, n_stop) over all words of all texts; a word is letters, maybe with stops, hyphens and apostrophes."""
-    words = texts.select(F.explode(tokens(text.repair_breaks(F.col(column)))).alias("token")).select(bare(F.col("token")).alias("bare"))
-    typed = words.select(_type(F.col("bare")).alias("word"), _plain(F.col("bare")).endswith(".").alias("stop"))
-    return typed.where(F.col("word").rlike(WORD)).groupBy("word").agg(F.count("*").alias("n"), F.count_if("stop").alias("n_stop"))
+    # Equal words are counted first: few are left to be looked at.
+    raw = texts.select(F.explode(words(text.repair_breaks(F.col(column)))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    trimmed = raw.select(bare(F.col("token")).alias("bare"), "n")
+    typed = trimmed.select(_type(F.col("bare")).alias("word"), _plain(F.col("bare")).endswith(".").alias("stop"), "n")
+    n_stop = F.sum(F.when(F.col("stop"), F.col("n")).otherwise(0))
+    return typed.where(F.col("word").rlike(WORD)).groupBy("word").agg(F.sum("n").alias("n"), n_stop.alias("n_stop"))
 
 
 def scored(counts: DataFrame) -> DataFrame:
@@ -80,32 +104,32 @@ def learn(texts: DataFrame, column: str = "text", threshold: float = THRESHOLD)
     return scored(word_counts(texts, column)).where(F.col("score") >= threshold)
 
 
-def _stops(all_tokens: Column) -> Column:
-    """The words that have a full stop."""
-    return F.transform(F.filter(all_tokens, lambda t: may_end(t, ".")), lambda t: _type(bare(t)))
+def _stops(last: Column) -> Column:
+    """Of the pieces' last words those that have a full stop."""
+    return F.transform(F.filter(last, lambda t: may_end(t, ".")), lambda t: _type(bare(t)))
 
 
 def _split(c: Column, known: Column) -> Column:
     """Sentences of a text whose page breaks are repaired; ``known``: the abbreviations that it may have."""
 
-    def ends(all_tokens: Column, here: Column) -> Column:
+    def ends(last: Column, here: Column) -> Column:
         def one(t: Column) -> Column:
             return F.when(~may_end(t, ".!?"), False).otherwise(may_end(t, "!?") | ~F.array_contains(here, _type(bare(t))))
 
-        return F.transform(all_tokens, one)
+        return F.transform(last, one)
 
-    def cut(all_tokens: Column, flags: Column) -> Column:
-        n = F.size(all_tokens)
+    def cut(all_pieces: Column, flags: Column) -> Column:
+        n = F.size(all_pieces)
         # Places after which a sentence ends; the text's end is one.
         last = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | F.get(flags, i - 1))
-        whole = arrays.bind(last, lambda at: F.transform(at, lambda e, i: text.strip(F.array_join(F.slice(all_tokens, F.coalesce(F.get(at, i - 1), F.lit(0)) + 1, e - F.coalesce(F.get(at, i - 1), F.lit(0))), ""))))
+        whole = arrays.bind(last, lambda at: F.transform(at, lambda e, i: text.strip(F.array_join(F.slice(all_pieces, F.coalesce(F.get(at, i - 1), F.lit(0)) + 1, e - F.coalesce(F.get(at, i - 1), F.lit(0))), ""))))
         return F.when(n > 0, whole).otherwise(F.array().cast("array<string>"))
 
-    def body(all_tokens: Column) -> Column:
+    def body(all_pieces: Column) -> Column:
         # Few of the model's words are in a text: they are found once, by hashing.
-        return arrays.bind(F.array_intersect(_stops(all_tokens), known), lambda here: arrays.bind(ends(all_tokens, here), lambda flags: cut(all_tokens, flags)))
+        return arrays.bind(F.transform(all_pieces, last_word), lambda last: arrays.bind(F.array_intersect(_stops(last), known), lambda here: arrays.bind(ends(last, here), lambda flags: cut(all_pieces, flags))))
 
-    return F.when(c.isNotNull(), arrays.bind(tokens(c), body))
+    return F.when(c.isNotNull(), arrays.bind(pieces(c), body))
 
 
 def splitter(abbreviations: list[str]) -> text.Splitter:
@@ -118,12 +142,12 @@ def splitter(abbreviations: list[str]) -> text.Splitter:
 
 def split_texts(texts: DataFrame, model: DataFrame, keys: list[str], column: str = "text", most_listed: int = MOST_LISTED) -> DataFrame:
     """Rows (keys, pos, sentence) of all texts; ``keys`` tell texts apart. The model is listed if it is small, else joined."""
-    words = [r.word for r in model.select("word").orderBy("word").limit(most_listed + 1).collect()]
+    listed = [r.word for r in model.select("word").orderBy("word").limit(most_listed + 1).collect()]
     whole = texts.select(*keys, text.repair_breaks(F.col(column)).alias("whole"))
-    if len(words) <= most_listed:
-        split = _split(F.col("whole"), F.array(*map(F.lit, words)).cast("array<string>"))
+    if len(listed) <= most_listed:
+        split = _split(F.col("whole"), F.array(*map(F.lit, listed)).cast("array<string>"))
     else:
-        met = whole.select(*keys, F.explode(F.array_distinct(_stops(tokens(F.col("whole"))))).alias("word")).join(model.select("word"), "word")
+        met = whole.select(*keys, F.explode(F.array_distinct(_stops(F.transform(pieces(F.col("whole")), last_word)))).alias("word")).join(model.select("word"), "word")
         here = met.groupBy(*keys).agg(F.collect_set("word").alias("known"))
         whole = whole.join(here, keys, "left")
         split = _split(F.col("whole"), F.coalesce("known", F.array().cast("array<string>")))

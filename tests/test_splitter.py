@@ -99,3 +99,18 @@ def test_nothing_to_learn(spark):
         model = splitter.learn(rows)
         assert {r.word for r in model.collect()} == set(brute_model([t or "" for t in ts]))
         splitter.split_texts(rows, model, ["text"]).collect()
+
+
+def test_texts_are_cut_only_where_a_sentence_may_end(spark):
+    """Also with the mark of the cuts in the text, odd white space, and blank texts."""
+    given = ["A Dr. B.\u2003C!\x1f\x85d. ", f"x{text.MARK}. y \ufffe({text.MARK} z.) W", " \u3000 ", "", "\u00a0'Lead. \u2019 end?”", None]
+    rows = spark.createDataFrame([*enumerate(given)], "i int, text string")
+    assert [r.n for r in rows.orderBy("i").select(F.size(splitter.pieces(F.col("text"))).alias("n")).collect()][:2] == [4, 3]
+    got = {}
+    for r in splitter.split_texts(rows, spark.createDataFrame([("dr",)], "word string"), ["i"]).orderBy("i", "pos").collect():
+        got.setdefault(r.i, []).append(r.sentence)
+    assert got == {i: brute_split(t, {"dr"}) for i, t in enumerate(given) if t and t.strip()}
+    # As many rows are looked at as there are distinct words, not as there are words.
+    counts = splitter.word_counts(spark.range(1000).select(F.lit("one two. one").alias("text")))
+    assert sorted(map(tuple, counts.collect())) == [("one", 2000, 0), ("two", 1000, 1000)]
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
