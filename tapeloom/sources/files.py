@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tapeloom.functions import text
 from tapeloom.schema import SEGMENT_FIELDS
 from tapeloom.shipping import ship
 from tapeloom.sources.exact import NO_VALUE, is_local, open_folder
@@ -60,9 +61,9 @@ def _found(spark: SparkSession, path: str, contents: bool, pattern: str = "*") -
     Each task goes through the folder's names and takes its share of them, so that no listing is held whole, and many small files are one
     task's work: Spark's readers take 32 of them at most for a task.
     """
-    folder = open_folder(path)[1] if is_local(spark, path) else None
-    if folder is None or not os.path.isdir(folder):
+    if not _is_folder(spark, path):
         return None
+    folder = open_folder(path)[1]
     shares = 2 * spark.sparkContext.defaultParallelism
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,8 +98,28 @@ def _found(spark: SparkSession, path: str, contents: bool, pattern: str = "*") -
     return spark.range(0, shares, 1, shares).mapInArrow(run, FOUND)
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    return is_local(spark, path) and os.path.isdir(open_folder(path)[1])
+
+
+def _csv_records(c: Column) -> Column:
+    """The records of a CSV table with a header, which goes. Line breaks inside quotes part nothing."""
+
+    def cut(x: Column) -> Column:
+        quoted = F.transform(F.split(x, '"'), lambda p, i: F.when(i % 2 == 1, F.replace(p, F.lit("\n"), F.lit(text.MARK))).otherwise(p))
+        lines = F.split(F.array_join(quoted, '"'), "\n")
+        return F.transform(F.filter(F.slice(lines, 2, F.size(lines)), lambda r: r != ""), lambda r: F.replace(r, F.lit(text.MARK), F.lit("\n")))
+
+    return F.when(F.contains(c, F.lit(text.MARK)), F.transform(cut(text.escape(c)), text.unescape)).otherwise(cut(c))
+
+
 def read_segments_json(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
     """Rows of JSON arrays of segments, with their file's name, or the ``key`` of their folder."""
+    if key is not None and _is_folder(spark, path):
+        found = read_folders(spark, path, key, kind).select(key, F.from_json("value", T.ArrayType(SEGMENT_FIELDS)).alias("all"))
+        # What can't be read is a row of nulls, as Spark's reader has it.
+        none = F.array(F.lit(None).cast(SEGMENT_FIELDS))
+        return found.select(key, F.explode(F.coalesce("all", none)).alias("s")).select("s.*", key)
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
     rows = spark.read.schema(schema).options(multiLine=True, pathGlobFilter="*.json" if key is None else "*").json(path)
     return rows.select(file_stem().alias("name"), "*") if key is None else rows
@@ -106,6 +127,10 @@ def read_segments_json(spark: SparkSession, path: str, key: str | None = None, k
 
 def read_segments_csv(spark: SparkSession, path: str, key: str | None = None, kind: str = "string") -> DataFrame:
     """Rows of CSV tables of segments, with their file's name, or the ``key`` of their folder."""
+    if key is not None and _is_folder(spark, path):
+        found = read_folders(spark, path, key, kind).select(key, F.explode(_csv_records(F.col("value"))).alias("record"))
+        options = {"quote": '"', "escape": '"', "multiLine": "true", "lineSep": "\n", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+        return found.select(key, F.from_csv("record", F.lit(", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SEGMENT_FIELDS)), options).alias("s")).select("s.*", key)
     schema = SEGMENT_FIELDS if key is None else T.StructType([*SEGMENT_FIELDS, T.StructField(key, T._parse_datatype_string(kind))])
     rows = spark.read.schema(schema).options(**CSV, pathGlobFilter="*.csv" if key is None else "*").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return rows.select(file_stem().alias("name"), "*") if key is None else rows

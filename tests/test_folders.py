@@ -1,8 +1,10 @@
 """Folders of many small files: what Spark's writer and reader make of them, without their cost for each file."""
 
 import pytest
+from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
+from tapeloom.schema import SEGMENT, SEGMENT_FIELDS
 from tapeloom.sources import exact, files, sinks
 
 VALUES = ["a", "é +%=/x", "b:?*[]{}^\"'#\\", "\x01\x7f", " ", "1"]
@@ -64,3 +66,17 @@ def test_commit_replaces_folders_or_puts_them_back(tmp_path, monkeypatch):
     twice = exact.FoldersWriter(str(tmp_path), ".txt", "three", False, "k", "")
     with pytest.raises(ValueError, match="two rows"):
         twice.commit([twice.write(iter([("d", "x")])), twice.write(iter([("d", "y")]))])
+
+
+def test_tables_and_arrays_are_read_as_spark_reads_them(spark, tmp_path):
+    texts = [' a "q"\n ', "", None, "x\r\ny", '"', '""\n"', ",\n,", "\uffff\n\ufffe)", "\\", "end\n"]
+    rows = spark.createDataFrame([(i % 3, i, float(i), None if i % 4 else 1.5, t, -0.1) for i, t in enumerate(texts)], SEGMENT)
+    schema = T.StructType([*SEGMENT_FIELDS, T.StructField("transcript_id", T.LongType())])
+    sinks.write_csv(rows, str(tmp_path / "csv"))
+    sinks.write_json(rows, str(tmp_path / "json"))
+    csv = spark.read.schema(schema).options(**files.CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(str(tmp_path / "csv"))
+    json = spark.read.schema(schema).option("multiLine", True).json(str(tmp_path / "json"))
+    for got, want in ((files.read_segments_csv(spark, str(tmp_path / "csv"), "transcript_id", "long"), csv), (files.read_segments_json(spark, str(tmp_path / "json"), "transcript_id", "long"), json)):
+        assert got.drop("name").columns == want.columns and want.count() == len(texts)
+        assert sorted(map(repr, got.drop("name").collect())) == sorted(map(repr, want.collect()))
+        assert got.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
