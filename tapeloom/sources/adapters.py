@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -142,8 +143,8 @@ def transcribe(files: DataFrame, make: Callable[[], Transcriber], settings: Sett
 
 
 RESPONSES = "transcript_id long, body string, error string"
-#: Rows of an answer's frame.
-ROWS = 64
+#: Rows, and characters of answers, in a batch.
+ROWS, BODIES = 64, 1 << 20
 
 
 def check_body(body: str) -> None:
@@ -166,10 +167,11 @@ def responses(files: DataFrame, make: Callable[[], Callable[[bytes], str]], sett
     """
     how = settings.calls
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make()
-        items = ((i, bytes(content)) for batch in batches for i, content in zip(batch["transcript_id"], batch["content"]))
-        out = []
+        # One content at a time: a batch's are not all made into objects.
+        items = ((i.as_py(), content.as_py()) for batch in batches for i, content in zip(batch.column(0), batch.column(1)))
+        out, size = [], 0
         for i, body, error in pool.ordered(client, items, how):
             if error is None:
                 try:
@@ -177,13 +179,18 @@ def responses(files: DataFrame, make: Callable[[], Callable[[bytes], str]], sett
                 except Exception as e:  # an item's failure is its own
                     body, error = None, pool.described(e)
             out.append((i, body, error))
-            if len(out) == ROWS:
-                yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
-                out = []
-        yield pd.DataFrame(out, columns=["transcript_id", "body", "error"])
+            size += len(body or "")
+            if len(out) == ROWS or size >= BODIES:
+                yield answers(out)
+                out, size = [], 0
+        if out:
+            yield answers(out)
+
+    def answers(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.string(), pa.string()))], names=["transcript_id", "body", "error"])
 
     rows = files.select(F.col("transcript_id").cast("long").alias("transcript_id"), "content")
-    return limited(rows, settings.transcribe_partitions).mapInPandas(run, RESPONSES)
+    return limited(rows, settings.transcribe_partitions).mapInArrow(run, RESPONSES)
 
 
 def line_transcriber() -> Transcriber:

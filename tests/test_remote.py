@@ -107,3 +107,10 @@ def test_answers_that_cannot_be_read(spark):
         assert {r.transcript_id: r.body for r in got if r.body is not None} == {i: BODIES[i] for i in (1, 6)}
         errors = {r.transcript_id: r.error for r in got if r.error}
         assert {i: e.split(":")[0] for i, e in errors.items()} == {2: "JSONDecodeError", 3: "ValueError", 4: "ValueError", 5: "ValueError", 7: "JSONDecodeError"}
+
+
+def test_contents_become_objects_one_at_a_time(spark):
+    """Not a whole batch at once; so a null one is the error of its item alone."""
+    rows = spark.createDataFrame([(1, bytearray(b"a\nb")), (2, None), (3, bytearray(b"c"))], "transcript_id long, content binary").coalesce(1)
+    got = {r.transcript_id: (r.body is None, r.error) for r in adapters.responses(rows, adapters.line_client, Settings(use_remote=True)).collect()}
+    assert got[1] == got[3] == (False, None) and got[2][0] and got[2][1].startswith("AttributeError")
