@@ -34,7 +34,9 @@ from __future__ import annotations
 from array import array
 from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterable
 from functools import reduce
+from itertools import chain
 from operator import itemgetter
 
 import numpy as np
@@ -59,6 +61,8 @@ BLOCK = 8
 RARE = 0.7
 #: Postings of rare words that are looked at together.
 POSTINGS = 1 << 18
+#: Characters of texts, or one text, that are searched together: what a task holds besides its batch.
+TEXTS = 1 << 20
 #: Items in a shard, and characters of items that count as one more.
 MOST_ITEMS, ITEM_CHARS = 20_000, 512
 K1, B = 1.2, 0.75
@@ -294,8 +298,18 @@ class Index:
         shares = [n / len(s) if s else 1.0 for n, s in ((in_ask, ask), (in_answer, answer))]
         return (shares[0], shares[1]) if min(shares) >= PART_OVERLAP else None
 
-    def leaks(self, texts: list[str | None]) -> list[tuple[int, int, float, float, float]]:
+    def leaks(self, texts: Iterable[str | None]) -> list[tuple[int, int, float, float, float]]:
         """(position of the text, entry, score, overlap of question, of answer), the best passage of each entry."""
+        out, some, first, size = [], [], 0, 0
+        for t in chain(texts, [None]):
+            some.append(t)
+            size += len(t or "")
+            if size >= TEXTS:
+                out += [(first + i, *found) for i, *found in self._leaks(some)]
+                first, size, some = first + len(some), 0, []
+        return out + [(first + i, *found) for i, *found in self._leaks(some)]
+
+    def _leaks(self, texts: list[str | None]) -> list[tuple[int, int, float, float, float]]:
         none = len(self.vocabulary)
         get = self.vocabulary.get
         parts, owner = [], []
@@ -389,7 +403,7 @@ def _finder(index, item_type: pa.DataType):
     def run(batches):
         x = index.value
         for b in batches:
-            found = x.leaks(b.column(1).to_pylist())
+            found = x.leaks(v.as_py() for v in b.column(1))
             ids = b.column(0).take(pa.array([f[0] for f in found], pa.int64()))
             item = pa.array([x.item[f[1]] for f in found], item_type)
             times = pa.array([x.times[f[1]] for f in found], pa.int32())
@@ -410,7 +424,7 @@ def _holds(index):
     @F.pandas_udf("boolean")
     def holds(texts: pd.Series) -> pd.Series:
         out = np.zeros(len(texts), bool)
-        out[[f[0] for f in index.value.leaks(texts.tolist())]] = True
+        out[[f[0] for f in index.value.leaks(texts)]] = True
         return pd.Series(out)
 
     return holds

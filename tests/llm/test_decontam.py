@@ -200,3 +200,17 @@ def test_empty(spark):
     assert D.contaminated(docs, items.limit(0)).count() == 0
     assert D.contaminated(docs.limit(0), items).count() == 0
     assert [tuple(r)[:2] for r in D.contaminated(docs, items).collect()] == [(1, None)]
+
+
+def test_a_batch_is_searched_in_parts(monkeypatch):
+    """So that a task holds the words of few texts at once; what is found is that of the whole batch."""
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(30)) + "? yes it is so here") for i in range(5)]
+    texts = [None, "", *(t for i in (3, 0, 4) for t in ("nothing", f"before {items[i][1]} after", "")), "end"]
+    index = D.Index(items)
+    want = index.leaks(texts)
+    held = []
+    parts = D.Index._leaks
+    monkeypatch.setattr(D.Index, "_leaks", lambda self, some: held.append(sum(len(t or "") for t in some)) or parts(self, some))
+    monkeypatch.setattr(D, "TEXTS", 100)
+    assert index.leaks(iter(texts)) == want and [f[0] for f in want] == [3, 6, 9]
+    assert len(held) >= 3 and max(held) <= 100 + max(len(t or "") for t in texts)
